@@ -12,6 +12,7 @@ from stargrain.sources.typed import rescue
 
 # Files per micro-batch; it bounds the header table that a batch joins with.
 FILES_PER_BATCH = 10_000
+SAMPLE_FILES = 20
 # Headers are broadcast only if all of them together stay below this size.
 BROADCAST_CHARS = 8_000_000
 
@@ -33,10 +34,13 @@ def stored_schema(spark: SparkSession, folder: str, fmt: str, location: str) ->
     fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if fs.exists(hadoop):
         return T.StructType.fromJson(json.loads(spark.read.text(location).first()[0]))
-    reader = spark.read.format(fmt).option("recursiveFileLookup", True)
+    # Listing file names reads no content; a few files are enough to infer from.
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    sample = [r.path for r in listing.select("path").limit(SAMPLE_FILES).collect()]
+    reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True).option("inferSchema", True).option("samplingRatio", 0.1)
-    schema = reader.load(folder).schema
+        reader = reader.option("header", True).option("inferSchema", True)
+    schema = reader.load(sample).schema
     spark.createDataFrame([(schema.json(),)], "value string").write.text(location)
     return schema
 

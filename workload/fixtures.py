@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stargrain.operators.ordered import next_within
+from workload.bronze import B
 
 BASE = (
     "region nation customer supplier part orders lineitem events documents embeddings"
@@ -75,6 +76,8 @@ FROM (SELECT CAST(ts AS DATE) AS d, event_type, user_id,
 WHERE nxt IS NOT NULL AND nxt <> user_id
 GROUP BY d, event_type, user_id, nxt"""
 
+SQL |= B
+
 PLACEHOLDER = re.compile(r"\{(\w+)\}")
 
 
