@@ -52,14 +52,51 @@ def orphan_keys(df: DataFrame, column: str, ref: DataFrame, ref_column: str) ->
     return values.join(parents, "key", "left_anti")
 
 
-def foreign_key_report(df: DataFrame, ref: DataFrame, fk: ForeignKey) -> DataFrame:
-    """One row: number of orphan values and orphan rows of one reference."""
-    return orphan_keys(df, fk.column, ref, fk.ref_column).agg(
-        F.lit(fk.table).alias("table_name"),
-        F.lit(fk.column).alias("column_name"),
-        F.lit(fk.ref_table).alias("ref_table"),
-        F.count(F.lit(1)).alias("orphan_values"),
-        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("orphan_rows"),
+def foreign_key_report(
+    read: Callable[[str], DataFrame], foreign_keys: list[ForeignKey]
+) -> DataFrame:
+    """One row per reference: orphan values and the rows that hold them.
+
+    All references of a table are read in one scan of it, counted per value,
+    and checked against all parents in a single anti join.
+    """
+    children, parents = [], []
+    for table in dict.fromkeys(f.table for f in foreign_keys):
+        own = [f for f in foreign_keys if f.table == table]
+        entries = [
+            F.struct(
+                F.lit(f.column).alias("column_name"),
+                F.lit(f.ref_table).alias("ref_table"),
+                F.lit(f.ref_column).alias("ref_column"),
+                F.col(f.column).cast("string").alias("key"),
+            )
+            for f in own
+        ]
+        rows = read(table).select(F.lit(table).alias("table_name"), F.inline(F.array(*entries)))
+        children.append(rows.where(F.col("key").isNotNull()))
+    for table, column in dict.fromkeys((f.ref_table, f.ref_column) for f in foreign_keys):
+        parents.append(
+            read(table).select(
+                F.lit(table).alias("ref_table"), F.lit(column).alias("ref_column"),
+                F.col(column).cast("string").alias("key"),
+            )
+        )
+    reference = ["table_name", "column_name", "ref_table", "ref_column"]
+    values = stack_sources(*children).groupBy(*reference, "key").agg(F.count(F.lit(1)).alias("n_rows"))
+    orphans = values.join(stack_sources(*parents), ["ref_table", "ref_column", "key"], "left_anti")
+    found = orphans.groupBy(*reference).agg(
+        F.count(F.lit(1)).alias("orphan_values"), F.sum("n_rows").alias("orphan_rows")
+    )
+    spark = found.sparkSession
+    listed = spark.createDataFrame(
+        [(f.table, f.column, f.ref_table, f.ref_column) for f in foreign_keys],
+        ", ".join(f"{c} string" for c in reference),
+    )
+    # References without orphans are listed with zeros.
+    return listed.join(found, reference, "left").select(
+        *reference[:3],
+        F.coalesce("orphan_values", F.lit(0)).alias("orphan_values"),
+        F.coalesce("orphan_rows", F.lit(0)).alias("orphan_rows"),
     )
 
 
@@ -68,10 +105,7 @@ def star_report(
 ) -> tuple[DataFrame, DataFrame]:
     """Reports for all keys and all references of a star schema."""
     pk = stack_sources(*[primary_key_report(read(t), t, keys) for t, keys in primary_keys.items()])
-    fk = stack_sources(
-        *[foreign_key_report(read(f.table), read(f.ref_table), f) for f in foreign_keys]
-    )
-    return pk, fk
+    return pk, foreign_key_report(read, foreign_keys)
 
 
 def reconcile(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:

@@ -7,10 +7,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stargrain.operators.joins import attach, stack_sources
+from stargrain.operators.joins import conjunction, stack_sources
 from stargrain.session import checkpointing
 
 DAMPING = 0.85
+# Tasks that share the links of one source.
+SALTS = 8
 
 
 def degrees(edges: DataFrame, by: list[str], src: str, dst: str, weight: str) -> DataFrame:
@@ -59,20 +61,30 @@ def pagerank(
     """Weighted PageRank of each network named by ``by``.
 
     The mass of nodes without outgoing edges is spread evenly over their
-    network. Ranks and edges are checkpointed, so the plan does not grow with
-    the iterations and a lost executor costs one iteration at most.
+    network. Links are laid out once by (network, source, salt) and stay there:
+    an iteration moves only ranks and partially summed contributions, and the
+    links of a very busy source are spread over several tasks. Ranks are
+    checkpointed, so the plan does not grow and a lost executor costs one
+    iteration at most.
     """
-    checkpointing(edges.sparkSession)
-    links = edges.groupBy(*by, F.col(src).alias("src"), F.col(dst).alias("dst")).agg(
-        F.sum(F.col(weight).cast("double")).alias("w")
+    spark = edges.sparkSession
+    checkpointing(spark)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ends = [F.col(c).isNotNull() for c in (*by, src, dst)]
+    links = (
+        edges.where(conjunction(ends))
+        .groupBy(*by, F.col(src).alias("src"), F.col(dst).alias("dst"))
+        .agg(F.sum(F.col(weight).cast("double")).alias("w"))
     )
-    out_weight = links.groupBy(*by, F.col("src")).agg(F.sum("w").alias("out_w"))
+    out_weight = links.groupBy(*by, "src").agg(F.sum("w").alias("out_w"))
+    salt = F.pmod(F.xxhash64("dst"), F.lit(SALTS)).cast("int")
     links = (
-        attach(links, out_weight, [*by, "src"])
-        .select(*by, "src", "dst", (F.col("w") / F.col("out_w")).alias("share"))
+        links.join(out_weight, [*by, "src"])
+        .select(*by, "src", salt.alias("salt"), "dst", (F.col("w") / F.col("out_w")).alias("share"))
+        .repartition(tasks, *by, "src", "salt")
         .checkpoint()
     )
-    ends = links.select(
+    seen = links.select(
         *by,
         F.inline(
             F.array(
@@ -81,30 +93,29 @@ def pagerank(
             )
         ),
     )
-    nodes = ends.groupBy(*by, "node").agg(F.max("sends").alias("sends"))
+    nodes = seen.groupBy(*by, "node").agg(F.max("sends").alias("sends"))
+    # One row per network; Spark broadcasts it when it is small.
     size = nodes.groupBy(*by).agg(F.count(F.lit(1)).cast("double").alias("n"))
-    nodes = attach(nodes, size, by)
+    nodes = nodes.join(size, by)
     ranks = nodes.withColumn("rank", 1.0 / F.col("n")).checkpoint()
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
     for _ in range(iterations):
+        senders = ranks.where(F.col("sends") == 1).select(*by, F.col("node").alias("src"), "rank", salts)
         sent = (
-            attach(links, ranks.select(*by, F.col("node").alias("src"), "rank"), [*by, "src"])
+            links.join(senders, [*by, "src", "salt"])
             .groupBy(*by, F.col("dst").alias("node"))
             .agg(F.sum(F.col("rank") * F.col("share")).alias("received"))
         )
         stuck = ranks.groupBy(*by).agg(
             F.sum(F.when(F.col("sends") == 0, F.col("rank")).otherwise(0.0)).alias("stuck")
         )
-        spread = attach(attach(ranks, sent, [*by, "node"], "left"), stuck, by)
-        ranks = spread.select(
-            *by,
-            "node",
-            "sends",
-            "n",
-            (
-                (1.0 - damping) / F.col("n")
-                + damping * (F.coalesce("received", F.lit(0.0)) + F.col("stuck") / F.col("n"))
-            ).alias("rank"),
-        ).checkpoint()
+        received = F.coalesce("received", F.lit(0.0)) + F.col("stuck") / F.col("n")
+        ranks = (
+            ranks.join(sent, [*by, "node"], "left")
+            .join(stuck, by)
+            .select(*by, "node", "sends", "n", ((1.0 - damping) / F.col("n") + damping * received).alias("rank"))
+            .checkpoint()
+        )
     return ranks.select(*by, "node", F.col("rank").alias("pagerank"))
 
 

@@ -2,9 +2,10 @@
 
 A window over a whole group puts that group into one task. Here the caller
 names ``buckets``: columns that grow with the sort order (a date, a block of
-ids). Buckets are summed first (with map-side partial aggregates), the bucket
-totals give each bucket its offset, and the window runs only inside a bucket.
-Results equal those of the plain window.
+ids). Buckets are summed first, with map-side partial aggregates; the totals
+give each bucket its offset, which joins the rows as one extra row per bucket
+(UNION ALL). The window then runs inside single buckets, so the rows are
+shuffled once and results equal those of the plain window.
 """
 
 from __future__ import annotations
@@ -13,11 +14,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stargrain.operators.joins import attach
 
+def _bucketed(df: DataFrame, buckets: list[Column]) -> tuple[DataFrame, list[str]]:
+    names = [f"_b{i}" for i in range(len(buckets))]
+    return df.withColumns(dict(zip(names, buckets))), names
 
-def _named(buckets: list[Column]) -> list[str]:
-    return [f"_b{i}" for i in range(len(buckets))]
+
+def _with_extra(rows: DataFrame, extra: DataFrame, extra_last: bool = False) -> DataFrame:
+    """Rows plus one marked row per bucket, sorted before (or after) the rows."""
+    return rows.withColumn("_extra", F.lit(0 if extra_last else 1)).unionByName(
+        extra.withColumn("_extra", F.lit(1 if extra_last else 0)), allowMissingColumns=True
+    )
 
 
 def running_totals(
@@ -32,46 +39,42 @@ def running_totals(
 
     ``order`` must rank rows uniquely and refine the order of ``buckets``.
     """
-    names = _named(buckets)
-    values = {name: value for name, value in sums.items()}
-    if step:
-        values[step] = F.lit(1).cast("bigint")
-    rows = df.withColumns(
-        {n: b for n, b in zip(names, buckets)} | {f"_v_{k}": v for k, v in values.items()}
-    )
+    values = sums | ({step: F.lit(1).cast("bigint")} if step else {})
+    rows, names = _bucketed(df, buckets)
+    rows = rows.withColumns({f"_v_{k}": v for k, v in values.items()})
     before = W.partitionBy(*by).orderBy(*names).rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         rows.groupBy(*by, *names)
         .agg(*[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in values])
-        .select(*by, *names, *[F.sum(f"_t_{k}").over(before).alias(f"_o_{k}") for k in values])
-    )
-    inside = W.partitionBy(*by, *names).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    local = rows.withColumns({f"_l_{k}": F.sum(f"_v_{k}").over(inside) for k in values})
-    total = {
-        # NULL only while no value has been seen, as in a plain running sum.
-        k: F.coalesce(F.col(f"_o_{k}") + F.col(f"_l_{k}"), F.col(f"_o_{k}"), F.col(f"_l_{k}"))
-        for k in values
-    }
-    return attach(local, offsets, [*by, *names]).select(
-        *df.columns, *[expr.alias(k) for k, expr in total.items()]
+        .select(
+            *by,
+            *names,
+            *[F.sum(f"_t_{k}").over(before).cast(rows.schema[f"_v_{k}"].dataType).alias(f"_v_{k}") for k in values],
+        )
     )
+    inside = W.partitionBy(*by, *names).orderBy("_extra", *order).rowsBetween(W.unboundedPreceding, 0)
+    totals = [F.sum(f"_v_{k}").over(inside).alias(k) for k in values]
+    both = _with_extra(rows, offsets)
+    return both.select("*", *totals).where(F.col("_extra") == 1).select(*df.columns, *values)
 
 
 def rank_within(
     df: DataFrame, by: list[str], buckets: list[Column], order: list[Column], out: str = "rank"
 ) -> DataFrame:
     """``rank()`` per group; ``buckets`` must be functions of the order keys."""
-    names = _named(buckets)
-    rows = df.withColumns({n: b for n, b in zip(names, buckets)})
+    rows, names = _bucketed(df, buckets)
     before = W.partitionBy(*by).orderBy(*names).rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         rows.groupBy(*by, *names)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*by, *names, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
+        .select(*by, *names, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_ahead"))
     )
-    local = rows.withColumn("_l", F.rank().over(W.partitionBy(*by, *names).orderBy(*order)))
-    return attach(local, offsets, [*by, *names]).select(
-        *df.columns, (F.col("_o") + F.col("_l")).cast("int").alias(out)
+    inside = W.partitionBy(*by, *names).orderBy("_extra", *order)
+    # The extra row comes first: it holds the offset and takes rank 1.
+    ahead = F.first("_ahead").over(inside.rowsBetween(W.unboundedPreceding, 0))
+    both = _with_extra(rows, offsets).withColumns({"_ahead": ahead, "_local": F.rank().over(inside)})
+    return both.where(F.col("_extra") == 1).select(
+        *df.columns, (F.col("_ahead") + F.col("_local") - 1).cast("int").alias(out)
     )
 
 
@@ -80,20 +83,16 @@ def next_within(
 ) -> DataFrame:
     """``lead(value)`` per group in ``order`` (unique inside a bucket).
 
-    The last row of a bucket takes the first value of the next bucket in use.
+    The last row of a bucket takes the first value of the next bucket in use,
+    which is added behind it.
     """
-    names = _named(buckets)
-    rows = df.withColumns({n: b for n, b in zip(names, buckets)})
+    rows, names = _bucketed(df, buckets)
     first = F.min(F.struct(*order, value)).alias("_first")
     following = F.lead(f"_first.{value}").over(W.partitionBy(*by).orderBy(*names))
-    heads = (
-        rows.groupBy(*by, *names).agg(first).select(*by, *names, following.alias("_next_head"))
-    )
-    inside = W.partitionBy(*by, *names).orderBy(*order)
-    # A struct tells "no next row in this bucket" from "next value is NULL".
-    local = rows.withColumn("_lead", F.lead(F.struct(F.col(value).alias("v"))).over(inside))
-    chosen = F.when(F.col("_lead").isNull(), F.col("_next_head")).otherwise(F.col("_lead.v"))
-    return attach(local, heads, [*by, *names]).select(*df.columns, chosen.alias(out))
+    heads = rows.groupBy(*by, *names).agg(first).select(*by, *names, following.alias(value))
+    inside = W.partitionBy(*by, *names).orderBy("_extra", *order)
+    both = _with_extra(rows, heads, extra_last=True).withColumn(out, F.lead(value).over(inside))
+    return both.where(F.col("_extra") == 0).select(*df.columns, out)
 
 
 def top_within(df: DataFrame, by: list[str], order: list[Column], k: int, out: str = "rn") -> DataFrame:

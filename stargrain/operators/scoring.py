@@ -8,22 +8,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stargrain.operators.joins import attach
+from stargrain.session import stored
 
 # A policy is a short list; anything longer is a mistake in its filter.
 MAX_COMPONENTS = 1_000
 
 
-def minmax(df: DataFrame, by: list[str], scale: dict[str, str], inverted: tuple[str, ...] = ()) -> DataFrame:
+def minmax(
+    df: DataFrame,
+    by: list[str],
+    scale: dict[str, str],
+    inverted: tuple[str, ...] = (),
+    pin: bool = False,
+) -> DataFrame:
     """Scale columns to 0..1 within each group (0.0 when all values are equal).
 
     ``scale`` maps new names to raw columns; names in ``inverted`` become
     ``1 - value``. Bounds come from an aggregate with map-side combine and are
-    joined back, so no group ever has to fit into one task.
+    joined back, so no group ever has to fit into one task. With ``pin`` (for
+    large ``df``) the bounds are stored first: Spark then knows their size and
+    broadcasts them if they are small, which leaves the rows where they are.
     """
     bounds = df.groupBy(*by).agg(
         *[F.min(c).alias(f"_lo_{n}") for n, c in scale.items()],
         *[F.max(c).alias(f"_hi_{n}") for n, c in scale.items()],
     )
+    if pin:
+        bounds = stored(bounds, "bounds")
     scaled = []
     for name, raw in scale.items():
         lo, span = F.col(f"_lo_{name}"), F.col(f"_hi_{name}") - F.col(f"_lo_{name}")

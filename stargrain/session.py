@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the plans in this package are written for. Joins carry no
 # broadcast hints: Spark broadcasts a side only after seeing that it is below
@@ -54,3 +54,15 @@ def checkpointing(spark: SparkSession) -> None:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder; nothing is ever overwritten there."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write a table that several later steps read, and read it back.
+
+    It cuts the lineage, survives lost executors, and the size of its files
+    tells Spark whether a join may broadcast it.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

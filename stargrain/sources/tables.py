@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stargrain.session import stored
+
 
 @dataclass(frozen=True)
 class TableResolver:
@@ -41,11 +43,14 @@ class Layers:
     """Bronze tables plus silver and gold plans built on top of them.
 
     A table that has been written is read back; otherwise its plan is used.
+    Tables named in ``keep`` are stored when first asked for, because several
+    others read them.
     """
 
     bronze: Callable[[str, str], DataFrame]
     plans: dict[str, dict[str, Callable[[Layers], DataFrame]]]
     store: TableResolver | None = None
+    keep: frozenset[str] = frozenset()
     written: set[tuple[str, str]] = field(default_factory=set)
     _built: dict[tuple[str, str], DataFrame] = field(default_factory=dict)
 
@@ -54,7 +59,8 @@ class Layers:
         if key in self.written and self.store:
             return self.store.read(layer, name)
         if key not in self._built:
-            self._built[key] = self.plans[layer][name](self)
+            df = self.plans[layer][name](self)
+            self._built[key] = stored(df, name) if name in self.keep else df
         return self._built[key]
 
     def silver(self, name: str) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stargrain.operators.ordered import next_within
+from stargrain.session import stored
 from workload.bronze import B
 
 BASE = (
@@ -105,6 +106,10 @@ class Inputs:
             self._known[name] = df
         return self._known[name]
 
+    def keep(self, name: str) -> None:
+        """Write out a fixture that this query reads more than once."""
+        self._known[name] = stored(self.table(name), name)
+
     def sql(self, template: str) -> DataFrame:
         used = {name: self.table(name) for name in set(PLACEHOLDER.findall(template))}
         return self.spark.sql(template, **used)

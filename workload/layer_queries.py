@@ -40,10 +40,12 @@ NAMES = {
 }
 
 
-def layers(t: Inputs) -> Layers:
+def layers(t: Inputs, *keep: str) -> Layers:
+    """Layers over the landed tables; ``keep`` names tables to store on first use."""
     return Layers(
         lambda source, table: t.table(LANDED[(source, table)]),
         {"silver": silver.TABLES, "gold": gold.TABLES},
+        keep=frozenset(keep),
     )
 
 
@@ -82,7 +84,7 @@ OWN = {
 SILVER_SQL: dict[str, str] = {}
 
 CTES["o_g"] = """
-SELECT g.*, CASE WHEN yr = 2001 THEN 2026 ELSE yr END AS edition, upper(c_name) AS home, upper(s_name) AS away,
+SELECT g.*, CAST(CASE WHEN yr = 2001 THEN 2026 ELSE yr END AS INTEGER) AS edition, upper(c_name) AS home, upper(s_name) AS away,
        upper(c_name) || ' v ' || upper(s_name) || ' ' || CAST(day AS VARCHAR) AS label, c_nationkey, s_nationkey
 FROM {b_game} g JOIN {customer} ON c_custkey = ck JOIN {supplier} ON s_suppkey = sk"""
 CTES["o_line"] = """
@@ -300,7 +302,8 @@ GOLD_SQL = {
     "fact_match_event": SILVER_SQL["match_event"],
     "fact_prediction": SILVER_SQL["prediction"],
     "fact_team_tournament": """SELECT * REPLACE (round(xg, 6) AS xg, round(xga, 6) AS xga, round(possession, 6) AS possession) FROM {o_tt}""",
-    "fact_team_dominance": "SELECT edition, team, " + ", ".join(f"round({s}, 6) AS {s}" for s in SCORES) + " FROM {o_dom}",
+    # Nine places: scores of few matches often end in 5 at the seventh.
+    "fact_team_dominance": "SELECT edition, team, " + ", ".join(f"round({s}, 9) AS {s}" for s in SCORES) + " FROM {o_dom}",
     "fact_group_standing": SILVER_SQL["group_standing"],
 }
 GOLD_ROUND = {"fact_team_tournament": ["xg", "xga", "possession"], "fact_team_dominance": SCORES}
@@ -317,7 +320,8 @@ GOLD_OWN = {
 def _gold(table: str):
     def run(t: Inputs) -> DataFrame:
         L = layers(t)
-        return rounded(named(L, L.gold(table), GOLD_OWN.get(table)), *GOLD_ROUND.get(table, []))
+        places = 9 if table == "fact_team_dominance" else 6
+        return rounded(named(L, L.gold(table), GOLD_OWN.get(table)), *GOLD_ROUND.get(table, []), places=places)
 
     return run
 
