@@ -89,6 +89,7 @@ class MetricView:
     dimensions: dict[str, str]  # name -> "relation.column"
     measures: dict[str, Measure]
     joins: dict[str, Join] = field(default_factory=dict)
+    comments: dict[str, str] = field(default_factory=dict)
 
     def _place(self, dimension: str) -> tuple[str, str]:
         if dimension not in self.dimensions:
@@ -142,10 +143,15 @@ class MetricView:
         result = grouped.agg(*aggregates.values()) if aggregates else rows.select(*keys).distinct()
         values = {p: F.col(f"`{p[0]}({p[1]})`") for p in parts}
         result = result.select(
-            *dimensions, *[self.measures[m].build(values).alias(m) for m in measures]
+            *[self._commented(F.col(d), d) for d in dimensions],
+            *[self._commented(self.measures[m].build(values), m) for m in measures],
         )
         return result.where(having) if having is not None else result
 
+    def _commented(self, value: Column, name: str) -> Column:
+        comment = self.comments.get(name)
+        return value.alias(name, metadata={"comment": comment}) if comment else value.alias(name)
+
     def _narrow(self, places, needed: list[str], parts: list[Part]) -> DataFrame:
         """Only the source columns that the query needs, under private names."""
         own = [F.col(c).alias(f"_d_{d}") for d, (rel, c) in places.items() if rel == "source"]

@@ -18,11 +18,13 @@ def perspective_split(
     """Two rows per input row, read from a single scan and without a shuffle.
 
     ``sides`` maps each output column to its value as seen by the first and by
-    the second participant.
+    the second participant. Rows are doubled by the side label alone, so columns
+    that nobody asks for are still pruned from the scan.
     """
+    doubled = df.withColumn(side, F.explode(F.array(*[F.lit(label) for label in labels])))
+    is_first = F.col(side) == labels[0]
 
-    def view(i: int) -> Column:
-        fields = [column(pair[i]).alias(name) for name, pair in sides.items()]
-        return F.struct(F.lit(labels[i]).alias(side), *fields)
+    def view(pair: tuple[ColumnOrName, ColumnOrName]) -> Column:
+        return F.when(is_first, column(pair[0])).otherwise(column(pair[1]))
 
-    return df.select(*keep, F.inline(F.array(view(0), view(1))))
+    return doubled.select(*keep, side, *[view(pair).alias(name) for name, pair in sides.items()])

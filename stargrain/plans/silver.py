@@ -21,7 +21,8 @@ from stargrain.functions.keys import raw_key
 from stargrain.operators.joins import lookup, outer_merge, stack_sources
 from stargrain.operators.ordered import number_copies
 from stargrain.operators.resolve import resolve_best
-from stargrain.sources.tables import Layers
+from stargrain.plans import comments
+from stargrain.sources.tables import Layers, documented
 from stargrain.sources.typed import pick
 
 # The current edition, which no historical file lists.
@@ -638,7 +639,7 @@ def prediction(L: Layers) -> DataFrame:
     )
 
 
-TABLES = {
+_PLANS = {
     f.__name__: f
     for f in (
         confederation, tournament, stage, tournament_group, qualified_team, team, team_tournament, player,
@@ -647,3 +648,10 @@ TABLES = {
         match_goalkeeper, passing_edge, match_event, award, award_winner, match_prediction_feature, prediction,
     )
 }
+
+
+def _commented(name: str):
+    return lambda L: documented(_PLANS[name](L), comments.of_silver())
+
+
+TABLES = {name: _commented(name) for name in _PLANS}

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from stargrain.operators.metrics import Join, Measure, MetricView, average, distinct, highest, total
+from stargrain.plans import comments
 from stargrain.sources.tables import Layers
 
 
@@ -37,7 +38,9 @@ def _measures(source: DataFrame, spec: dict[str, Measure]) -> dict[str, Measure]
 
 
 def _view(source: DataFrame, joins: dict[str, Join], dimensions: dict[str, str], measures) -> MetricView:
-    return MetricView(source, _dimensions(source, joins, dimensions), _measures(source, measures), joins)
+    return MetricView(
+        source, _dimensions(source, joins, dimensions), _measures(source, measures), joins, comments.of_view()
+    )
 
 
 def _sums(*columns: str, **renamed: str) -> dict[str, Measure]:

@@ -29,13 +29,32 @@ class TableResolver:
             return self.spark.read.parquet(f"{self.root}/{self.prefix}{layer}/{table}")
         return self.spark.table(self.name(layer, table))
 
-    def write(self, df: DataFrame, layer: str, table: str, partition_by: tuple[str, ...] = ()) -> None:
-        """Overwrite one table; column comments stay in the schema metadata."""
+    def write(
+        self,
+        df: DataFrame,
+        layer: str,
+        table: str,
+        comment: str = "",
+        partition_by: tuple[str, ...] = (),
+        buckets: tuple[int, str] | None = None,
+    ) -> None:
+        """Overwrite one table; column comments stay in the schema metadata.
+
+        ``buckets`` (number, key) lays a catalog table out by a join key, so
+        that joins between tables of the same layout need no shuffle.
+        """
         writer = df.write.mode("overwrite").partitionBy(*partition_by)
         if self.root:
+            if buckets:
+                raise ValueError("buckets need a catalog table")
             writer.parquet(f"{self.root}/{self.prefix}{layer}/{table}")
-        else:
-            writer.option("quality", layer).saveAsTable(self.name(layer, table), format="parquet")
+            return
+        if buckets:
+            writer = writer.bucketBy(buckets[0], buckets[1]).sortBy(buckets[1])
+        name = self.name(layer, table)
+        writer.saveAsTable(name, format="parquet")
+        text = comment.replace("\\", "\\\\").replace("'", "\\'")
+        self.spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('quality' = '{layer}', 'comment' = '{text}')")
 
 
 @dataclass
@@ -69,14 +88,23 @@ class Layers:
     def gold(self, name: str) -> DataFrame:
         return self.table("gold", name)
 
-    def materialise(self, layer: str, names: list[str] | None = None) -> None:
+    def materialise(
+        self,
+        layer: str,
+        names: list[str] | None = None,
+        comments: dict[str, str] | None = None,
+        buckets: dict[str, tuple[int, str]] | None = None,
+    ) -> None:
         """Write tables in the order of their plans, so later ones read them."""
         if self.store is None:
             raise ValueError("no store to write to")
         for name in names or list(self.plans[layer]):
-            self.store.write(self.table(layer, name), layer, name)
+            self.store.write(
+                self.table(layer, name), layer, name, (comments or {}).get(name, ""), buckets=(buckets or {}).get(name)
+            )
             self.written.add((layer, name))
-            self._built = {k: v for k, v in self._built.items() if k in self.written}
+            # Plans built so far would recompute this table; later ones read it.
+            self._built.clear()
 
 
 def documented(df: DataFrame, comments: dict[str, str]) -> DataFrame:

@@ -156,3 +156,35 @@ def ingest_csv(
         .start()
     )
     query.awaitTermination()
+
+
+def ingest_feeds(
+    spark: SparkSession,
+    feeds: dict[str, dict[str, str]],
+    landing: str,
+    target: str,
+    state: str,
+    source: str | None = None,
+) -> list[str]:
+    """Run every feed once, or only those of one source.
+
+    ``feeds`` maps sources to tables and file formats; a table's files lie in a
+    folder of its name. Unknown sources are refused. Returns what was ingested.
+    """
+    if source is not None and source not in feeds:
+        raise ValueError(f"unknown source {source!r}, expected one of {sorted(feeds)}")
+    done = []
+    for name, tables in feeds.items():
+        if source not in (None, name):
+            continue
+        for table, fmt in tables.items():
+            folder = f"{landing}/{table}"
+            schema = stored_schema(spark, folder, fmt, f"{state}/{name}/{table}/schema")
+            out, checkpoint = f"{target}/{name}/{table}", f"{state}/{name}/{table}/checkpoint"
+            if fmt == "csv":
+                columns = [(f.name, f.dataType.simpleString()) for f in schema]
+                ingest_csv(spark, folder, columns, out, checkpoint)
+            else:
+                ingest_files(spark, folder, fmt, schema, out, checkpoint)
+            done.append(f"{name}.{table}")
+    return done

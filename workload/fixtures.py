@@ -89,6 +89,7 @@ class Inputs:
         self.spark = spark
         self.sf_dir = sf_dir
         self._known: dict[str, DataFrame] = {}
+        self._kept: set[str] = set()
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in BASE or name in SQL:
@@ -103,12 +104,12 @@ class Inputs:
                 df = self._passing_edges()
             else:
                 df = self.sql(SQL[name])
-            self._known[name] = df
+            self._known[name] = stored(df, name) if name in self._kept else df
         return self._known[name]
 
-    def keep(self, name: str) -> None:
-        """Write out a fixture that this query reads more than once."""
-        self._known[name] = stored(self.table(name), name)
+    def keep(self, *names: str) -> None:
+        """Fixtures that a query reads more than once are written on first use."""
+        self._kept.update(names)
 
     def sql(self, template: str) -> DataFrame:
         used = {name: self.table(name) for name in set(PLACEHOLDER.findall(template))}

@@ -40,12 +40,19 @@ NAMES = {
 }
 
 
-def layers(t: Inputs, *keep: str) -> Layers:
-    """Layers over the landed tables; ``keep`` names tables to store on first use."""
+# Tables that several others (or the reading back of names) depend on.
+SHARED = frozenset(
+    "match team player match_team team_tournament fact_team_tournament fact_team_dominance".split()
+)
+
+
+def layers(t: Inputs) -> Layers:
+    """Layers over the landed tables; shared tables are stored on first use."""
+    t.keep("b_game", "b_line")
     return Layers(
         lambda source, table: t.table(LANDED[(source, table)]),
         {"silver": silver.TABLES, "gold": gold.TABLES},
-        keep=frozenset(keep),
+        keep=SHARED,
     )
 
 
