@@ -6,9 +6,20 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# NULL keys never match, but a shuffle would send all of them to one task.
-NULL_SPREAD = 256
+
+def _spread_missing(df: DataFrame, key: str) -> Column:
+    """The key, or for a NULL key some value that differs from row to row."""
+    kind = df.schema[key].dataType
+    scatter = F.xxhash64(*df.columns)
+    if isinstance(kind, T.LongType):
+        return F.coalesce(key, scatter)
+    if isinstance(kind, T.IntegerType):
+        return F.coalesce(F.col(key), F.pmod(scatter, F.lit(2**31 - 1)).cast("int"))
+    if isinstance(kind, T.StringType):
+        return F.coalesce(F.col(key), scatter.cast("string"))
+    return F.col(key)
 
 
 def lookup(
@@ -22,22 +33,22 @@ def lookup(
 
     ``on`` maps columns of ``df`` to key columns of ``ref``; ``take`` maps new
     column names to columns of ``ref``, so one table can serve several roles.
-    In a left lookup rows with a NULL key are spread over many tasks.
+
+    NULL keys never match, yet a shuffle would send all of them to one task. A
+    left lookup therefore shuffles such rows by a scattered value, and the
+    condition still asks for the key itself to be present.
     """
     right = ref.select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(on.values())],
         *[F.col(c).alias(name) for name, c in take.items()],
     )
-    conditions = [F.col(c) == F.col(f"_k{i}") for i, c in enumerate(on)]
-    dropped = [f"_k{i}" for i in range(len(on))]
-    if how == "left":
-        missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
-        spread = F.when(missing, F.pmod(F.xxhash64(*df.columns), F.lit(NULL_SPREAD)) + 1).otherwise(0)
-        df = df.withColumn("_spread", spread.cast("int"))
-        right = right.withColumn("_kspread", F.lit(0))
-        conditions.append(F.col("_spread") == F.col("_kspread"))
-        dropped += ["_spread", "_kspread"]
-    return df.join(right, reduce(lambda a, b: a & b, conditions), how).drop(*dropped)
+    if how != "left":
+        equal = [F.col(c) == F.col(f"_k{i}") for i, c in enumerate(on)]
+        return df.join(right, conjunction(equal), how).drop(*[f"_k{i}" for i in range(len(on))])
+    left = df.withColumns({f"_s{i}": _spread_missing(df, c) for i, c in enumerate(on)})
+    equal = [F.col(f"_s{i}") == F.col(f"_k{i}") for i in range(len(on))]
+    present = [F.col(c).isNotNull() for c in on]
+    return left.join(right, conjunction(equal + present), "left").select(*df.columns, *take)
 
 
 def attach(df: DataFrame, ref: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:

@@ -32,9 +32,9 @@ def hot(spark):
 
 def test_hot_key_of_a_lookup_is_split(no_broadcast, hot):
     spark = no_broadcast
-    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "100KB")
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "20KB")
     spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.5")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100KB")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20KB")
     spark.conf.set("spark.sql.shuffle.partitions", "40")
     ref = spark.range(5000).select(F.col("id").alias("k"), F.concat(F.lit("n"), "id").alias("name"))
     got = lookup(hot, ref, {"k": "k"}, {"name": "name"}).groupBy("k").agg(F.count("name").alias("n"))
