@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stargrain.operators.joins import conjunction, stack_sources
@@ -16,7 +16,10 @@ SALTS = 8
 
 
 def degrees(edges: DataFrame, by: list[str], src: str, dst: str, weight: str) -> DataFrame:
-    """Per node: degrees, weighted degrees and distinct partners.
+    """Per node: degrees, weighted degrees, distinct partners and chains.
+
+    ``chains`` counts three-player moves through the node that do not go back
+    to the sender; it follows from the sums, without listing any move.
 
     Every edge is turned into two half-edges in one scan. They are summed per
     (node, partner) first, so the row of a busy node is built from partials.
@@ -46,6 +49,7 @@ def degrees(edges: DataFrame, by: list[str], src: str, dst: str, weight: str) ->
         F.sum("out_w").alias("weighted_out"),
         F.sum("in_w").alias("weighted_in"),
         F.count(F.lit(1)).alias("partners"),
+        (F.sum("in_w") * F.sum("out_w") - F.sum(F.col("in_w") * F.col("out_w"))).alias("chains"),
     )
 
 
@@ -121,11 +125,11 @@ def pagerank(
 
 @dataclass(frozen=True)
 class Relation:
-    """One foreign key read as a relationship."""
+    """One foreign key read as a relationship; a subject may have a composite key."""
 
     table: str
     subject_type: str
-    subject_column: str
+    subject_columns: tuple[str, ...]
     predicate: str
     object_type: str
     object_column: str
@@ -135,8 +139,13 @@ def triples(tables: dict[str, DataFrame], relations: list[Relation]) -> DataFram
     """(subject_type, subject_id, predicate, object_type, object_id) rows.
 
     All relationships of one table come from a single scan of it; a NULL
-    foreign key gives no triple.
+    foreign key gives no triple, nor does an incomplete subject key.
     """
+
+    def subject(r: Relation) -> Column:
+        text = F.concat_ws("|", *[F.col(c).cast("string") for c in r.subject_columns])
+        return F.when(conjunction([F.col(c).isNotNull() for c in r.subject_columns]), text)
+
     frames = []
     for table, df in tables.items():
         own = [r for r in relations if r.table == table]
@@ -145,7 +154,7 @@ def triples(tables: dict[str, DataFrame], relations: list[Relation]) -> DataFram
         rows = [
             F.struct(
                 F.lit(r.subject_type).alias("subject_type"),
-                F.col(r.subject_column).cast("string").alias("subject_id"),
+                subject(r).alias("subject_id"),
                 F.lit(r.predicate).alias("predicate"),
                 F.lit(r.object_type).alias("object_type"),
                 F.col(r.object_column).cast("string").alias("object_id"),

@@ -226,11 +226,10 @@ def star_relations(foreign_keys, primary_keys: dict[str, list[str]]) -> list[Rel
         Relation(
             fk.table,
             entity(fk.table),
-            primary_keys[fk.table][0],
+            tuple(primary_keys[fk.table]),
             f"{entity(fk.table)[0].lower()}{entity(fk.table)[1:]}_{fk.column.removesuffix('_id')}",
             entity(fk.ref_table),
             fk.column,
         )
         for fk in foreign_keys
-        if len(primary_keys[fk.table]) == 1
     ]

@@ -142,22 +142,20 @@ def blob_tables(
     """
     if source not in SOURCES:
         raise ValueError(f"unknown source {source!r}, expected one of {sorted(SOURCES)}")
-    tables = list(SOURCES[source]["tables"])
-    paths = {file_path(source, t): t for t in tables}
-    wanted = blobs.where(
-        (F.col("repository_id") == repositories[source]) & F.col("path").isin(list(paths))
-    )
-    newest = newest_blobs(wanted, version)
+    files = {t: file_path(source, t) for t in SOURCES[source]["tables"]}
+    own = blobs.where(F.col("repository_id") == repositories[source])
     # One small job brings the header line of every file of this source.
+    wanted = newest_blobs(own.where(F.col("path").isin(list(files.values()))), version)
     headers = {
         row.path: row.header
-        for row in newest.select("path", first_line("content").alias("header")).collect()
+        for row in wanted.select("path", first_line("content").alias("header")).collect()
         if row.header
     }
     result = {}
-    for path, table in paths.items():
+    for table, path in files.items():
         if path in headers:
-            one_file = newest.where(F.col("path") == path)
+            # The path is filtered first, so a table reads no file but its own.
+            one_file = newest_blobs(own.where(F.col("path") == path), version)
             result[table] = parse_csv_blobs(one_file, header_ddl(headers[path]))
         elif declared_schema(source, table):
             result[table] = empty_table(spark, source, table)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stargrain.sources.typed import rescue
+from stargrain.sources.typed import RESCUED, rescue
 
 # Files per micro-batch; it bounds the header table that a batch joins with.
 FILES_PER_BATCH = 10_000
@@ -55,10 +55,16 @@ def ingest_files(
 ) -> None:
     """Append all files that are new in ``folder`` to ``target``, then stop.
 
-    For feeds whose files match ``schema``. The file sink keeps its own log, so
+    For feeds whose files match ``schema``; a text row that does not fit keeps
+    its whole text in ``_rescued_data``. The file sink keeps its own log, so
     each file arrives exactly once even if the job is restarted.
     """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    if fmt in ("csv", "json"):
+        schema = T.StructType([*schema.fields, T.StructField(RESCUED, T.StringType())])
     reader = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", FILES_PER_BATCH)
+    reader = reader.option("columnNameOfCorruptRecord", RESCUED)
     if fmt == "csv":
         reader = reader.option("header", True).option("enforceSchema", False)
     query = (

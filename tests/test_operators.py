@@ -228,14 +228,17 @@ def test_pagerank_equals_power_iteration_per_network(spark):
 def test_degrees(frame):
     df = frame("g int, s int, d int, w int", (1, 1, 2, 5), (1, 2, 1, 3), (1, 1, 3, 2), (2, 1, 2, 1))
     got = graph.degrees(df, ["g"], "s", "d", "w")
-    assert rows_of(got) == [(1, 1, 2, 1, 7, 3, 2), (1, 2, 1, 1, 3, 5, 1), (1, 3, 0, 1, 0, 2, 1), (2, 1, 1, 0, 1, 0, 1), (2, 2, 0, 1, 0, 1, 1)]
+    assert rows_of(got) == [
+        (1, 1, 2, 1, 7, 3, 2, 6), (1, 2, 1, 1, 3, 5, 1, 0), (1, 3, 0, 1, 0, 2, 1, 0),
+        (2, 1, 1, 0, 1, 0, 1, 0), (2, 2, 0, 1, 0, 1, 1, 0),
+    ]
 
 
 def test_triples_and_paths(frame):
     relations = [
-        graph.Relation("m", "Match", "id", "home", "Team", "h"),
-        graph.Relation("m", "Match", "id", "away", "Team", "a"),
-        graph.Relation("t", "Team", "id", "in", "Region", "r"),
+        graph.Relation("m", "Match", ("id",), "home", "Team", "h"),
+        graph.Relation("m", "Match", ("id",), "away", "Team", "a"),
+        graph.Relation("t", "Team", ("id",), "in", "Region", "r"),
     ]
     rows = graph.triples({"m": frame("id int, h int, a int", (1, 7, 8), (2, 7, None)), "t": frame("id int, r int", (7, 70), (8, 70))}, relations)
     assert rows.count() == 5

@@ -1,5 +1,6 @@
 import pytest
 from conftest import rows_of
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from stargrain.sources import blobs as B
@@ -124,7 +125,14 @@ def test_native_stream_and_stored_schema(spark, tmp_path):
     assert stored_schema(spark, str(landing), "csv", f"{state}/schema") == schema
     ingest_files(spark, str(landing), "csv", schema, out, f"{state}/c")
     ingest_files(spark, str(landing), "csv", schema, out, f"{state}/c")
-    assert rows_of(spark.read.parquet(out).select("id", "v")) == [(1, 0.5), (None, None)]
+    got = spark.read.parquet(out).select("id", "v", RESCUED)
+    assert rows_of(got) == [(1, 0.5, None), (None, None, "x,y")]
+
+
+def test_native_stream_refuses_other_headers(spark, tmp_path):
+    write(tmp_path / "in", "1.csv", "other,v\n1,0.5\n")
+    with pytest.raises(StreamingQueryException):
+        ingest_files(spark, str(tmp_path / "in"), "csv", "id int, v double", str(tmp_path / "out"), str(tmp_path / "c"))
 
 
 def test_feeds_by_source(spark, tmp_path):

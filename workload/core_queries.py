@@ -845,7 +845,8 @@ def passing_edges(t: Inputs) -> DataFrame:
 @query(
     "pass_degrees",
     """SELECT match_date, team_id, node, count(*) FILTER (WHERE o > 0) AS out_degree, count(*) FILTER (WHERE i > 0) AS in_degree,
-              CAST(sum(ow) AS BIGINT) AS weighted_out, CAST(sum(iw) AS BIGINT) AS weighted_in, count(*) AS partners
+              CAST(sum(ow) AS BIGINT) AS weighted_out, CAST(sum(iw) AS BIGINT) AS weighted_in, count(*) AS partners,
+              CAST(sum(ow) * sum(iw) - sum(ow * iw) AS BIGINT) AS chains
        FROM (SELECT match_date, team_id, node, partner, sum(o) AS o, sum(i) AS i, sum(ow) AS ow, sum(iw) AS iw FROM (
                SELECT match_date, team_id, passer_id AS node, receiver_id AS partner, 1 AS o, 0 AS i, passes AS ow, 0 AS iw FROM {fx_passing_edge}
                UNION ALL SELECT match_date, team_id, receiver_id, passer_id, 0, 1, 0, passes FROM {fx_passing_edge})
@@ -882,12 +883,12 @@ def pagerank(t: Inputs) -> DataFrame:
 
 
 RELATIONS = [
-    graph.Relation("orders", "Order", "o_orderkey", "orderedBy", "Customer", "o_custkey"),
-    graph.Relation("lineitem", "Line", "l_line", "lineOfOrder", "Order", "l_orderkey"),
-    graph.Relation("lineitem", "Line", "l_line", "lineFromSupplier", "Supplier", "l_suppkey"),
-    graph.Relation("customer", "Customer", "c_custkey", "customerInNation", "Nation", "c_nationkey"),
-    graph.Relation("supplier", "Supplier", "s_suppkey", "supplierInNation", "Nation", "s_nationkey"),
-    graph.Relation("nation", "Nation", "n_nationkey", "nationInRegion", "Region", "n_regionkey"),
+    graph.Relation("orders", "Order", ("o_orderkey",), "orderedBy", "Customer", "o_custkey"),
+    graph.Relation("lineitem", "Line", ("l_line",), "lineOfOrder", "Order", "l_orderkey"),
+    graph.Relation("lineitem", "Line", ("l_line",), "lineFromSupplier", "Supplier", "l_suppkey"),
+    graph.Relation("customer", "Customer", ("c_custkey",), "customerInNation", "Nation", "c_nationkey"),
+    graph.Relation("supplier", "Supplier", ("s_suppkey",), "supplierInNation", "Nation", "s_nationkey"),
+    graph.Relation("nation", "Nation", ("n_nationkey",), "nationInRegion", "Region", "n_regionkey"),
 ]
 
 
@@ -900,7 +901,7 @@ def _triple_sql(table: str, subject: str, key: str, predicate: str, obj: str, fk
 
 _LINE = "CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)"
 CTES["o_triple"] = " UNION ALL ".join(
-    _triple_sql(r.table, r.subject_type, _LINE if r.subject_column == "l_line" else r.subject_column,
+    _triple_sql(r.table, r.subject_type, _LINE if r.table == "lineitem" else r.subject_columns[0],
                 r.predicate, r.object_type, r.object_column)
     for r in RELATIONS
 )

@@ -11,8 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stargrain.operators.checks import star_report
+from stargrain.operators.graph import triples
 from stargrain.operators.joins import lookup
 from stargrain.plans import gold, questions, silver, views
+from stargrain.plans.facts import team_match
 from stargrain.sources.tables import Layers
 from workload.bronze import LANDED
 from workload.fixtures import Inputs
@@ -446,24 +448,32 @@ def gold_foreign_keys(t: Inputs) -> DataFrame:
     return report
 
 
+def _triple_count(predicate: str, counted: str, source: str, where: str = "") -> str:
+    return f"SELECT '{predicate}' AS predicate, count({counted}) AS n FROM {source} {where}"
+
+
 @query(
     "gold_triples",
-    """SELECT 'fact_match' AS table_name, 'match_home_team' AS predicate, count(*) AS n FROM {o_mr}
-       UNION ALL SELECT 'fact_match', 'match_away_team', count(*) FROM {o_mr}
-       UNION ALL SELECT 'fact_match', 'match_winner_team', count(*) FROM {o_mr} WHERE r IN ('W', 'L')
-       UNION ALL SELECT 'fact_match', 'match_venue', count(venue) FROM {o_mr}
-       UNION ALL SELECT 'fact_match', 'match_tournament', count(*) FROM {o_mr}
-       UNION ALL SELECT 'fact_match', 'match_stage', count(*) FROM {o_mr}
-       UNION ALL SELECT 'fact_match', 'match_group', count(e.group_name) FROM {o_mr} m
-                 LEFT JOIN {o_entry} e ON e.edition = m.edition AND e.team = m.home WHERE stage = 'Group Stage'""",
+    " UNION ALL ".join(
+        [_triple_count(f"match_{c}", "*", "{o_mr}") for c in ("tournament", "stage", "home_team", "away_team")]
+        + [_triple_count("match_winner_team", "*", "{o_mr}", "WHERE r IN ('W', 'L')"), _triple_count("match_venue", "venue", "{o_mr}")]
+        + [_triple_count("match_group", "e.group_name", "{o_mr} m LEFT JOIN {o_entry} e ON e.edition = m.edition AND e.team = m.home",
+                         "WHERE stage = 'Group Stage'")]
+        + [_triple_count(f"pass_{c}", "*", "{o_pass}") for c in ("match", "team", "passer", "receiver")]
+        + [_triple_count(f"teamDominance_{c}", "*", "{o_tt}") for c in ("tournament", "team")]
+        + [_triple_count(f"playerMatch_{c}", "*", "{o_player}") for c in ("match", "team", "player")]
+    ),
 )
 def gold_triples(t: Inputs) -> DataFrame:
-    """Triples of the match node, counted per relationship."""
-    from stargrain.operators.graph import triples
-
+    """Triples of four tables, two of them with composite keys, counted per relationship."""
+    L = layers(t)
     relations = questions.star_relations(gold.FOREIGN_KEYS, gold.PRIMARY_KEYS)
-    rows = triples({"fact_match": layers(t).gold("fact_match")}, relations)
-    return rows.groupBy(F.lit("fact_match").alias("table_name"), "predicate").agg(F.count(F.lit(1)).alias("n"))
+    tables = ("fact_match", "fact_pass", "fact_team_dominance", "fact_player_match")
+    rows = triples({name: L.gold(name) for name in tables}, relations)
+    return rows.groupBy("predicate").agg(F.count(F.lit(1)).alias("n"))
+
+
+CTES["o_pass"] = SILVER_SQL["passing_edge"]
 
 
 @query(
@@ -473,8 +483,6 @@ def gold_triples(t: Inputs) -> DataFrame:
              LEFT JOIN {o_dom} d ON d.edition = t.edition AND d.team = t.opponent) GROUP BY ALL""",
 )
 def gold_route(t: Inputs) -> DataFrame:
-    from stargrain.plans.facts import team_match
-
     L = layers(t)
     rows = team_match(L.silver("match"), ["match_id", "tournament_id", "match_date"])
     steps = questions.route(rows, L.gold("fact_team_dominance"))
