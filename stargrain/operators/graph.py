@@ -169,6 +169,12 @@ def triples(tables: dict[str, DataFrame], relations: list[Relation]) -> DataFram
     return stack_sources(*frames)
 
 
+def onward(relations: list[Relation], first: list[Relation]) -> list[Relation]:
+    """Relationships that can follow ``first``, so that a second hop reads only their tables."""
+    reached = {r.object_type for r in first}
+    return [r for r in relations if r.subject_type in reached]
+
+
 def two_hop(first: DataFrame, second: DataFrame) -> DataFrame:
     """Paths subject -> via -> object; ``second`` holds the triples of the second hop."""
     left = first.select(

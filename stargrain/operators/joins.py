@@ -62,6 +62,13 @@ def attach(df: DataFrame, ref: DataFrame, keys: list[str], how: str = "inner") -
     return df.join(right, condition, how).drop(*[f"_k_{k}" for k in keys])
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's own size estimate lets it broadcast this side."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
+
+
 def outer_merge(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Full outer merge of two partial tables of the same grain."""
     return left.join(right, keys, "full_outer")

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stargrain.functions.exprs import ratio as safe_ratio
+from stargrain.operators.joins import fits_broadcast
 
 Part = tuple[str, str]  # (aggregate, source column)
 
@@ -75,7 +76,8 @@ class Join:
     """Left join of a dimension with one row per key.
 
     ``on`` maps source columns to key columns. ``coarse`` says that many source
-    rows share a key, which makes aggregating before the join worthwhile.
+    rows share a key. If the dimension is then too big for Spark to broadcast,
+    the source is aggregated before the join.
     """
 
     table: DataFrame
@@ -162,7 +164,13 @@ class MetricView:
         return self.source.select(*own, *keys, *values)
 
     def _worth_preaggregating(self, needed: list[str], parts: list[Part]) -> bool:
-        return all(self.joins[j].coarse for j in needed) and all(k in _MERGE for k, _ in parts)
+        """A broadcast dimension joins in place; only a shuffled one is worth it."""
+        joins = [self.joins[j] for j in needed]
+        return (
+            all(kind in _MERGE for kind, _ in parts)
+            and all(j.coarse for j in joins)
+            and not all(fits_broadcast(j.table) for j in joins)
+        )
 
     def _preaggregate(self, rows: DataFrame, parts: list[Part]) -> DataFrame:
         """Shrink the source to its join keys and own dimensions first."""

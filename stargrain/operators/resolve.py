@@ -23,12 +23,12 @@ def resolve_best(df: DataFrame, by: list[str], prefer: list[Column]) -> DataFram
     return df.groupBy(*by).agg(best).select(*by, *[F.col(f"_best.{c}").alias(c) for c in payload])
 
 
-def latest(df: DataFrame, by: list[str], version: str, fingerprint: Column) -> DataFrame:
+def latest(df: DataFrame, by: list[str], version: str) -> DataFrame:
     """Keep the newest row per key of a table with wide rows.
 
-    The winning version is found on the key columns alone, so that the wide
-    columns are shuffled at most once.
+    The winning version is found on the key columns alone, so older wide rows
+    are dropped before any shuffle of them; equal versions are settled by
+    content.
     """
-    marked = df.withColumn("_mark", F.struct(F.col(version).alias("v"), fingerprint.alias("f")))
-    newest = marked.groupBy(*by).agg(F.max("_mark").alias("_mark"))
-    return attach(marked, newest, [*by, "_mark"]).drop("_mark").dropDuplicates(by)
+    newest = df.groupBy(*by).agg(F.max(version).alias(version))
+    return resolve_best(attach(df, newest, [*by, version]), by, []).select(*df.columns)

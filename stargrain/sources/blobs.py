@@ -19,7 +19,7 @@ def live_blobs(blobs: DataFrame) -> DataFrame:
 
 def newest_blobs(blobs: DataFrame, version: str) -> DataFrame:
     """The newest live version of every file."""
-    return latest(live_blobs(blobs), ["repository_id", "path"], version, F.xxhash64("content"))
+    return latest(live_blobs(blobs), ["repository_id", "path"], version)
 
 
 def _lines(blobs: DataFrame) -> DataFrame:

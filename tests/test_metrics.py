@@ -38,12 +38,19 @@ def test_ratio_of_sums_not_mean_of_ratios(view):
     assert rows_of(got) == [("r", 3, 0.5, 40.0, 2, -3), (None, 3, None, 10.0, 3, None)]
 
 
-def test_same_answer_with_and_without_aggregating_first(view):
+def test_same_answer_with_and_without_aggregating_first(spark, view):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     measures = ["goals", "conversion", "possession", "best"]
     assert rows_of(view(True).query(["name", "day"], measures)) == rows_of(view(False).query(["name", "day"], measures))
 
 
-def test_aggregating_first_comes_before_the_join(view):
+def test_small_dimensions_join_in_place(view):
+    plan = view().query(["region"], ["goals"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1
+
+
+def test_aggregating_first_comes_before_a_shuffled_join(spark, view):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     plan = view().query(["region"], ["goals"])._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate") == 2
     # A distinct count cannot be merged, so it is aggregated once, after the join.

@@ -69,7 +69,8 @@ def test_q8_q9_resolution_is_total_and_independent_of_order(spark):
 
 def test_latest_takes_newest_and_drops_copies(frame):
     df = frame("k int, v int, c string", (1, 1, "old"), (1, 2, "new"), (1, 2, "new"), (2, 5, "x"))
-    assert rows_of(latest(df, ["k"], "v", F.xxhash64("c"))) == [(1, 2, "new"), (2, 5, "x")]
+    assert rows_of(latest(df, ["k"], "v")) == [(1, 2, "new"), (2, 5, "x")]
+    assert rows_of(latest(frame("k int, v int, c string", (1, 1, "b"), (1, 1, "a")), ["k"], "v")) == [(1, 1, "a")]
 
 
 # --- ordered operators ------------------------------------------------------------------------

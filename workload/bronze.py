@@ -16,12 +16,12 @@ SELECT min(o.o_orderkey) AS id, min(year(o.o_orderdate)) AS yr, CAST(o.o_orderda
        o.o_custkey AS ck, l.sk AS sk,
        min(CASE WHEN o.o_orderpriority = '1-URGENT' THEN 'Group Stage' ELSE o.o_orderpriority END) AS stage,
        max(l.q % 5) AS hs, max(CAST(l.pk % 5 AS INT)) AS aws,
-       max(CASE WHEN l.rf = 'R' THEN CAST(l.sk % 4 AS INT) END) AS hp,
-       max(CASE WHEN l.rf = 'R' THEN CAST(o.o_custkey % 4 AS INT) END) AS ap,
+       max(CASE WHEN l.rf = 82 THEN CAST(l.sk % 4 AS INT) END) AS hp,
+       max(CASE WHEN l.rf = 82 THEN CAST(o.o_custkey % 4 AS INT) END) AS ap,
        max(CAST(l.d AS DECIMAL(9,4)) * 20) AS hx, max(CAST(l.t AS DECIMAL(9,4)) * 20) AS ax
 FROM {orders} o
 JOIN (SELECT l_orderkey, min(l_suppkey) AS sk, min(l_partkey) AS pk, CAST(sum(l_quantity) AS INT) AS q,
-             max(l_discount) AS d, max(l_tax) AS t, max(l_returnflag) AS rf
+             max(l_discount) AS d, max(l_tax) AS t, max(ascii(l_returnflag)) AS rf
       FROM {lineitem} GROUP BY l_orderkey) l ON l.l_orderkey = o.o_orderkey
 GROUP BY o.o_custkey, l.sk, CAST(o.o_orderdate AS DATE)"""
 
@@ -35,7 +35,7 @@ SELECT p_partkey AS pk, p_name || ' ' || CAST(p_partkey AS STRING) AS name, p_na
 # Lines of matches, one row per match and player.
 B["b_line"] = """
 SELECT g.id, g.yr, g.day, g.ck, g.sk, l.l_partkey AS pk, min(l.l_linenumber) AS ln, count(*) AS n,
-       CAST(sum(l.l_quantity) AS INT) AS qty, max(l.l_returnflag) AS rf
+       CAST(sum(l.l_quantity) AS INT) AS qty, chr(max(ascii(l.l_returnflag))) AS rf
 FROM {lineitem} l JOIN {b_game} g ON l.l_orderkey = g.id
 GROUP BY g.id, g.yr, g.day, g.ck, g.sk, l.l_partkey"""
 

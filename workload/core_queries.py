@@ -43,9 +43,8 @@ def surrogate_key_query(t: Inputs) -> DataFrame:
         "key", surrogate_key("segment", "c_nationkey")
     )
     text = F.when(F.col("key").isNotNull(), natural_key("segment", "c_nationkey"))
-    return rows.groupBy("key").agg(F.min(text).alias("natural_key"), F.count(F.lit(1)).alias("n_rows")).select(
-        "natural_key", F.col("key").isNotNull().alias("has_key"), "n_rows"
-    )
+    groups = rows.groupBy("key", text.alias("natural_key")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return groups.select("natural_key", F.col("key").isNotNull().alias("has_key"), "n_rows")
 
 
 @query(
@@ -907,16 +906,16 @@ CTES["o_triple"] = " UNION ALL ".join(
 )
 
 
-def triple_rows(t: Inputs) -> DataFrame:
+def triple_rows(t: Inputs, relations: list[graph.Relation]) -> DataFrame:
     line = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
     tables = {n: t.table(n) for n in ("orders", "customer", "supplier", "nation")}
     tables["lineitem"] = t.lineitem.withColumn("l_line", line)
-    return graph.triples(tables, RELATIONS)
+    return graph.triples(tables, relations)
 
 
 @query("triples", "SELECT * FROM {o_triple}")
 def triples(t: Inputs) -> DataFrame:
-    return triple_rows(t)
+    return triple_rows(t, RELATIONS)
 
 
 @query(
@@ -927,8 +926,8 @@ def triples(t: Inputs) -> DataFrame:
        WHERE a.predicate = 'orderedBy'""",
 )
 def two_hop(t: Inputs) -> DataFrame:
-    rows = triple_rows(t)
-    return graph.two_hop(rows.where(F.col("predicate") == "orderedBy"), rows)
+    first = [r for r in RELATIONS if r.predicate == "orderedBy"]
+    return graph.two_hop(triple_rows(t, first), triple_rows(t, graph.onward(RELATIONS, first)))
 
 
 @query(
@@ -938,8 +937,8 @@ def two_hop(t: Inputs) -> DataFrame:
        FROM {o_triple} a JOIN {o_triple} b ON b.subject_type = a.object_type AND b.subject_id = a.object_id GROUP BY ALL""",
 )
 def path_counts(t: Inputs) -> DataFrame:
-    rows = triple_rows(t)
-    return graph.path_counts(rows, rows)
+    second = graph.onward(RELATIONS, RELATIONS)
+    return graph.path_counts(triple_rows(t, RELATIONS), triple_rows(t, second))
 
 
 @query(

@@ -26,17 +26,19 @@ SQL["fx_team"] = """
 SELECT n_nationkey AS team_id, n_name AS name, r_regionkey AS confederation_id, r_name AS confederation_name
 FROM {nation} LEFT JOIN {region} ON n_regionkey = r_regionkey"""
 
+# The flag is compared by its code (82 is R): a number is aggregated by hashing,
+# a text would be by sorting.
 SQL["fx_match"] = """
 SELECT o.o_orderkey AS match_id, CAST(year(o.o_orderdate) AS INT) AS tournament_id, o.o_orderpriority AS stage_id,
        CAST(o.o_orderdate AS DATE) AS match_date, c.c_nationkey AS home_team_id, s.s_nationkey AS away_team_id,
        l.q % 5 AS home_score, CAST(l.pk % 5 AS INT) AS away_score,
-       CASE WHEN l.rf = 'R' THEN CAST(l.sk % 4 AS INT) END AS home_penalties,
-       CASE WHEN l.rf = 'R' THEN CAST(o.o_custkey % 4 AS INT) END AS away_penalties,
+       CASE WHEN l.rf = 82 THEN CAST(l.sk % 4 AS INT) END AS home_penalties,
+       CASE WHEN l.rf = 82 THEN CAST(o.o_custkey % 4 AS INT) END AS away_penalties,
        CASE WHEN year(o.o_orderdate) >= 1996 THEN CAST(l.d AS DECIMAL(9,4)) * 20 END AS home_xg,
        CASE WHEN year(o.o_orderdate) >= 1996 THEN CAST(l.t AS DECIMAL(9,4)) * 20 END AS away_xg
 FROM {orders} o
 JOIN (SELECT l_orderkey, min(l_suppkey) AS sk, min(l_partkey) AS pk, CAST(sum(l_quantity) AS INT) AS q,
-             max(l_discount) AS d, max(l_tax) AS t, max(l_returnflag) AS rf
+             max(l_discount) AS d, max(l_tax) AS t, max(ascii(l_returnflag)) AS rf
       FROM {lineitem} GROUP BY l_orderkey) l ON l.l_orderkey = o.o_orderkey
 JOIN {customer} c ON o.o_custkey = c.c_custkey
 JOIN {supplier} s ON l.sk = s.s_suppkey
