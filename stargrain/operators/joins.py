@@ -70,8 +70,18 @@ def fits_broadcast(df: DataFrame) -> bool:
 
 
 def outer_merge(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Full outer merge of two partial tables of the same grain."""
-    return left.join(right, keys, "full_outer")
+    """Full outer merge of two partial tables of the same grain.
+
+    Rows without a key match nothing and are kept, scattered over tasks.
+    """
+    first = keys[0]
+    l = left.withColumn("_sl", _spread_missing(left, first))
+    r = right.withColumn("_sr", _spread_missing(right, first)).withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    same = [F.col(k) == F.col(f"_r_{k}") for k in keys[1:]]
+    present = [F.col(first).isNotNull(), F.col(f"_r_{first}").isNotNull()]
+    merged = l.join(r, conjunction([F.col("_sl") == F.col("_sr"), *same, *present]), "full_outer")
+    others = [c for df in (left, right) for c in df.columns if c not in keys]
+    return merged.select(*[F.coalesce(k, f"_r_{k}").alias(k) for k in keys], *others)
 
 
 def stack_sources(*frames: DataFrame, priority: str | None = None) -> DataFrame:

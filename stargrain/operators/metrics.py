@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stargrain.functions.exprs import ratio as safe_ratio
-from stargrain.operators.joins import fits_broadcast
+from stargrain.operators.joins import fits_broadcast, lookup
 
 Part = tuple[str, str]  # (aggregate, source column)
 
@@ -183,14 +183,6 @@ class MetricView:
     def _join(self, rows: DataFrame, places, needed: list[str]) -> DataFrame:
         for name in needed:
             join = self.joins[name]
-            wanted = {d: c for d, (rel, c) in places.items() if rel == name}
-            right = join.table.select(
-                *[F.col(key).alias(f"_r{i}") for i, key in enumerate(join.on.values())],
-                *[F.col(c).alias(f"_d_{d}") for d, c in wanted.items()],
-            )
-            condition = None
-            for i, key in enumerate(join.on):
-                equal = F.col(f"_k_{key}") == F.col(f"_r{i}")
-                condition = equal if condition is None else condition & equal
-            rows = rows.join(right, condition, "left").drop(*[f"_r{i}" for i in range(len(join.on))])
+            wanted = {f"_d_{d}": c for d, (rel, c) in places.items() if rel == name}
+            rows = lookup(rows, join.table, {f"_k_{c}": key for c, key in join.on.items()}, wanted)
         return rows

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from stargrain.operators.joins import attach
+
 
 def _bucketed(df: DataFrame, buckets: list[Column]) -> tuple[DataFrame, list[str]]:
     names = [f"_b{i}" for i in range(len(buckets))]
@@ -59,23 +61,24 @@ def running_totals(
 
 
 def rank_within(
-    df: DataFrame, by: list[str], buckets: list[Column], order: list[Column], out: str = "rank"
+    df: DataFrame,
+    by: list[str],
+    order: list[tuple[str, str]],
+    buckets: list[Column],
+    out: str = "rank",
 ) -> DataFrame:
-    """``rank()`` per group; ``buckets`` must be functions of the order keys."""
-    rows, names = _bucketed(df, buckets)
-    before = W.partitionBy(*by).orderBy(*names).rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        rows.groupBy(*by, *names)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*by, *names, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_ahead"))
-    )
-    inside = W.partitionBy(*by, *names).orderBy("_extra", *order)
-    # The extra row comes first: it holds the offset and takes rank 1.
-    ahead = F.first("_ahead").over(inside.rowsBetween(W.unboundedPreceding, 0))
-    both = _with_extra(rows, offsets).withColumns({"_ahead": ahead, "_local": F.rank().over(inside)})
-    return both.where(F.col("_extra") == 1).select(
-        *df.columns, (F.col("_ahead") + F.col("_local") - 1).cast("int").alias(out)
-    )
+    """``rank()`` per group, ordered by (column, "asc" or "desc"), NULLs last.
+
+    Rows with equal order values share a rank, so they are counted first and
+    only distinct values are ordered: any number of ties is one row there.
+    ``buckets`` must be functions of the order columns that grow with the order.
+    """
+    names = [c for c, _ in order]
+    ordering = [F.desc_nulls_last(c) if way == "desc" else F.asc_nulls_last(c) for c, way in order]
+    values = df.groupBy(*by, *names).agg(F.count(F.lit(1)).alias("_n"))
+    counted = running_totals(values, by, buckets, ordering, {"_upto": F.col("_n")})
+    rank = (F.col("_upto") - F.col("_n") + 1).cast("int").alias(out)
+    return attach(df, counted.select(*by, *names, rank), [*by, *names])
 
 
 def next_within(

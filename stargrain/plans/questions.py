@@ -13,8 +13,9 @@ from stargrain.operators.pivots import metric_rows
 from stargrain.plans.facts import DOMINANCE_WEIGHTS
 
 SCORE = "performance_dominance_score"
-# Rows per id block when a day of one team has to be cut further.
-BLOCK_BITS = 20
+# Low bits dropped to cut a day or a tie into blocks of keys. Hashed keys fill
+# all 64 bits, which leaves 16,384 even blocks.
+KEY_BLOCK_BITS = 50
 # Final ranks per bucket among teams with the same score.
 RANK_BLOCK = 1_000
 
@@ -32,12 +33,12 @@ def best_team_ranking(dominance: DataFrame, standing: DataFrame) -> DataFrame:
     return rank_within(
         rows,
         ["tournament_id"],
+        [(SCORE, "desc"), ("final_rank", "asc")],
         # Scores are 0 to 1, so 1.0 puts missing scores last.
         [
             F.coalesce(-F.col(SCORE), F.lit(1.0)),
             F.coalesce(F.floor(F.col("final_rank") / RANK_BLOCK), F.lit(2**31)),
         ],
-        [F.desc_nulls_last(SCORE), F.asc_nulls_last("final_rank")],
         "dominance_rank",
     )
 
@@ -48,8 +49,8 @@ def standing_by_points(team_tournament: DataFrame) -> DataFrame:
     return rank_within(
         rows,
         ["tournament_id"],
+        [("points", "desc"), ("_gd", "desc")],
         [F.coalesce(-F.col("points"), F.lit(1))],
-        [F.desc_nulls_last("points"), F.desc_nulls_last("_gd")],
         "final_rank",
     ).drop("_gd")
 
@@ -71,7 +72,7 @@ def best_or_champion(ranking: DataFrame) -> DataFrame:
     )
 
 
-def route(team_match: DataFrame, dominance: DataFrame) -> DataFrame:
+def route(team_match: DataFrame, dominance: DataFrame, block_bits: int = KEY_BLOCK_BITS) -> DataFrame:
     """Each team's matches in order, adjusted for the opponent's strength.
 
     ``team_match`` carries tournament, date and opponent, so the opponent needs
@@ -91,7 +92,7 @@ def route(team_match: DataFrame, dominance: DataFrame) -> DataFrame:
     return running_totals(
         rows,
         ["tournament_id", "team_id"],
-        [F.col("match_date"), F.shiftright("match_id", BLOCK_BITS)],
+        [F.col("match_date"), F.shiftright("match_id", block_bits)],
         [F.asc("match_date"), F.asc("match_id")],
         {"running_adjusted": F.col("adjusted_points")},
         step="step",
@@ -192,8 +193,7 @@ def surprise_by_team(surprise_rows: DataFrame) -> DataFrame:
 def group_standings(rows: DataFrame, by: list[str]) -> DataFrame:
     """Group tables derived from team-match rows of the group stage.
 
-    Order: points, goal difference, goals, then team id. Groups are ranked in
-    buckets of points.
+    Order: points, goal difference, goals, then team id.
     """
     table = rows.groupBy(*by, "team_id").agg(
         F.count("result").alias("played"),
@@ -203,8 +203,10 @@ def group_standings(rows: DataFrame, by: list[str]) -> DataFrame:
         F.sum("points").alias("points"),
     )
     table = table.withColumn("_gd", F.col("goals_for") - F.col("goals_against"))
-    order = [F.desc_nulls_last(c) for c in ("points", "_gd", "goals_for")] + [F.asc("team_id")]
-    return rank_within(table, by, [F.coalesce(-F.col("points"), F.lit(1))], order).drop("_gd")
+    order = [("points", "desc"), ("_gd", "desc"), ("goals_for", "desc"), ("team_id", "asc")]
+    falling = [F.coalesce(-F.col(c), F.lit(2**40)) for c in ("points", "_gd", "goals_for")]
+    block = F.shiftright(F.col("team_id").cast("bigint"), KEY_BLOCK_BITS)
+    return rank_within(table, by, order, [*falling, block]).drop("_gd")
 
 
 def evidence(rows: DataFrame, by: list[str], source: str) -> DataFrame:

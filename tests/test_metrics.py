@@ -7,12 +7,12 @@ from stargrain.operators.metrics import Join, MetricView, average, distinct, hig
 
 
 @pytest.fixture
-def view(frame):
+def view(spark, frame):
     facts = frame(
         "id int, team int, day int, goals int, shots int, p double",
         (1, 1, 1, 2, 4, 50.0), (2, 1, 2, 0, 0, None), (3, 2, 1, 1, 2, 30.0), (4, None, 1, 3, None, 10.0),
     )
-    teams = frame("id int, name string, region string", (1, "x", "r"), (2, "y", "r"))
+    teams = spark.sql("SELECT * FROM VALUES (1, 'x', 'r'), (2, 'y', 'r') AS t(id, name, region)")
 
     def make(coarse=True):
         return MetricView(

@@ -41,6 +41,11 @@ def test_attach_matches_null_groups(frame):
 def test_outer_merge_and_stack(frame):
     left, right = frame("k int, a int", (1, 1), (2, 2)), frame("k int, b int", (2, 5), (3, 6))
     assert rows_of(outer_merge(left, right, ["k"])) == [(1, 1, None), (2, 2, 5), (3, None, 6)]
+    a = frame("k int, m int, a int", (None, 1, 1), (2, None, 2), (3, 3, 3))
+    b = frame("k int, m int, b int", (None, 1, 5), (2, None, 6), (3, 3, 7))
+    assert rows_of(outer_merge(a, b, ["k", "m"])) == sorted(
+        [(None, 1, 1, None), (None, 1, None, 5), (2, None, 2, None), (2, None, None, 6), (3, 3, 3, 7)], key=repr
+    )
     assert rows_of(stack_sources(left, right, priority="src")) == [
         (1, 1, 0, None), (2, 2, 0, None), (2, None, 1, 5), (3, None, 1, 6),
     ]
@@ -95,10 +100,17 @@ def test_running_totals_equal_the_plain_window(series):
     assert rows_of(got.select(want.columns)) == rows_of(want)
 
 
-@pytest.mark.parametrize("bucket", ["v", "0"])
+@pytest.mark.parametrize("bucket", ["coalesce(v, 99)", "0", "coalesce(v, 99), day"])
 def test_rank_equals_the_plain_window(series, bucket):
-    got = ordered.rank_within(series, ["g"], [F.coalesce(F.expr(bucket), F.lit(-1))], [F.asc_nulls_first("v"), F.asc("day")])
-    want = series.withColumn("rank", F.rank().over(W.partitionBy("g").orderBy(F.asc_nulls_first("v"), F.asc("day"))))
+    buckets = [F.expr(f"struct({bucket})")]
+    got = ordered.rank_within(series, ["g"], [("v", "asc"), ("day", "asc")], buckets)
+    want = series.withColumn("rank", F.rank().over(W.partitionBy("g").orderBy(F.asc_nulls_last("v"), F.asc("day"))))
+    assert rows_of(got) == rows_of(want)
+
+
+def test_rank_descending(series):
+    got = ordered.rank_within(series, ["g"], [("v", "desc")], [F.coalesce(-F.col("v"), F.lit(9))])
+    want = series.withColumn("rank", F.rank().over(W.partitionBy("g").orderBy(F.desc_nulls_last("v"))))
     assert rows_of(got) == rows_of(want)
 
 

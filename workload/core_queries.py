@@ -196,6 +196,8 @@ SELECT d.tournament_id, d.team_id, round(d.performance_dominance_score, 6) AS pe
                          s.final_rank ASC NULLS LAST) AS INTEGER) AS dominance_rank
 FROM {o_dominance} d LEFT JOIN {o_standing} s ON s.tournament_id = d.tournament_id AND s.team_id = d.team_id"""
 
+# Order keys are consecutive numbers: about a million per block.
+ORDER_BLOCK_BITS = 20
 MATCH_KEEP = ["match_id", "tournament_id", "stage_id", "match_date"]
 
 
@@ -706,7 +708,7 @@ def dominance(t: Inputs) -> DataFrame:
 
 def route(t: Inputs) -> DataFrame:
     t.keep("fx_match")
-    return questions.route(team_match(t), stored(dominance(t), "dominance"))
+    return questions.route(team_match(t), stored(dominance(t), "dominance"), block_bits=ORDER_BLOCK_BITS)
 
 
 @query(
@@ -742,7 +744,7 @@ def head_to_head(t: Inputs) -> DataFrame:
     t.keep("fx_match")
     totals = stored(team_tournament(t), "team_tournament")
     scores = stored(facts.dominance(totals), "dominance")
-    strength = questions.opponent_strength(questions.route(team_match(t), scores))
+    strength = questions.opponent_strength(questions.route(team_match(t), scores, block_bits=ORDER_BLOCK_BITS))
     return rounded(
         questions.head_to_head(totals, scores, strength, 1998, 3, 8), "team_a", "team_b", "difference"
     )
