@@ -77,13 +77,17 @@ class Join:
 
     ``on`` maps source columns to key columns. ``coarse`` says that many source
     rows share a key. If the dimension is then too big for Spark to broadcast,
-    the source is aggregated before the join.
+    the source is aggregated before the join. ``table`` may be a function that
+    gives the dimension; it is called only when a query needs the join.
     """
 
-    table: DataFrame
+    table: DataFrame | Callable[[], DataFrame]
     on: dict[str, str]
     coarse: bool = True
 
+    def frame(self) -> DataFrame:
+        return self.table() if callable(self.table) else self.table
+
 
 @dataclass(frozen=True)
 class MetricView:
@@ -169,7 +173,7 @@ class MetricView:
         return (
             all(kind in _MERGE for kind, _ in parts)
             and all(j.coarse for j in joins)
-            and not all(fits_broadcast(j.table) for j in joins)
+            and not all(fits_broadcast(j.frame()) for j in joins)
         )
 
     def _preaggregate(self, rows: DataFrame, parts: list[Part]) -> DataFrame:
@@ -184,5 +188,5 @@ class MetricView:
         for name in needed:
             join = self.joins[name]
             wanted = {f"_d_{d}": c for d, (rel, c) in places.items() if rel == name}
-            rows = lookup(rows, join.table, {f"_k_{c}": key for c, key in join.on.items()}, wanted)
+            rows = lookup(rows, join.frame(), {f"_k_{c}": key for c, key in join.on.items()}, wanted)
         return rows

@@ -6,6 +6,9 @@ with these columns; a dimension whose table is not given is left out.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+
 from pyspark.sql import DataFrame
 
 from stargrain.operators.metrics import Join, Measure, MetricView, average, distinct, highest, total
@@ -13,7 +16,10 @@ from stargrain.plans import comments
 from stargrain.sources.tables import Layers
 
 
-def _joins(**tables: DataFrame | None) -> dict[str, Join]:
+Dimension = DataFrame | Callable[[], DataFrame]
+
+
+def _joins(**tables: Dimension | None) -> dict[str, Join]:
     keys = {"team": "team_id", "tournament": "tournament_id", "match": "match_id", "player": "player_id"}
     return {
         # A match has few rows per fact, so aggregating before that join gains nothing.
@@ -24,13 +30,17 @@ def _joins(**tables: DataFrame | None) -> dict[str, Join]:
 
 
 def _dimensions(source: DataFrame, joins: dict[str, Join], spec: dict[str, str]) -> dict[str, str]:
-    """Dimensions whose relation and column exist."""
-    columns = {"source": source.columns} | {n: j.table.columns for n, j in joins.items()}
-    return {
-        d: place
-        for d, place in spec.items()
-        if place.partition(".")[2] in columns.get(place.partition(".")[0], [])
-    }
+    """Dimensions whose relation and column exist; a table given as a function has all."""
+
+    def offered(place: str) -> bool:
+        relation, _, name = place.partition(".")
+        if relation == "source":
+            return name in source.columns
+        if relation not in joins:
+            return False
+        return callable(joins[relation].table) or name in joins[relation].table.columns
+
+    return {d: place for d, place in spec.items() if offered(place)}
 
 
 def _measures(source: DataFrame, spec: dict[str, Measure]) -> dict[str, Measure]:
@@ -48,7 +58,7 @@ def _sums(*columns: str, **renamed: str) -> dict[str, Measure]:
 
 
 def team_performance(
-    source: DataFrame, team: DataFrame | None = None, tournament: DataFrame | None = None
+    source: DataFrame, team: Dimension | None = None, tournament: Dimension | None = None
 ) -> MetricView:
     """Team and edition; source is fact_team_tournament."""
     return _view(
@@ -77,7 +87,7 @@ def team_performance(
 
 
 def team_dominance(
-    source: DataFrame, team: DataFrame | None = None, tournament: DataFrame | None = None
+    source: DataFrame, team: Dimension | None = None, tournament: Dimension | None = None
 ) -> MetricView:
     """The governed score and its components; source is fact_team_dominance."""
     scores = (
@@ -97,7 +107,7 @@ def team_dominance(
 
 
 def match_performance(
-    source: DataFrame, team: DataFrame | None = None, match: DataFrame | None = None
+    source: DataFrame, team: Dimension | None = None, match: Dimension | None = None
 ) -> MetricView:
     """Team and match; source is fact_team_match."""
     return _view(
@@ -129,9 +139,9 @@ def match_performance(
 
 def player_match_performance(
     source: DataFrame,
-    player: DataFrame | None = None,
-    team: DataFrame | None = None,
-    match: DataFrame | None = None,
+    player: Dimension | None = None,
+    team: Dimension | None = None,
+    match: Dimension | None = None,
 ) -> MetricView:
     """Player and match; source is fact_player_match."""
     return _view(
@@ -155,9 +165,9 @@ def player_match_performance(
 
 def goalkeeper_match_performance(
     source: DataFrame,
-    player: DataFrame | None = None,
-    team: DataFrame | None = None,
-    match: DataFrame | None = None,
+    player: Dimension | None = None,
+    team: Dimension | None = None,
+    match: Dimension | None = None,
 ) -> MetricView:
     """Keeper and match; source is fact_goalkeeper_match."""
     return _view(
@@ -172,17 +182,20 @@ def goalkeeper_match_performance(
     )
 
 
-def semantic_views(L: Layers) -> dict[str, MetricView]:
-    """All five views over the gold layer."""
-    team, tournament, match, player = (
-        L.gold(t) for t in ("dim_team", "dim_tournament", "fact_match", "dim_player")
-    )
-    return {
-        "team_performance": team_performance(L.gold("fact_team_tournament"), team, tournament),
-        "team_dominance": team_dominance(L.gold("fact_team_dominance"), team, tournament),
-        "match_performance": match_performance(L.gold("fact_team_match"), team, match),
-        "player_match_performance": player_match_performance(L.gold("fact_player_match"), player, team, match),
-        "goalkeeper_match_performance": goalkeeper_match_performance(
-            L.gold("fact_goalkeeper_match"), player, team, match
-        ),
-    }
+# View -> (function, fact table, dimension tables)
+VIEWS = {
+    "team_performance": (team_performance, "fact_team_tournament", ["team", "tournament"]),
+    "team_dominance": (team_dominance, "fact_team_dominance", ["team", "tournament"]),
+    "match_performance": (match_performance, "fact_team_match", ["team", "match"]),
+    "player_match_performance": (player_match_performance, "fact_player_match", ["player", "team", "match"]),
+    "goalkeeper_match_performance": (
+        goalkeeper_match_performance, "fact_goalkeeper_match", ["player", "team", "match"]
+    ),
+}
+_TABLES = {"team": "dim_team", "tournament": "dim_tournament", "match": "fact_match", "player": "dim_player"}
+
+
+def semantic_view(L: Layers, name: str) -> MetricView:
+    """One of the views over the gold layer."""
+    build, fact, dimensions = VIEWS[name]
+    return build(L.gold(fact), **{d: partial(L.gold, _TABLES[d]) for d in dimensions})

@@ -62,6 +62,21 @@ def test_unreferenced_joins_are_left_out(view):
     assert "Join" not in plan
 
 
+def test_dimension_given_as_a_function_is_built_on_demand(spark, frame):
+    calls = []
+
+    def teams():
+        calls.append(1)
+        return spark.sql("SELECT 1 AS id, 'x' AS name")
+
+    view = MetricView(
+        frame("team int, goals int", (1, 2)), {"team": "source.team", "name": "team.name"},
+        {"goals": total("goals")}, {"team": Join(teams, {"team": "id"})},
+    )
+    assert rows_of(view.query(["team"], ["goals"])) == [(1, 2)] and not calls
+    assert rows_of(view.query(["name"], ["goals"])) == [("x", 2)] and calls
+
+
 def test_where_and_having(view):
     got = view().query(["name"], ["goals"], where=lambda d: d("day") == 1, having=F.col("goals") > 1)
     assert rows_of(got) == [("x", 2), (None, 3)]

@@ -351,7 +351,7 @@ for _table in gold.TABLES:
                                 FROM {o_team_best}) d ON d.team = t.team GROUP BY ALL""",
 )
 def semantic_team_performance(t: Inputs) -> DataFrame:
-    view = views.semantic_views(layers(t))["team_performance"]
+    view = views.semantic_view(layers(t), "team_performance")
     return rounded(
         view.query(["tournament_year", "confederation_name"], ["matches", "points", "pressures", "shot_quality"]),
         "shot_quality",
@@ -364,7 +364,7 @@ def semantic_team_performance(t: Inputs) -> DataFrame:
               round(avg(results_score), 6) AS results_score FROM {o_dom} GROUP BY edition""",
 )
 def semantic_team_dominance(t: Inputs) -> DataFrame:
-    view = views.semantic_views(layers(t))["team_dominance"]
+    view = views.semantic_view(layers(t), "team_dominance")
     measures = ["performance_dominance_score", "results_score"]
     return rounded(view.query(["tournament_year"], measures), *measures)
 
@@ -376,7 +376,7 @@ def semantic_team_dominance(t: Inputs) -> DataFrame:
        FROM {o_tms} t JOIN {o_g} m ON m.label = t.match GROUP BY ALL""",
 )
 def semantic_match_performance(t: Inputs) -> DataFrame:
-    view = views.semantic_views(layers(t))["match_performance"]
+    view = views.semantic_view(layers(t), "match_performance")
     result = view.query(["match_date", "home_away"], ["points", "aerial_duels_won", "shot_accuracy"])
     return rounded(result, "shot_accuracy")
 
@@ -387,7 +387,7 @@ def semantic_match_performance(t: Inputs) -> DataFrame:
               round(avg(distance_covered_km), 6) AS distance_covered_km, max(top_speed_kmh) AS top_speed_kmh FROM {o_player} GROUP BY ALL""",
 )
 def semantic_player(t: Inputs) -> DataFrame:
-    view = views.semantic_views(layers(t))["player_match_performance"]
+    view = views.semantic_view(layers(t), "player_match_performance")
     ratios = ["pass_completion_pct", "distance_covered_km"]
     return rounded(view.query(["position_played", "started"], ["goals", *ratios, "top_speed_kmh"]), *ratios)
 
@@ -402,7 +402,7 @@ CTES["o_keeper"] = SILVER_SQL["match_goalkeeper"]
        FROM {o_keeper} k GROUP BY ALL""",
 )
 def semantic_keeper(t: Inputs) -> DataFrame:
-    view = views.semantic_views(layers(t))["goalkeeper_match_performance"]
+    view = views.semantic_view(layers(t), "goalkeeper_match_performance")
     result = rounded(view.query(["player_name"], ["shots_faced", "save_percentage"]), "save_percentage")
     return result.withColumn("player_name", F.upper("player_name"))
 
