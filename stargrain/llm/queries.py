@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stargrain.llm import substring_dedup
+from stargrain.llm import substring_dedup, token_counts
 from stargrain.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,16 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_token_counts")
+def _op1(table):
+    limit = 2048
+    counts = token_counts.token_counts(table("documents"), limit=limit)
+    return counts.select(
+        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"),
+        F.col("cut").alias("chars_within_limit"),
+    )
+
+
 @query(
     "op10_substring_dedup",
     r"""
