@@ -226,7 +226,11 @@ def remove_repeats(
     )
     suspects = stored(rows.join(lists, ["id", "row_hash"]), "substring-suspects")
     found = suspects.mapInArrow(_windows(window), "id bigint, row_hash bigint, pos int, window bigint")
-    earliest = found.groupBy("window").agg(F.min("id").alias("lo"))
+    # Written, so that the join below reads two shuffles and Spark may split a window that most documents have.
+    earliest = stored(
+        found.groupBy("window").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").drop("hi"),
+        "substring-earliest",
+    )
     hits = (
         found.join(earliest, "window").where("id > lo")
         .groupBy("id", "row_hash").agg(F.collect_set("pos").alias("positions"))
