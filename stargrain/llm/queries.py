@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stargrain.llm import substring_dedup, token_counts
+from stargrain.llm import decontaminate, near_dedup, substring_dedup, token_counts, token_files
 from stargrain.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,46 @@ def _op1(table):
     )
 
 
+@query("op5_decontamination")
+def _op5(table):
+    return decontaminate.contaminated(table("documents"), table("benchmark"))
+
+
+@query(
+    "op6_minhash_near_dedup",
+    r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^ 	-
+]+') AS ws
+    FROM documents),
+shingle AS (
+    SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') AS s
+    FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c
+    FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+link AS (
+    SELECT u, v FROM shared JOIN size x ON x.doc_id = u JOIN size y ON y.doc_id = v
+    WHERE 100 * c >= 80 * (x.n + y.n - c)),
+reach AS (
+    SELECT doc_id, doc_id AS r FROM w
+    UNION
+    SELECT v, r FROM reach JOIN link ON u = doc_id)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, min(r) AS component_id, doc_id = min(r) AS kept
+FROM reach LEFT JOIN size USING (doc_id) GROUP BY doc_id, n""",
+)
+def _op6(table):
+    return near_dedup.near_duplicates(table("documents"), size=4, threshold=80)
+
+
+@query("op9_token_files")
+def _op9(table):
+    return token_files.token_files(table("documents")).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 @query(
     "op10_substring_dedup",
     r"""

@@ -41,14 +41,14 @@ TABLE_WORDS = 400_000
 KEPT_CHARS = 64
 
 # The white space that the tokenizer drops, and its word pattern.
-WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 # Letters and signs that lower-casing and composition map one to one and that
 # never combine with a neighbour. Words with others go the careful way.
 PLAIN = (
-    "\x00-įı-˿Α-ώЀ-҂Ҋ-ԯא-ת"
-    "‐-‧‰-⁞₠-₿←-⏿、-〠ぁ-ゖァ-ヺ一-鿿가-힣"
+    "\x00-\u012f\u0131-\u02ff\u0391-\u03ce\u0400-\u0482\u048a-\u052f\u05d0-\u05ea"
+    "\u2010-\u2027\u2030-\u205e\u20a0-\u20bf\u2190-\u23ff\u3001-\u3020\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fff\uac00-\ud7a3"
 )
 
 
