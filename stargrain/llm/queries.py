@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stargrain.llm import decontaminate, near_dedup, substring_dedup, token_counts, token_files
+from stargrain.llm import decontaminate, mixing, near_dedup, substring_dedup, token_counts, token_files
 from stargrain.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,14 @@ def _op1(table):
     )
 
 
+@query("op3_source_mixing")
+def _op3(table):
+    return mixing.plan(table("documents")).select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", "taken",
+        F.get("positions", F.lit(0)).alias("first_position"), F.get("positions", F.lit(1)).alias("second_position"),
+    )
+
+
 @query("op5_decontamination")
 def _op5(table):
     return decontaminate.contaminated(table("documents"), table("benchmark"))

@@ -36,7 +36,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TABLE_WORDS = 400_000
+TABLE_WORDS = 1_000_000
 # Longer words are computed each time: they hardly repeat.
 KEPT_CHARS = 64
 
@@ -251,7 +251,7 @@ class PrefixCounter:
             else:
                 known = sum(map(self.whole_run, self.piece.findall(self._folded(chunk))))
             if len(chunk) <= KEPT_CHARS:
-                if len(totals) >= 2 * TABLE_WORDS:
+                if len(totals) >= TABLE_WORDS:
                     totals.clear()
                 totals[chunk] = known
         return known

@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from stargrain.session import scratch_path
 
-TABLE_PIECES = 300_000
+TABLE_PIECES = 800_000
 KEPT_CHARS = 64
 SHARD_BYTES = 32 << 20  # text per shard
 END_MARK = b"\n"
@@ -96,15 +96,32 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
+        self.kind = np.dtype(f"<u{self.width}")
+        # A special string between pieces keeps them apart, so many are encoded in one call.
+        self.apart, self.apart_id = next(
+            ((t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not t.single_word),
+            (None, None),
+        )
         self.table: dict[str, bytes] = {}
 
+    def _each(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece."""
+        if self.apart is None or any(self.apart in p for p in pieces):
+            found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+            return [np.array(e.ids, self.kind).tobytes() for e in found]
+        found = self.tokenizer.encode_batch_fast([self.apart.join(pieces)], add_special_tokens=False)[0]
+        ids = np.array(found.ids, self.kind)
+        ends = np.append(np.flatnonzero(ids == self.apart_id), len(ids)) * self.width
+        starts = np.append(0, ends[:-1] + self.width)
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+
     def encode(self, text: str) -> bytes:
         pieces = PIECE.findall(text)
         parts = list(map(self.table.get, pieces))
         if None in parts:
             missing = list({p for p, known in zip(pieces, parts) if known is None})
-            found = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-            new = {p: np.array(e.ids, f"<u{self.width}").tobytes() for p, e in zip(missing, found)}
+            new = dict(zip(missing, self._each(missing)))
             parts = [new[p] if known is None else known for p, known in zip(pieces, parts)]
             if len(self.table) + len(new) > TABLE_PIECES:
                 self.table.clear()
