@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stargrain.llm import decontaminate, mixing, near_dedup, substring_dedup, token_counts, token_files
+from stargrain.llm import chat_format, decontaminate, language_id, mixing, near_dedup, substring_dedup, token_counts, token_files, topk
 from stargrain.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,25 @@ def _op3(table):
     )
 
 
+@query(
+    "op4_exact_top_k",
+    """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pair AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           CAST(list_sum(list_transform(list_zip(q.x, c.x), lambda z: z[1] * z[2])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pair)
+WHERE rank <= 10""",
+)
+def _op4(table):
+    return topk.top_k(table("embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query("op5_decontamination")
 def _op5(table):
     return decontaminate.contaminated(table("documents"), table("benchmark"))
@@ -83,6 +102,28 @@ def _op6(table):
     return near_dedup.near_duplicates(table("documents"), size=4, threshold=80)
 
 
+def _fold(parts: int):
+    """crc32 of the id as text, modulo ``parts``."""
+    return F.crc32(F.col("doc_id").cast("string")) % parts
+
+
+@query("op7_language_id")
+def _op7(table):
+    docs = table("documents")
+    found = language_id.identify(docs, learn=_fold(4) != 2)
+    return found.select("doc_id", (_fold(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+CONTROL_TURNS = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+@query("op8_chat_formatting")
+def _op8(table):
+    turns = table("conversations").select("conv_id", "turn", "role", "text")
+    extra = turns.sparkSession.createDataFrame(CONTROL_TURNS, "conv_id bigint, turn bigint, role string, text string")
+    return chat_format.format_and_read(turns.unionByName(extra))
+
+
 @query("op9_token_files")
 def _op9(table):
     return token_files.token_files(table("documents")).select("doc_id", "start", "n_tokens", "ids_crc32")
