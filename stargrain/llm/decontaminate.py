@@ -121,17 +121,26 @@ def tiles(text: np.ndarray, item: np.ndarray, min_match: int) -> list[tuple[int,
         high = length if len(found) > before else length - 1
 
 
-def _matches(block, min_match: int, coverage: float):
+def _matches(block, coverage: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Block = block.value
         for batch in batches:
             for part, data, offsets in words.slices(batch, "text"):
-                yield _report(part.column(0), words.split(data, offsets, lower=True), known, min_match, coverage)
+                found = _pairs(words.split(data, offsets, lower=True), known, coverage)
+                columns = [list(c) for c in zip(*found)] or [[]] * 6
+                item_ids = pa.array([known.keys[i] for i in columns[1]], pa.int64())
+                numbers = [pa.array(c, pa.int64()) for c in columns[2:]]
+                share = pa.array([c / n for c, n in zip(columns[3], columns[4])], pa.float64())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(columns[0], pa.int64())), item_ids, *numbers, share],
+                    ["doc_id", "item_id", "tiles", "covered_words", "item_words", "longest_tile", "coverage"],
+                )
 
     return run
 
 
-def _report(ids: pa.Array, w: words.Words, block: Block, min_match: int, coverage: float) -> pa.RecordBatch:
+def _pairs(w: words.Words, block: Block, coverage: float) -> list[tuple]:
+    """(text, item, tiles, covered words, item words, longest tile) of the contaminated texts."""
     result: list[tuple] = []
     for k, (unique, first, items) in block.seeds.items():
         hashes, start = w.grams(k)
@@ -167,14 +176,7 @@ def _report(ids: pa.Array, w: words.Words, block: Block, min_match: int, coverag
                 covered = sum(length for _, _, length in found)
                 if covered >= coverage * len(ids_of_item):
                     result.append((t, item, len(found), covered, len(ids_of_item), max(x[2] for x in found)))
-    columns = [list(c) for c in zip(*result)] or [[]] * 6
-    item_ids = pa.array([block.keys[i] for i in columns[1]], pa.int64())
-    numbers = [pa.array(c, pa.int64()) for c in columns[2:]]
-    share = pa.array([c / n for c, n in zip(columns[3], columns[4])], pa.float64())
-    return pa.RecordBatch.from_arrays(
-        [ids.take(pa.array(columns[0], pa.int64())), item_ids, *numbers, share],
-        ["doc_id", "item_id", "tiles", "covered_words", "item_words", "longest_tile", "coverage"],
-    )
+    return result
 
 
 def _blocks(benchmark: DataFrame, limit: int) -> Iterator[tuple[list, list]]:
@@ -207,13 +209,37 @@ def contaminated(
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    items = benchmark.select(F.col(item_col).cast("bigint").alias("item_id"), F.col(item_text_col).alias("text"))
     schema = (
         "doc_id bigint, item_id bigint, tiles bigint, covered_words bigint, item_words bigint,"
         " longest_tile bigint, coverage double"
     )
     result = spark.createDataFrame([], schema)
-    for keys, texts in _blocks(items, BLOCK_BYTES):
-        block = spark.sparkContext.broadcast(block_of(keys, texts, min_match))
-        result = result.unionByName(rows.mapInArrow(_matches(block, min_match, coverage), schema))
+    for block in _shared(benchmark, item_col, item_text_col, min_match):
+        result = result.unionByName(rows.mapInArrow(_matches(block, coverage), schema))
     return result
+
+
+def clean(
+    docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+    item_text_col: str = "text", min_match: int = MIN_MATCH, coverage: float = COVERAGE,
+) -> DataFrame:
+    """The rows of ``docs`` that no benchmark item contaminates, all columns unchanged."""
+
+    def clean_of(block):
+        def decide(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+            kept = np.ones(len(offsets) - 1, bool)
+            kept[[row[0] for row in _pairs(words.split(data, offsets, lower=True), block.value, coverage)]] = False
+            return kept
+
+        return decide
+
+    for block in _shared(benchmark, item_col, item_text_col, min_match):
+        docs = words.keep_rows(docs, text_col, clean_of(block))
+    return docs
+
+
+def _shared(benchmark: DataFrame, item_col: str, text_col: str, min_match: int) -> list:
+    """Broadcasts of the benchmark's blocks."""
+    items = benchmark.select(F.col(item_col).cast("bigint").alias("item_id"), F.col(text_col).alias("text"))
+    spread = benchmark.sparkSession.sparkContext.broadcast
+    return [spread(block_of(keys, texts, min_match)) for keys, texts in _blocks(items, BLOCK_BYTES)]

@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stargrain.llm import words
@@ -251,3 +251,18 @@ def near_duplicates(
             F.coalesce(F.col("id") == F.coalesce("component_id", "id"), F.lit(True)).alias("kept"),
         )
     )
+
+
+def deduplicated(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, threshold: int = THRESHOLD
+) -> DataFrame:
+    """One document of each group of near duplicates, the one with the smallest id, all columns unchanged.
+
+    Of rows with that id one stays, the one whose text has the smallest hash. Rows without an id stay.
+    """
+    found = near_duplicates(docs, id_col, text_col, size, threshold)
+    kept = found.where(F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id")).distinct()
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text_col).alias("hash"), F.struct(*docs.columns).alias("doc"))
+    one = F.row_number().over(Window.partitionBy("id").orderBy("hash"))
+    chosen = rows.join(stored(kept, "kept"), "id").withColumn("one", one).where("one = 1")
+    return chosen.select("doc.*").unionByName(rows.where("id IS NULL").select("doc.*"))

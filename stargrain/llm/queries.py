@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stargrain.llm import chat_format, decontaminate, language_id, mixing, near_dedup, substring_dedup, token_counts, token_files, topk
+from stargrain.llm import chat_format, decontaminate, language_id, mixing, near_dedup, quality_crf, substring_dedup, token_counts, token_files, topk
 from stargrain.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def _fold(parts: int):
+    """crc32 of the id as text, modulo ``parts``."""
+    return F.crc32(F.col("doc_id").cast("string")) % parts
+
+
 @query("op1_token_counts")
 def _op1(table):
     limit = 2048
@@ -40,6 +45,13 @@ def _op1(table):
     )
 
 
+@query("op2_quality_crf")
+def _op2(table):
+    docs = table("documents")
+    model = quality_crf.fit(docs, table("labels"), learn=_fold(5) != 0)
+    return quality_crf.score(docs, model).select("doc_id", (_fold(5) == 0).alias("held_out"), "score", "predicted")
+
+
 @query("op3_source_mixing")
 def _op3(table):
     return mixing.plan(table("documents")).select(
@@ -102,11 +114,6 @@ def _op6(table):
     return near_dedup.near_duplicates(table("documents"), size=4, threshold=80)
 
 
-def _fold(parts: int):
-    """crc32 of the id as text, modulo ``parts``."""
-    return F.crc32(F.col("doc_id").cast("string")) % parts
-
-
 @query("op7_language_id")
 def _op7(table):
     docs = table("documents")

@@ -8,11 +8,13 @@ vector operations for many documents at once, whatever their lengths.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # Odd multipliers of the polynomial hashes of bytes and of words, modulo 2**64.
 BYTE_BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -132,3 +134,16 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         end = min(max(end, row + 1), batch.num_rows)
         yield batch.slice(row, end - row), data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
         row = end
+
+
+def keep_rows(docs: DataFrame, text_col: str, decide: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
+    """The rows of ``docs`` for which decide(bytes, offsets of the texts) is true, all columns unchanged."""
+    text = next(name for i in range(len(docs.columns) + 1) if (name := f"text_{i}") not in docs.columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, data, offsets in slices(batch, text):
+                kept = part.filter(pa.array(np.asarray(decide(data, offsets), bool)))
+                yield kept.select([n for n in part.schema.names if n != text])
+
+    return docs.withColumn(text, F.col(text_col)).mapInArrow(run, docs.schema)
