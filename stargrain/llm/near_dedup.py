@@ -15,11 +15,13 @@ on the full sets, and groups are the connected components of links.
 * Star edges: in each bucket, members are compared with one centre, the member
   whose buckets are fullest (in a group of edited copies the least edited one).
   So a group of n copies makes about n edges.
-* What stars leave open: a bucket whose members are still in several
-  components. There, members of different components are compared, each pair
-  once, and only if the shingles that a member shares with anyone at all leave
-  room for a link. That bound is exact: a copy with too many words of its own
-  can't be linked with anybody and makes no pair.
+* What stars leave open: buckets whose members are still in several
+  components. A member stays in only if the shingles that it shares with anyone
+  at all leave room for a link; that bound is exact, and it takes out copies with
+  too many words of their own. Members that buckets connect form a cluster. Its
+  sets are dealt into blocks of about ``BLOCK``, each pair of blocks is compared
+  in one task, and a task returns one link for two components at most. So
+  neither a cluster nor its pairs are ever held or written whole.
 
 Edge cases. Null or empty text, or no words: empty set, linked with nothing.
 Null id: compared with nothing, component null, kept. Rows with the same id are
@@ -45,6 +47,8 @@ THRESHOLD = 80
 BANDS = 40
 ROWS = 5
 BINS = BANDS * ROWS
+BLOCK = 256
+CODES = 8192  # shingles that a comparison of two blocks looks at together
 # Rounds of drawing a donor for all empty bins at once; the few bins still
 # empty after them get their donor by comparing ranks.
 DRAWS = 24
@@ -169,6 +173,46 @@ def _links(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     return both.mapInArrow(_confirmed(threshold), "u bigint, v bigint")
 
 
+def _compared(threshold: int):
+    """Links between the members of two blocks, one for two components at most."""
+
+    def run(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        lists = pa.concat_arrays(group["shingles"].chunks)
+        ends, values = np.asarray(lists.offsets), np.asarray(lists.values)
+        n = np.diff(ends)
+        _, code = np.unique(values[ends[0] : ends[-1]], return_inverse=True)
+        member = np.repeat(np.arange(len(n)), n)
+        rep, component = np.asarray(group["rep"]), np.asarray(group["component"])
+        i, j, block = (np.asarray(group[c]) for c in ("i", "j", "block"))
+        both = np.zeros((len(n), len(n)), np.float32)
+        for at in range(0, int(code.max(initial=-1)) + 1, CODES):
+            here = (code >= at) & (code < at + CODES)
+            has = np.zeros((len(n), CODES), np.float32)
+            has[member[here], code[here] - at] = 1
+            both += has @ has.T
+        link = 100 * both >= threshold * (n[:, None] + n - both)
+        link &= component[:, None] < component
+        link &= (block[:, None] != block) | (i == j)  # members of one block meet in that block's own task
+        left, right = np.nonzero(link)
+        _, first = np.unique(np.stack([component[left], component[right]], 1), axis=0, return_index=True)
+        return pa.table({"u": rep[left[first]], "v": rep[right[first]]})
+
+    return run
+
+
+def _block_links(members: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Links between members (rep, component, cluster, blocks) of the same cluster."""
+    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    dealt = (
+        members.withColumn("block", block)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+        .join(sets, "rep").select("cluster", "i", "j", "block", "rep", "component", "shingles")
+    )
+    return dealt.groupBy("cluster", "i", "j").applyInArrow(_compared(threshold), "u bigint, v bigint")
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, threshold: int = THRESHOLD
 ) -> DataFrame:
@@ -225,18 +269,19 @@ def near_duplicates(
         # Fewer common shingles than the set alone needs: linked with nobody.
         .where(F.col("c") * 100 >= F.col("n") * threshold)
     )
-    able = left_open.join(room, "rep")
-    a, b = able.alias("a"), able.alias("b")
-    pairs = (
-        a.join(b, F.col("a.key") == F.col("b.key"))
-        .where(
-            (F.col("a.rep") < F.col("b.rep")) & (F.col("a.component") != F.col("b.component"))
-            & ((100 + threshold) * F.least("a.c", "b.c") >= threshold * (F.col("a.n") + F.col("b.n")))
+    able = stored(left_open.join(room.select("rep"), "rep"), "able")
+    chains = able.groupBy("key").agg(F.min("rep").alias("u")).join(able, "key").where("u <> rep")
+    cluster = components(chains.select("u", F.col("rep").alias("v"))).select(
+        F.col("node").alias("rep"), F.col("component").alias("cluster")
+    )
+    waiting = stored(able.select("rep", "component").distinct().join(cluster, "rep"), "waiting")
+    sizes = (
+        waiting.groupBy("cluster").agg(
+            F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")
         )
-        .select(F.col("a.rep").alias("u"), F.col("b.rep").alias("v")).distinct()
+        .where("lo < hi").select("cluster", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     )
-    pairs = stored(pairs, "open-pairs")
-    more = stored(_links(pairs, sets, threshold), "open-links")
+    more = stored(_block_links(waiting.join(sizes, "cluster"), sets, threshold), "open-links")
     group = stored(components(links.unionByName(more)), "groups")
 
     known = (
