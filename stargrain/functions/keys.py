@@ -43,6 +43,15 @@ def match_key(home: ColumnOrName, away: ColumnOrName, day: ColumnOrName) -> Colu
     return surrogate_key(home, away, day)
 
 
+def nullable_key(*cols: ColumnOrName) -> Column:
+    """Hash of typed columns of which some may be NULL.
+
+    The plain hash skips NULLs, so (5, NULL) and (NULL, 5) would collide; here a
+    flag per column tells where values are missing.
+    """
+    return F.xxhash64(*[c for x in cols for c in (column(x), column(x).isNull())])
+
+
 def raw_key(*cols: ColumnOrName) -> Column:
     """Hash of typed columns as they are (no text normalisation)."""
     return F.xxhash64(*[column(c) for c in cols])

@@ -6,6 +6,10 @@ ids). Buckets are summed first, with map-side partial aggregates; the totals
 give each bucket its offset, which joins the rows as one extra row per bucket
 (UNION ALL). The window then runs inside single buckets, so the rows are
 shuffled once and results equal those of the plain window.
+
+Several buckets form a hierarchy, from the coarsest on: the window over a
+level's totals stays inside one bucket of the level above, so a group with very
+many buckets is not in one task either.
 """
 
 from __future__ import annotations
@@ -44,15 +48,11 @@ def running_totals(
     values = sums | ({step: F.lit(1).cast("bigint")} if step else {})
     rows, names = _bucketed(df, buckets)
     rows = rows.withColumns({f"_v_{k}": v for k, v in values.items()})
-    before = W.partitionBy(*by).orderBy(*names).rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        rows.groupBy(*by, *names)
-        .agg(*[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in values])
-        .select(
-            *by,
-            *names,
-            *[F.sum(f"_t_{k}").over(before).cast(rows.schema[f"_v_{k}"].dataType).alias(f"_v_{k}") for k in values],
-        )
+    offsets = _offsets(
+        rows.groupBy(*by, *names).agg(*[F.sum(f"_v_{k}").alias(f"_v_{k}") for k in values]), by, names, list(values)
+    )
+    offsets = offsets.select(
+        *by, *names, *[F.col(f"_v_{k}").cast(rows.schema[f"_v_{k}"].dataType).alias(f"_v_{k}") for k in values]
     )
     inside = W.partitionBy(*by, *names).orderBy("_extra", *order).rowsBetween(W.unboundedPreceding, 0)
     totals = [F.sum(f"_v_{k}").over(inside).alias(k) for k in values]
@@ -60,6 +60,27 @@ def running_totals(
     return both.select("*", *totals).where(F.col("_extra") == 1).select(*df.columns, *values)
 
 
+def _offsets(totals: DataFrame, by: list[str], names: list[str], values: list[str]) -> DataFrame:
+    """Sums of all buckets before each one, level by level."""
+    above = [*by, *names[:-1]]
+    before = W.partitionBy(*above).orderBy(names[-1]).rowsBetween(W.unboundedPreceding, -1)
+    own = totals.select(*by, *names, *[F.sum(f"_v_{k}").over(before).alias(f"_v_{k}") for k in values])
+    if len(names) == 1:
+        return own
+    coarse = totals.groupBy(*above).agg(*[F.sum(f"_v_{k}").alias(f"_v_{k}") for k in values])
+    outer = _offsets(coarse, by, names[:-1], values).withColumnsRenamed({f"_v_{k}": f"_o_{k}" for k in values})
+    both = attach(own, outer, above)
+    # NULL means that nothing is before; it must stay NULL only if that holds on all levels.
+    total = {k: F.coalesce(F.col(f"_v_{k}") + F.col(f"_o_{k}"), f"_v_{k}", f"_o_{k}") for k in values}
+    return both.select(*by, *names, *[v.alias(f"_v_{k}") for k, v in total.items()])
+
+
+def plain_rank(df: DataFrame, by: list[str], order: list[tuple[str, str]], out: str = "rank") -> DataFrame:
+    """``rank()`` per group for tables that are aggregates already, with few rows per group."""
+    ordering = [F.desc_nulls_last(c) if way == "desc" else F.asc_nulls_last(c) for c, way in order]
+    return df.withColumn(out, F.rank().over(W.partitionBy(*by).orderBy(*ordering)))
+
+
 def rank_within(
     df: DataFrame,
     by: list[str],
@@ -108,7 +129,7 @@ def top_within(df: DataFrame, by: list[str], order: list[Column], k: int, out: s
     return df.withColumn(out, F.row_number().over(window)).where(F.col(out) <= k)
 
 
-# Copies of one identical row that a single task may write out.
+# Copies of one identical row that a single task writes out.
 COPIES_PER_TASK = 65_536
 
 
@@ -116,23 +137,16 @@ def number_copies(df: DataFrame, out: str = "occurrence") -> DataFrame:
     """Number identical rows 1..n without sorting or windowing them.
 
     Identical rows are interchangeable, so they are counted (partial
-    aggregation) and written out again with their numbers. Very long runs are
-    cut into chunks that are spread over tasks.
+    aggregation) and written out again with their numbers. Runs are cut into
+    chunks, and the chunks are spread over tasks.
     """
     names = df.columns
     counted = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
-    few = counted.where(F.col("_n") <= COPIES_PER_TASK).select(
-        *names, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))).alias(out)
-    )
-    chunks = counted.where(F.col("_n") > COPIES_PER_TASK).select(
-        *names,
-        "_n",
-        F.explode(
-            F.sequence(F.lit(1).cast("bigint"), F.col("_n"), F.lit(COPIES_PER_TASK).cast("bigint"))
-        ).alias("_from"),
+    one = F.lit(1).cast("bigint")
+    chunks = counted.select(
+        *names, "_n", F.explode(F.sequence(one, F.col("_n"), F.lit(COPIES_PER_TASK).cast("bigint"))).alias("_from")
     )
     last = F.least(F.col("_n"), F.col("_from") + COPIES_PER_TASK - 1)
-    many = chunks.repartition(*[F.col(c) for c in names], F.col("_from")).select(
+    return chunks.repartition(*[F.col(c) for c in names], F.col("_from")).select(
         *names, F.explode(F.sequence(F.col("_from"), last)).alias(out)
     )
-    return few.unionByName(many)

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from stargrain.operators.joins import attach
 from stargrain.session import stored
 
-# A policy is a short list; anything longer is a mistake in its filter.
-MAX_COMPONENTS = 1_000
-
 
 def minmax(
     df: DataFrame,
@@ -46,17 +43,17 @@ def minmax(
 
 
 def policy_weights(policies: DataFrame, concept: str) -> dict[str, float]:
-    """Weights of one concept from a table (concept, component, weight)."""
+    """Weights of one concept from a table (concept, component, weight).
+
+    Each component is a column of the scored table, so they are as few as its columns.
+    """
     rows = (
         policies.where(F.col("concept") == concept)
         .select("component", F.col("weight").cast("double").alias("weight"))
-        .limit(MAX_COMPONENTS + 1)
         .collect()
     )
     if not rows:
         raise ValueError(f"no policy for concept {concept!r}")
-    if len(rows) > MAX_COMPONENTS:
-        raise ValueError(f"policy {concept!r} has more than {MAX_COMPONENTS} components")
     weights = {r["component"]: r["weight"] for r in rows}
     if len(weights) != len(rows):
         raise ValueError(f"policy {concept!r} names a component twice")

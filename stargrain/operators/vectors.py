@@ -1,4 +1,4 @@
-"""Exact cosine top-k of a few query vectors against a large vector table."""
+"""Exact cosine top-k of query vectors against a large vector table."""
 
 from __future__ import annotations
 
@@ -9,10 +9,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stargrain.operators.joins import stack_sources
 from stargrain.operators.ordered import top_within
 
-# Query vectors travel with every task, so their number is checked.
-MAX_QUERIES = 1_024
+# Query vectors of one block travel with every task of its scan.
+BLOCK_QUERIES = 512
+RESULT = "query_id bigint, vec_id bigint, similarity double"
 
 
 def cosine_topk(
@@ -20,13 +22,23 @@ def cosine_topk(
 ) -> DataFrame:
     """For each query the ``k`` most similar vectors (itself left out).
 
-    Ties go to the smaller id. Each Arrow batch is one matrix product and
-    passes on only rows that can still be in the batch's top ``k``; Spark
-    merges these partial lists per query.
+    Ties go to the smaller id. Queries are answered in blocks of about
+    ``BLOCK_QUERIES``, one scan each; NULL vectors take no part. Each Arrow
+    batch is one matrix product and passes on only rows that can still be in
+    the batch's top ``k``; Spark merges these partial lists per query.
     """
-    picked = queries.select(id_col, vector_col).limit(MAX_QUERIES + 1).collect()
-    if len(picked) > MAX_QUERIES:
-        raise ValueError(f"more than {MAX_QUERIES} query vectors")
+    asked = queries.select(id_col, vector_col).where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull())
+    searched = vectors.select(id_col, vector_col).where(F.col(vector_col).isNotNull())
+    blocks = -(-asked.count() // BLOCK_QUERIES)
+    parts = [vectors.sparkSession.createDataFrame([], RESULT)]
+    for block in range(blocks):
+        picked = asked.where(F.pmod(F.xxhash64(id_col), F.lit(blocks)) == block).collect()
+        if picked:
+            parts.append(searched.mapInPandas(_partial(picked, id_col, vector_col, k), RESULT))
+    return top_within(stack_sources(*parts), ["query_id"], [F.desc("similarity"), F.asc("vec_id")], k, "rank")
+
+
+def _partial(picked: list, id_col: str, vector_col: str, k: int):
     query_ids = np.array([r[0] for r in picked], dtype=np.int64)
     matrix = np.array([r[1] for r in picked], dtype=np.float64)
     norms = np.linalg.norm(matrix, axis=1, keepdims=True)
@@ -49,7 +61,4 @@ def cosine_topk(
                     {"query_id": query_id, "vec_id": ids[best], "similarity": score[best]}
                 )
 
-    scored = vectors.select(id_col, vector_col).where(F.col(vector_col).isNotNull()).mapInPandas(
-        partial, "query_id bigint, vec_id bigint, similarity double"
-    )
-    return top_within(scored, ["query_id"], [F.desc("similarity"), F.asc("vec_id")], k, "rank")
+    return partial

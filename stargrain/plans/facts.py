@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stargrain.functions import guarded_ratio, match_result, points, raw_key
+from stargrain.operators.joins import lookup
 from stargrain.operators.scoring import minmax, weighted_score
 from stargrain.operators.split import perspective_split
 
@@ -47,7 +48,7 @@ def team_match(match: DataFrame, keep: list[str]) -> DataFrame:
 def with_team_stats(rows: DataFrame, stats: DataFrame) -> DataFrame:
     """Add the team statistics of a match where a source has them."""
     have = [c for c in TEAM_STATS if c in stats.columns]
-    joined = rows.join(stats.select("match_id", "team_id", *have), ["match_id", "team_id"], "left")
+    joined = lookup(rows, stats, {"match_id": "match_id", "team_id": "team_id"}, {c: c for c in have})
     return joined.withColumn("match_team_id", raw_key("match_id", "team_id"))
 
 

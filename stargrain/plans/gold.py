@@ -13,6 +13,7 @@ from stargrain.operators.joins import lookup
 from stargrain.plans import comments, facts
 from stargrain.sources.tables import Layers, documented
 
+# The key columns of each table.
 PRIMARY_KEYS: dict[str, list[str]] = {
     "dim_tournament": ["tournament_id"],
     "dim_stage": ["stage_id"],
@@ -32,7 +33,7 @@ PRIMARY_KEYS: dict[str, list[str]] = {
     "fact_group_standing": ["group_standing_id"],
 }
 
-# Foreign keys per table: the key column decides the parent table.
+# Foreign keys per table; the key column decides the parent table.
 _PARENTS = {
     "tournament_id": "dim_tournament",
     "stage_id": "dim_stage",

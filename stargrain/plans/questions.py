@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stargrain.functions import verdict
 from stargrain.operators.graph import Relation
 from stargrain.operators.joins import attach, lookup
-from stargrain.operators.ordered import rank_within, running_totals, top_within
+from stargrain.operators.ordered import plain_rank, running_totals, top_within
 from stargrain.operators.pivots import metric_rows
 from stargrain.plans.facts import DOMINANCE_WEIGHTS
 
@@ -16,43 +16,25 @@ SCORE = "performance_dominance_score"
 # Low bits dropped to cut a day or a tie into blocks of keys. Hashed keys fill
 # all 64 bits, which leaves 16,384 even blocks.
 KEY_BLOCK_BITS = 50
-# Final ranks per bucket among teams with the same score.
-RANK_BLOCK = 1_000
 
 
 def best_team_ranking(dominance: DataFrame, standing: DataFrame) -> DataFrame:
     """Rank teams per edition by score, ties by final rank (NULLs last).
 
     The score is rounded before ranking, so that the order of floating-point
-    sums cannot move a team. Buckets are the rounded scores and, among equal
-    scores, blocks of final ranks.
+    sums cannot move a team. There is one row per team and edition, so a plain
+    window does.
     """
     ranks = standing.select("tournament_id", "team_id", "final_rank")
     rows = dominance.withColumn(SCORE, F.round(SCORE, 6))
     rows = rows.join(ranks, ["tournament_id", "team_id"], "left")
-    return rank_within(
-        rows,
-        ["tournament_id"],
-        [(SCORE, "desc"), ("final_rank", "asc")],
-        # Scores are 0 to 1, so 1.0 puts missing scores last.
-        [
-            F.coalesce(-F.col(SCORE), F.lit(1.0)),
-            F.coalesce(F.floor(F.col("final_rank") / RANK_BLOCK), F.lit(2**31)),
-        ],
-        "dominance_rank",
-    )
+    return plain_rank(rows, ["tournament_id"], [(SCORE, "desc"), ("final_rank", "asc")], "dominance_rank")
 
 
 def standing_by_points(team_tournament: DataFrame) -> DataFrame:
     """Final rank where a source has none: points, then goal difference."""
     rows = team_tournament.withColumn("_gd", F.col("goals_for") - F.col("goals_against"))
-    return rank_within(
-        rows,
-        ["tournament_id"],
-        [("points", "desc"), ("_gd", "desc")],
-        [F.coalesce(-F.col("points"), F.lit(1))],
-        "final_rank",
-    ).drop("_gd")
+    return plain_rank(rows, ["tournament_id"], [("points", "desc"), ("_gd", "desc")], "final_rank").drop("_gd")
 
 
 def best_or_champion(ranking: DataFrame) -> DataFrame:
@@ -204,9 +186,7 @@ def group_standings(rows: DataFrame, by: list[str]) -> DataFrame:
     )
     table = table.withColumn("_gd", F.col("goals_for") - F.col("goals_against"))
     order = [("points", "desc"), ("_gd", "desc"), ("goals_for", "desc"), ("team_id", "asc")]
-    falling = [F.coalesce(-F.col(c), F.lit(2**40)) for c in ("points", "_gd", "goals_for")]
-    block = F.shiftright(F.col("team_id").cast("bigint"), KEY_BLOCK_BITS)
-    return rank_within(table, by, order, [*falling, block]).drop("_gd")
+    return plain_rank(table, by, order).drop("_gd")
 
 
 def evidence(rows: DataFrame, by: list[str], source: str) -> DataFrame:

@@ -17,7 +17,7 @@ from stargrain.functions import (
     surrogate_key,
     winner,
 )
-from stargrain.functions.keys import raw_key
+from stargrain.functions.keys import nullable_key
 from stargrain.operators.joins import lookup, outer_merge, stack_sources
 from stargrain.operators.ordered import number_copies
 from stargrain.operators.resolve import resolve_best
@@ -187,7 +187,8 @@ def team_tournament(L: Layers) -> DataFrame:
     rel = rel.select(_current().alias("tournament_id"), surrogate_key("team_name").alias("team_id"), "group_name")
     hist = _by_edition(L, "hist_tournament_standings", team_name="team_name", final_rank="position int")
     hist = hist.select("tournament_id", surrogate_key("team_name").alias("team_id"), "final_rank")
-    hist = hist.join(_group_of_team(L), ["tournament_id", "team_id"], "left")
+    own = {"tournament_id": "tournament_id", "team_id": "team_id"}
+    hist = lookup(hist, _group_of_team(L), own, {"group_name": "group_name"})
     return stack_sources(rel, hist).select(
         surrogate_key("tournament_id", "team_id").alias("team_tournament_id"),
         "tournament_id",
@@ -368,8 +369,10 @@ def tournament_standing(L: Layers) -> DataFrame:
     team_id = surrogate_key("team_name").alias("team_id")
     ranks = _by_edition(L, "hist_tournament_standings", team_name="team_name", final_rank="position int")
     hosts = _by_edition(L, "hist_host_countries", team_name="team_name", host_performance="performance")
-    rows = ranks.select("tournament_id", team_id, "final_rank").join(
-        hosts.select("tournament_id", team_id, "host_performance"), ["tournament_id", "team_id"], "left"
+    rows = lookup(
+        ranks.select("tournament_id", team_id, "final_rank"),
+        hosts.select("tournament_id", team_id, "host_performance"),
+        {"tournament_id": "tournament_id", "team_id": "team_id"}, {"host_performance": "host_performance"},
     )
     return rows.select(
         surrogate_key("tournament_id", "team_id").alias("tournament_standing_id"),
@@ -391,10 +394,10 @@ def match_team(L: Layers) -> DataFrame:
         src_team="match_team_id", pressures="total_pressures int", recoveries="forced_turnovers int",
     )
     aerial = pick(_analysis(L, "team_aerial_control"), src_team="match_team_id", aerial_duels="delivery_total int")
+    rows = _in_analysis_match(L, sides)
+    rows = lookup(rows, pressure, {"src_team": "src_team"}, {c: c for c in ("pressures", "recoveries")})
     tracked = (
-        _in_analysis_match(L, sides)
-        .join(pressure, "src_team", "left")
-        .join(aerial, "src_team", "left")
+        lookup(rows, aerial, {"src_team": "src_team"}, {"aerial_duels": "aerial_duels"})
         .select(
             "match_id", surrogate_key("team_name").alias("team_id"),
             "home_away", "pressures", "recoveries", "aerial_duels",
@@ -437,7 +440,9 @@ def match_player(L: Layers) -> DataFrame:
         _analysis(L, "player_out_of_possession"),
         appearance="appearance_id", recoveries="interceptions int", duels="tackles_made_won int",
     )
-    rows = _in_analysis_match(L, seen).join(on_ball, "appearance", "left").join(off_ball, "appearance", "left")
+    rows = _in_analysis_match(L, seen)
+    for stats in (on_ball, off_ball):
+        rows = lookup(rows, stats, {"appearance": "appearance"}, {c: c for c in stats.columns if c != "appearance"})
     rows = rows.withColumn("player_id", surrogate_key("player_name"))
     return rows.select(
         surrogate_key("match_id", "player_id").alias("match_player_id"),
@@ -567,7 +572,7 @@ def match_event(L: Layers) -> DataFrame:
         "event_type", "minute", "detail", "source",
     )
     numbered = number_copies(keyed)
-    return numbered.select(raw_key(*numbered.columns).alias("event_id"), *keyed.columns)
+    return numbered.select(nullable_key(*numbered.columns).alias("event_id"), *keyed.columns)
 
 
 def award(L: Layers) -> DataFrame:

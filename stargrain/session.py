@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,13 +19,18 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Rows with long texts: what Python workers get at once is bounded by bytes.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
+_tuned: weakref.WeakSet[SparkSession] = weakref.WeakSet()
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings; everything else stays as the cluster set it."""
-    for key, value in RUNTIME_CONF.items():
-        spark.conf.set(key, value)
+    """Apply the runtime settings to a session once; everything else stays as the cluster set it."""
+    if spark not in _tuned:
+        for key, value in RUNTIME_CONF.items():
+            spark.conf.set(key, value)
+        _tuned.add(spark)
     return spark
 
 
@@ -33,13 +41,17 @@ def _configured_dir(spark: SparkSession) -> str | None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor sees. A private one is made only in local mode."""
+    """Folder every executor sees.
+
+    Only in local mode, where none is set, a private one is made; it goes when the process ends.
+    """
     folder = _configured_dir(spark) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="stargrain-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(folder)
     return folder
 
@@ -52,8 +64,12 @@ def checkpointing(spark: SparkSession) -> None:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path below the shared folder; nothing is ever overwritten there."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path below the shared folder; nothing is ever overwritten there.
+
+    All paths of an application lie in one folder, ``<shared>/stargrain-<application id>``,
+    which can be removed as a whole when the application has ended.
+    """
+    return f"{shared_dir(spark)}/stargrain-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import csv
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stargrain.operators.resolve import latest
+from stargrain.sources.csvlines import NAME_CHARS, csv_fields, header_names, row_map
+from stargrain.sources.typed import rescue
 
 # Columns of a blob table: repository_id, path, type, is_deleted, content.
 
@@ -22,63 +23,70 @@ def newest_blobs(blobs: DataFrame, version: str) -> DataFrame:
     return latest(live_blobs(blobs), ["repository_id", "path"], version)
 
 
-def _lines(blobs: DataFrame) -> DataFrame:
-    """Non-empty lines of every file, numbered; line 0 is the header."""
+# A table without declared columns may have this many; more is an error.
+MAX_COLUMNS = 10_000
+
+
+def _files(blobs: DataFrame) -> DataFrame:
+    """Per file: the column names of its own header, and its other non-empty lines."""
     lines = F.filter(F.split("content", "\r?\n"), lambda line: line != "")
-    return blobs.where(F.col("content").isNotNull()).select(
-        "repository_id", "path", F.posexplode(lines).alias("line_no", "line")
+    files = blobs.where(F.col("content").isNotNull()).select("repository_id", "path", lines.alias("_lines"))
+    return files.where(F.size("_lines") > 0).select(
+        "repository_id", "path", header_names(csv_fields(F.get("_lines", F.lit(0)))).alias("_names"),
+        F.slice("_lines", F.lit(2), F.size("_lines")).alias("_rows"),
     )
 
 
-def first_line(content: str) -> Column:
-    """First non-empty line of a text, or ''."""
-    return F.regexp_extract(content, r"^(?:\r?\n)*([^\r\n]+)", 1)
+def header_columns(blobs: DataFrame) -> dict[str, list[str]]:
+    """Column names per path, in the order of the header; what ``MAX_COLUMNS`` allows reaches the driver."""
+    names = _files(blobs).select("path", F.posexplode("_names").alias("i", "name")).where(~F.col("name").rlike(r"^_extra\d+$"))
+    found: dict[str, list[str]] = {}
+    rows = names.groupBy("path", "name").agg(F.min("i").alias("i")).orderBy("path", "i").limit(MAX_COLUMNS + 1).collect()
+    if len(rows) > MAX_COLUMNS:
+        raise ValueError(f"headers name more than {MAX_COLUMNS} columns of at most {NAME_CHARS} characters")
+    for row in rows:
+        found.setdefault(row.path, []).append(row.name)
+    return found
 
 
-def header_schema(blobs: DataFrame) -> str | None:
-    """DDL with one STRING column per header field; NULL without a header.
+def _columns(blobs: DataFrame) -> list[str]:
+    """Distinct column names of all files, in the order of the first file (by path) that has them."""
+    names = _files(blobs).select("path", F.posexplode("_names").alias("i", "name")).where(~F.col("name").rlike(r"^_extra\d+$"))
+    first = names.groupBy("name").agg(F.min("path").alias("path"), F.min_by("i", "path").alias("i"))
+    rows = first.orderBy("path", "i").limit(MAX_COLUMNS + 1).collect()
+    if len(rows) > MAX_COLUMNS:
+        raise ValueError(f"headers name more than {MAX_COLUMNS} columns of at most {NAME_CHARS} characters")
+    return [r.name for r in rows]
 
-    Only the first line of the first file (by path) travels to the driver.
-    """
-    first = (
-        blobs.where(F.col("content").isNotNull())
-        .select("path", first_line("content").alias("header"))
-        .where(F.col("header") != "")
-        .agg(F.min(F.struct("path", "header")).alias("h"))
-        .select("h.header")
-        .first()
-    )
-    return header_ddl(first.header) if first and first.header else None
 
+def _ddl_columns(schema: str) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in T.StructType.fromDDL(schema).fields]
 
-def header_ddl(header: str) -> str:
-    """One STRING column per field of a header line (quoted commas allowed)."""
-    names = [n.strip() or f"_c{i}" for i, n in enumerate(next(csv.reader([header])))]
-    return ", ".join("`{}` STRING".format(n.replace("`", "``")) for n in names)
 
+def parse_csv_blobs(
+    blobs: DataFrame, schema: str | None = None, lineage: bool = True, rescued: bool = False
+) -> DataFrame:
+    """Rows of all given files; every file's columns are matched by its own header.
 
-def parse_csv_blobs(blobs: DataFrame, schema: str | None = None, lineage: bool = True) -> DataFrame:
-    """Rows of all given files, which share one layout.
-
-    ``schema`` is the declared layout (DDL); without it every column is a
-    string named by the header. Parsing runs where the files are: nothing but
-    that header reaches the driver.
+    ``schema`` is the declared layout (DDL); without it there is a string column
+    for each name that some header has. With ``rescued``, cells that fit no
+    column (unknown names, cells beyond the header, values of a wrong type) are
+    kept as JSON in ``_rescued_data``. A file without a header line gives no rows.
     """
-    schema = schema or header_schema(blobs)
-    if schema is None:
+    columns = _ddl_columns(schema) if schema else [(name, "string") for name in _columns(blobs)]
+    if not columns:
         raise ValueError("no header found and no schema declared")
-    rows = _lines(blobs).where(F.col("line_no") > 0)
-    parsed = rows.select(
-        "repository_id", "path", F.from_csv("line", schema, {"mode": "PERMISSIVE"}).alias("r")
-    )
-    if not lineage:
-        return parsed.select("r.*")
-    return parsed.select(
-        "r.*",
-        F.col("repository_id").alias("_source_repository_id"),
-        F.col("path").alias("_source_path"),
-        F.current_timestamp().alias("_ingested_at"),
-    )
+    parsed = _files(blobs).select(
+        "repository_id", "path", "_names", F.explode("_rows").alias("_line")
+    ).select("repository_id", "path", row_map(F.col("_names"), csv_fields(F.col("_line"))).alias("_fields"))
+    taken = rescue(F.col("_fields"), columns)
+    result = taken if rescued else taken[:-1]
+    if lineage:
+        result = [
+            *result, F.col("repository_id").alias("_source_repository_id"), F.col("path").alias("_source_path"),
+            F.current_timestamp().alias("_ingested_at"),
+        ]
+    return parsed.select(*result)
 
 
 def blob_table(

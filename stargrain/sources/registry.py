@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stargrain.sources.blobs import first_line, header_ddl, newest_blobs, parse_csv_blobs
+from stargrain.sources.blobs import header_columns, newest_blobs, parse_csv_blobs
 
 # Tables per source. A file is <folder>/<name>.csv; the tables of
 # the historical source carry the prefix hist_ on top of their file name.
@@ -112,6 +112,10 @@ COLUMNS: dict[str, dict[str, str]] = {
 }
 
 
+# Columns of a table that is landed without being read further.
+LINEAGE = "_source_repository_id BIGINT, _source_path STRING, _ingested_at TIMESTAMP"
+
+
 def file_path(source: str, table: str) -> str:
     entry = SOURCES[source]
     return f"{entry['folder']}{table.removeprefix(str(entry['prefix']))}.csv"
@@ -124,11 +128,11 @@ def declared_schema(source: str, table: str) -> str | None:
 
 
 def empty_table(spark: SparkSession, source: str, table: str) -> DataFrame:
-    """Stand-in for a table whose file has not arrived."""
-    schema = declared_schema(source, table)
-    if schema is None:
-        raise KeyError(f"no declared columns for {source}.{table}")
-    return spark.createDataFrame([], schema)
+    """Stand-in for a table whose file has not arrived.
+
+    A table that is only landed has no declared columns; its stand-in has the lineage columns.
+    """
+    return spark.createDataFrame([], declared_schema(source, table) or LINEAGE)
 
 
 def blob_tables(
@@ -144,19 +148,16 @@ def blob_tables(
         raise ValueError(f"unknown source {source!r}, expected one of {sorted(SOURCES)}")
     files = {t: file_path(source, t) for t in SOURCES[source]["tables"]}
     own = blobs.where(F.col("repository_id") == repositories[source])
-    # One small job brings the header line of every file of this source.
+    # One small job brings the column names of every file of this source.
     wanted = newest_blobs(own.where(F.col("path").isin(list(files.values()))), version)
-    headers = {
-        row.path: row.header
-        for row in wanted.select("path", first_line("content").alias("header")).collect()
-        if row.header
-    }
+    headers = header_columns(wanted)
     result = {}
     for table, path in files.items():
         if path in headers:
             # The path is filtered first, so a table reads no file but its own.
             one_file = newest_blobs(own.where(F.col("path") == path), version)
-            result[table] = parse_csv_blobs(one_file, header_ddl(headers[path]))
-        elif declared_schema(source, table):
+            ddl = ", ".join("`{}` STRING".format(n.replace("`", "``")) for n in headers[path])
+            result[table] = parse_csv_blobs(one_file, ddl)
+        else:
             result[table] = empty_table(spark, source, table)
     return result

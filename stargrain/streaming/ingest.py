@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stargrain.sources.csvlines import csv_fields, header_names, row_map
 from stargrain.sources.typed import RESCUED, rescue
 
-# Files per micro-batch; it bounds the header table that a batch joins with.
+# Files per micro-batch.
 FILES_PER_BATCH = 10_000
-SAMPLE_FILES = 20
-# Headers are broadcast only if all of them together stay below this size.
-BROADCAST_CHARS = 8_000_000
+# Types that values are tried against, from the narrowest on.
+INFERRED = ("int", "bigint", "double", "date", "timestamp_ntz", "boolean")
 
 
 def with_lineage(df: DataFrame) -> DataFrame:
@@ -25,23 +28,56 @@ def with_lineage(df: DataFrame) -> DataFrame:
     )
 
 
+def _read_schema(spark: SparkSession, location: str) -> T.StructType | None:
+    """The schema kept at ``location``; a folder that a broken run left without one counts as none."""
+    try:
+        rows = spark.read.text(location).limit(1).collect()
+    except AnalysisException:
+        return None
+    return T.StructType.fromJson(json.loads(rows[0].value)) if rows else None
+
+
+def infer_csv_schema(lines: DataFrame) -> T.StructType:
+    """Schema of CSV lines by column name, over all files, whatever the order of their columns.
+
+    A column gets the narrowest type that all of its values fit. Columns stand in
+    the order of the first file (by path) that has them.
+    """
+    cells = _by_header(lines).select("_source_file", F.posexplode(F.map_entries("_fields")).alias("_i", "_cell"))
+    cells = cells.select("_source_file", "_i", "_cell.key", "_cell.value").where(~F.col("key").rlike(r"^_extra\d+$"))
+    fits = [F.bool_and(F.col("value").isNull() | F.col("value").try_cast(t).isNotNull()).alias(f"_{t}") for t in INFERRED]
+    found = cells.groupBy("key").agg(
+        F.min("_source_file").alias("file"), F.min_by("_i", "_source_file").alias("i"), F.count("value").alias("n"), *fits
+    )
+    fields = []
+    for row in found.orderBy("file", "i").collect():
+        kind = next((t for t in INFERRED if row.n and row[f"_{t}"]), "string")
+        fields.append(f"`{row.key.replace('`', '``')}` {kind}")
+    return T.StructType.fromDDL(", ".join(fields)) if fields else T.StructType()
+
+
 def stored_schema(spark: SparkSession, folder: str, fmt: str, location: str) -> T.StructType:
-    """Schema of a feed: inferred once, then read from ``location``.
+    """Schema of a feed: inferred once from all its files, then read from ``location``.
 
-    Later files cannot change it, which keeps the target table stable.
+    Later files cannot change it, which keeps the target table stable. A folder
+    without files has no columns yet, and nothing is kept for it.
     """
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
-    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(hadoop):
-        return T.StructType.fromJson(json.loads(spark.read.text(location).first()[0]))
-    # Listing file names reads no content; a few files are enough to infer from.
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    sample = [r.path for r in listing.select("path").limit(SAMPLE_FILES).collect()]
-    reader = spark.read.format(fmt)
-    if fmt == "csv":
-        reader = reader.option("header", True).option("inferSchema", True)
-    schema = reader.load(sample).schema
-    spark.createDataFrame([(schema.json(),)], "value string").write.text(location)
+    schema = _read_schema(spark, location)
+    if schema is not None:
+        return schema
+    try:
+        if fmt == "csv":
+            lines = spark.read.option("recursiveFileLookup", True).text(folder).select("value", "_metadata")
+            schema = infer_csv_schema(lines)
+        else:
+            reader = spark.read.format(fmt).option("recursiveFileLookup", True)
+            schema = (reader.option("mergeSchema", True) if fmt in ("parquet", "orc") else reader).load(folder).schema
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        schema = T.StructType()
+    if schema.fields:
+        spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(location)
     return schema
 
 
@@ -55,21 +91,29 @@ def ingest_files(
 ) -> None:
     """Append all files that are new in ``folder`` to ``target``, then stop.
 
-    For feeds whose files match ``schema``; a text row that does not fit keeps
-    its whole text in ``_rescued_data``. The file sink keeps its own log, so
-    each file arrives exactly once even if the job is restarted.
+    A CSV row that does not fit ``schema`` keeps its whole text in
+    ``_rescued_data``; a JSON line keeps there its unknown fields and the values
+    that do not fit. The file sink keeps its own log, so each file arrives
+    exactly once even if the job is restarted. Without columns nothing is done.
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    if fmt in ("csv", "json"):
-        schema = T.StructType([*schema.fields, T.StructField(RESCUED, T.StringType())])
-    reader = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", FILES_PER_BATCH)
-    reader = reader.option("columnNameOfCorruptRecord", RESCUED)
-    if fmt == "csv":
-        reader = reader.option("header", True).option("enforceSchema", False)
+    if not schema.fields:
+        return
+    if fmt == "json":
+        reader = spark.readStream.format("text").option("maxFilesPerTrigger", FILES_PER_BATCH)
+        lines = reader.load(folder).where(F.trim("value") != "")
+        rows = _json_rows(with_lineage(lines), schema)
+    else:
+        if fmt == "csv":
+            schema = T.StructType([*schema.fields, T.StructField(RESCUED, T.StringType())])
+        reader = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", FILES_PER_BATCH)
+        reader = reader.option("columnNameOfCorruptRecord", RESCUED)
+        if fmt == "csv":
+            reader = reader.option("header", True).option("enforceSchema", False)
+        rows = with_lineage(reader.load(folder))
     query = (
-        with_lineage(reader.load(folder))
-        .writeStream.format("parquet")
+        rows.writeStream.format("parquet")
         .option("path", target)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -78,57 +122,66 @@ def ingest_files(
     query.awaitTermination()
 
 
-def _csv_rows(batch: DataFrame, schema: list[tuple[str, str]]) -> DataFrame:
-    """Typed rows plus the rescue column, matched by each file's own header."""
+def _json_rows(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """Typed columns of JSON lines, and in the rescue column what of a line they do not hold."""
+    parsed = lines.select(
+        F.col("value").alias("_line"),
+        F.from_json("value", schema, {"mode": "PERMISSIVE"}).alias("_row"),
+        F.from_json("value", "map<string,string>").alias("_fields"),
+        "_ingested_at", "_source_file",
+    )
+
+    def lost(key, text):
+        known = F.lit(False)
+        misfit = F.lit(False)
+        for f in schema.fields:
+            known = known | (key == f.name)
+            misfit = misfit | ((key == f.name) & F.col("_row")[f.name].isNull())
+        return text.isNotNull() & (~known | misfit)
+
+    left = F.map_filter("_fields", lost)
+    # A line that is no object at all is kept as it is.
+    kept = F.when(F.col("_fields").isNull(), F.col("_line")).when(F.size(left) > 0, F.to_json(left))
+    typed = [F.col("_row")[f.name].alias(f.name) for f in schema.fields]
+    return parsed.select(*typed, kept.alias(RESCUED), "_ingested_at", "_source_file")
+
+
+def _mark_headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Mark the first line of each file: the first one of the file's first block."""
+    last = None
+    for batch in batches:
+        names = batch.schema.names
+        files = batch.column(names.index("_source_file")).to_pylist()
+        starts = batch.column(names.index("_start")).to_pylist()
+        marks = []
+        for file, start in zip(files, starts):
+            marks.append(start == 0 and file != last)
+            last = file
+        columns = [batch.column(names.index(n)) for n in ("value", "_source_file")]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(marks, pa.bool_())], ["value", "_source_file", "_is_header"])
+
+
+def _by_header(batch: DataFrame) -> DataFrame:
+    """(_source_file, _fields): each line of text files as a map by its own file's header.
+
+    ``batch`` has the columns value and _metadata of the text source. Lines of a
+    block come in order, so the header is marked where the block is read, and
+    one line per file is shuffled.
+    """
     lines = batch.where(F.col("value") != "").select(
         "value",
         F.col("_metadata.file_path").alias("_source_file"),
         F.col("_metadata.file_block_start").alias("_start"),
-        F.monotonically_increasing_id().alias("_seq"),
-    )
-    # The header is the first line of a file's first block; line ids grow
-    # inside a block, and only one line per file is shuffled.
-    headers = (
-        lines.where(F.col("_start") == 0)
-        .groupBy("_source_file")
-        .agg(F.min(F.struct("_seq", "value")).alias("_h"))
-        .select("_source_file", F.col("_h.value").alias("_header"), F.col("_h._seq").alias("_hseq"))
-    )
-    size = headers.agg(
-        F.max(F.size(F.split("_header", ","))).alias("width"),
-        F.sum(F.length("_header") + F.length("_source_file")).alias("chars"),
-    ).first()
-    if (size.chars or 0) <= BROADCAST_CHARS:
-        headers = F.broadcast(headers)
-    # One more column than any header has shows rows that are too long.
-    width = (size.width or 1) + 1
-    wide = ", ".join(f"c{i} STRING" for i in range(width))
-
-    def fields(c: str):
-        return F.array(*[F.col(f"{c}.c{i}") for i in range(width)])
-
-    is_header = (F.col("_start") == 0) & (F.col("_seq") == F.col("_hseq"))
-    parsed = (
-        lines.join(headers, "_source_file")
-        .where(~is_header)
-        .select(
-            "_source_file",
-            F.from_csv("_header", wide).alias("_names"),
-            F.from_csv("value", wide).alias("_row"),
-        )
-        .select("_source_file", fields("_names").alias("_names"), fields("_row").alias("_row"))
-    )
-    # Cells without a header name are kept under their position.
-    names = F.transform(
-        "_names", lambda n, i: F.coalesce(F.trim(n), F.concat(F.lit("_extra"), i.cast("string")))
-    )
-    return (
-        parsed.select("_source_file", F.map_from_arrays(names, "_row").alias("_fields"))
-        .select(
-            *rescue(F.col("_fields"), schema),
-            F.current_timestamp().alias("_ingested_at"),
-            "_source_file",
-        )
+    ).mapInArrow(_mark_headers, "value string, _source_file string, _is_header boolean")
+    headers = lines.where("_is_header").select("_source_file", header_names(csv_fields(F.col("value"))).alias("_names"))
+    rows = lines.where("NOT _is_header").join(headers, "_source_file")
+    return rows.select("_source_file", row_map(F.col("_names"), csv_fields(F.col("value"))).alias("_fields"))
+
+
+def _csv_rows(batch: DataFrame, schema: list[tuple[str, str]]) -> DataFrame:
+    """Typed rows plus the rescue column, matched by each file's own header."""
+    return _by_header(batch).select(
+        *rescue(F.col("_fields"), schema), F.current_timestamp().alias("_ingested_at"), "_source_file"
     )
 
 
@@ -141,8 +194,8 @@ def ingest_csv(
 ) -> None:
     """Append new CSV files, tolerating changed headers and bad values.
 
-    Columns are matched by name per file. Unknown columns and values of the
-    wrong type go to ``_rescued_data`` instead of failing the run. A batch
+    Columns are matched by name per file. Unknown, unnamed and repeated columns
+    and values of the wrong type go to ``_rescued_data`` instead of failing the run. A batch
     writes its own folder and replaces it when replayed, so a restart adds
     nothing twice. Line breaks inside quotes are not supported here.
     """
@@ -187,6 +240,8 @@ def ingest_feeds(
             folder = f"{landing}/{table}"
             schema = stored_schema(spark, folder, fmt, f"{state}/{name}/{table}/schema")
             out, checkpoint = f"{target}/{name}/{table}", f"{state}/{name}/{table}/checkpoint"
+            if not schema.fields:
+                continue  # no file has arrived yet
             if fmt == "csv":
                 columns = [(f.name, f.dataType.simpleString()) for f in schema]
                 ingest_csv(spark, folder, columns, out, checkpoint)

@@ -282,8 +282,12 @@ def test_cosine_topk_equals_brute_force(spark):
     assert [(a, b, round(c, 6) + 0.0, d) for a, b, c, d in rows_of(got)] == sorted(want, key=repr)
 
 
-def test_number_of_query_vectors_is_checked(spark, monkeypatch):
-    monkeypatch.setattr(vectors, "MAX_QUERIES", 2)
-    df = spark.createDataFrame([(i, [1.0]) for i in range(3)], "vec_id bigint, e array<double>")
-    with pytest.raises(ValueError):
-        vectors.cosine_topk(df, df, "vec_id", "e", 1)
+def test_cosine_topk_in_blocks_and_without_queries(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    data = [(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(30, 4)).round(3))]
+    df = spark.createDataFrame([*data, (99, None)], "vec_id bigint, e array<double>")
+    want = rows_of(vectors.cosine_topk(df, df, "vec_id", "e", 2))
+    assert len(want) == 60
+    monkeypatch.setattr(vectors, "BLOCK_QUERIES", 7)
+    assert rows_of(vectors.cosine_topk(df, df, "vec_id", "e", 2)) == want
+    assert rows_of(vectors.cosine_topk(df, df.where("vec_id < 0"), "vec_id", "e", 2)) == []

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from stargrain.sources import blobs as B
 from stargrain.sources import registry
+from stargrain.sources.csvlines import csv_fields
 from stargrain.sources.tables import Layers, TableResolver, documented
 from stargrain.sources.typed import RESCUED, pick, rejects, rescue
 from stargrain.streaming import ingest_csv, ingest_feeds, ingest_files, stored_schema
@@ -175,3 +176,63 @@ def test_bucketed_catalog_tables_join_without_a_shuffle(spark):
     properties = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES gold.left_t").collect()}
     assert properties["quality"] == "gold"
     assert spark.catalog.getTable("gold.left_t").description == "It's a test."
+
+
+def test_each_file_is_read_by_its_own_header(spark):
+    df = blob(
+        spark, ("a", "blob", None, 1, "x,y\n1,2"), ("b", "blob", None, 1, " y ,x\n20,10"), ("c", "blob", None, 1, "x,y,z,x\n5,6,7,8,9")
+    )
+    got = B.parse_csv_blobs(df, "x INT, y INT", lineage=False, rescued=True)
+    assert sorted(tuple(r) for r in got.select("x", "y").collect()) == [(1, 2), (5, 6), (10, 20)]
+    assert [r[0] for r in got.where("x = 5").select(RESCUED).collect()] == ['{"z":"7","_extra3":"8","_extra4":"9"}']
+    assert got.where(F.col(RESCUED).isNull()).count() == 2
+    assert B.parse_csv_blobs(df, lineage=False).columns == ["x", "y", "z"]
+
+
+def test_csv_fields(spark):
+    lines = ['a,"x, y",c', ",b,", '"he said ""hi""",2', '"q \\"z\\"",1', '""', '"open,b', '"ab"cd,e']
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, line string")
+    got = [r.f for r in df.orderBy("i").select(csv_fields(F.col("line")).alias("f")).collect()]
+    assert got == [["a", "x, y", "c"], [None, "b", None], ['he said "hi"', "2"], ['q "z"', "1"], [""], ['"open', "b"], ['"ab"cd', "e"]]
+
+
+def test_every_registered_table_exists(spark):
+    df = spark.createDataFrame([(2, "data/csv/teams.csv", "blob", None, 1, "team_name\ny")], SCHEMA)
+    repositories = {"relational": 1, "analysis": 2, "historical": 3}
+    for source, entry in registry.SOURCES.items():
+        tables = registry.blob_tables(spark, df, repositories, source, "version")
+        assert sorted(tables) == sorted(entry["tables"])
+        assert sum(t.count() for t in tables.values()) == (source == "analysis")
+
+
+def test_repeated_header_names_do_not_stop_a_stream(spark, tmp_path):
+    write(tmp_path / "in", "1.csv", "id,name,id\n1,a,2\n")
+    args = (spark, str(tmp_path / "in"), [("id", "int"), ("name", "string")], str(tmp_path / "out"), str(tmp_path / "state"))
+    ingest_csv(*args)
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert rows_of(got.select("id", "name", RESCUED)) == [(1, "a", '{"_extra2":"2"}')]
+
+
+def test_json_keeps_unknown_fields(spark, tmp_path):
+    write(tmp_path / "in", "1.json", '{"x":1,"new":"kept"}\n{"x":"bad"}\nno json\n{"x":2}\n')
+    ingest_files(spark, str(tmp_path / "in"), "json", "x int", str(tmp_path / "out"), str(tmp_path / "c"))
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert rows_of(got.select("x", RESCUED)) == sorted(
+        [(1, '{"new":"kept"}'), (None, '{"x":"bad"}'), (None, "no json"), (2, None)], key=repr
+    )
+
+
+def test_schema_comes_from_all_files_by_name(spark, tmp_path):
+    for i in range(30):
+        write(tmp_path / "in", f"{i:02d}.csv", "id,v\n1,2\n" if i % 2 else "v,id\n3,4\n")
+    write(tmp_path / "in", "99.csv", "w,v,id\nx,0.5,7\n")
+    schema = stored_schema(spark, str(tmp_path / "in"), "csv", str(tmp_path / "state"))
+    assert {f.name: f.dataType.simpleString() for f in schema} == {"id": "int", "v": "double", "w": "string"}
+
+
+def test_schema_of_an_empty_folder_and_after_a_broken_run(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    assert stored_schema(spark, str(tmp_path / "in"), "csv", str(tmp_path / "state")).fields == []
+    (tmp_path / "state").mkdir(exist_ok=True)  # what a run leaves that dies before it writes
+    write(tmp_path / "in", "1.csv", "id\n1\n")
+    assert stored_schema(spark, str(tmp_path / "in"), "csv", str(tmp_path / "state")).simpleString() == "struct<id:int>"

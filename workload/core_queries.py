@@ -21,7 +21,6 @@ from stargrain.operators.pivots import coverage, pivot_metrics
 from stargrain.operators.resolve import resolve_best
 from stargrain.operators.scoring import minmax, policy_weights
 from stargrain.plans import facts, questions, views
-from stargrain.session import stored
 from workload.fixtures import Inputs
 from workload.registry import CTES, query, rounded
 
@@ -210,7 +209,7 @@ def team_tournament(t: Inputs) -> DataFrame:
 
 
 def ranking(t: Inputs) -> DataFrame:
-    totals = stored(team_tournament(t), "team_tournament")
+    totals = team_tournament(t)
     return questions.best_team_ranking(facts.dominance(totals), questions.standing_by_points(totals))
 
 
@@ -319,7 +318,7 @@ def policy_score(t: Inputs) -> DataFrame:
         + [("governed", c, w) for c, w in facts.DOMINANCE_WEIGHTS.items()],
         "concept string, component string, weight double",
     )
-    totals = stored(team_tournament(t), "team_tournament")
+    totals = team_tournament(t)
     scored = facts.dominance(totals, policy_weights(policies, "best_team"))
     return rounded(scored.select("tournament_id", "team_id", questions.SCORE), questions.SCORE)
 
@@ -702,13 +701,12 @@ WINDOW w AS (PARTITION BY tm.tournament_id, tm.team_id ORDER BY tm.match_date, t
 
 
 def dominance(t: Inputs) -> DataFrame:
-    """Scores over a stored roll-up, which the scaling reads twice."""
-    return facts.dominance(stored(team_tournament(t), "team_tournament"))
+    """Scores over a roll-up, which the scaling reads twice (one shuffle serves both)."""
+    return facts.dominance(team_tournament(t))
 
 
 def route(t: Inputs) -> DataFrame:
-    t.keep("fx_match")
-    return questions.route(team_match(t), stored(dominance(t), "dominance"), block_bits=ORDER_BLOCK_BITS)
+    return questions.route(team_match(t), dominance(t), block_bits=ORDER_BLOCK_BITS)
 
 
 @query(
@@ -741,9 +739,8 @@ WHERE d.tournament_id = 1998 AND d.team_id IN (3, 8)"""
        FROM (UNPIVOT (SELECT * FROM {o_h2h}) ON COLUMNS(* EXCLUDE (team_id)) INTO NAME metric VALUE value) GROUP BY metric""",
 )
 def head_to_head(t: Inputs) -> DataFrame:
-    t.keep("fx_match")
-    totals = stored(team_tournament(t), "team_tournament")
-    scores = stored(facts.dominance(totals), "dominance")
+    totals = team_tournament(t)
+    scores = facts.dominance(totals)
     strength = questions.opponent_strength(questions.route(team_match(t), scores, block_bits=ORDER_BLOCK_BITS))
     return rounded(
         questions.head_to_head(totals, scores, strength, 1998, 3, 8), "team_a", "team_b", "difference"

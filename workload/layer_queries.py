@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stargrain.functions.keys import match_key, surrogate_key
 from stargrain.operators.checks import star_report
 from stargrain.operators.graph import triples
 from stargrain.operators.joins import lookup
@@ -42,39 +43,45 @@ NAMES = {
 }
 
 
-# Tables that several others (or the reading back of names) depend on.
-SHARED = frozenset(
-    "match team player match_team team_tournament fact_team_tournament fact_team_dominance".split()
-)
-
-
 def layers(t: Inputs) -> Layers:
-    """Layers over the landed tables; shared tables are stored on first use."""
-    t.keep("b_game", "b_line")
+    """Layers over the landed tables."""
     return Layers(
         lambda source, table: t.table(LANDED[(source, table)]),
         {"silver": silver.TABLES, "gold": gold.TABLES},
-        keep=SHARED,
     )
 
 
-def named(L: Layers, df: DataFrame, own: str | None = None) -> DataFrame:
+def _match_names(t: Inputs) -> DataFrame:
+    """Match keys and the (home, away, day) they stand for, from the landed games."""
+    games = t.b_game.select("ck", "sk", "day").distinct()
+    games = games.join(t.customer.select("c_custkey", "c_name"), F.col("ck") == F.col("c_custkey"))
+    games = games.join(t.supplier.select("s_suppkey", "s_name"), F.col("sk") == F.col("s_suppkey"))
+    label = F.concat(
+        F.upper(F.trim("c_name")), F.lit(" v "), F.upper(F.trim("s_name")), F.lit(" "), F.col("day").cast("string")
+    )
+    return games.select(match_key("c_name", "s_name", "day").alias("match_id"), label.alias("match"))
+
+
+def _landed_names(t: Inputs, table: str) -> DataFrame | None:
+    """Keys and names of the large entities, from the landed names themselves."""
+    if table == "team":
+        names = t.customer.select(F.col("c_name").alias("name")).unionAll(t.supplier.select("s_name"))
+        return names.select(surrogate_key("name").alias("team_id"), "name")
+    if table == "player":
+        return t.b_squad.select(surrogate_key("name").alias("player_id"), "name")
+    return None
+
+
+def named(t: Inputs, L: Layers, df: DataFrame, own: str | None = None) -> DataFrame:
     """Replace keys by names; ``own`` is the table's own key and is dropped."""
     if own:
         df = df.drop(own)
     if "match_id" in df.columns:
-        match = L.silver("match").select("match_id", "home_team_id", "away_team_id", "match_date")
-        parts = {"_mh": "home_team_id", "_ma": "away_team_id", "_md": "match_date"}
-        df = lookup(df, match, {"match_id": "match_id"}, parts).drop("match_id")
-        for c in ("_mh", "_ma"):
-            df = lookup(df, L.silver("team"), {c: "team_id"}, {f"{c}n": "name"})
-        label = F.concat(
-            F.upper(F.trim("_mhn")), F.lit(" v "), F.upper(F.trim("_man")), F.lit(" "), F.col("_md").cast("string")
-        )
-        df = df.withColumn("match", label).drop("_mh", "_ma", "_md", "_mhn", "_man")
+        df = lookup(df, _match_names(t), {"match_id": "match_id"}, {"match": "match"}).drop("match_id")
     for key in [c for c in df.columns if c in NAMES]:
         table, ref_key, name, out = NAMES[key]
-        df = lookup(df, L.silver(table), {key: ref_key}, {f"_{out}": name}).drop(key)
+        names = _landed_names(t, table)
+        df = lookup(df, L.silver(table) if names is None else names, {key: ref_key}, {f"_{out}": name}).drop(key)
         text = F.col(f"_{out}") if out == "edition" else F.upper(F.trim(f"_{out}"))
         df = df.withColumn(out, text).drop(f"_{out}")
     return df
@@ -242,7 +249,7 @@ def _silver(table: str):
             player = L.silver("match_player")
             take = {"match_id": "match_id", "player_id": "player_id"}
             df = lookup(df, player, {"match_player_id": "match_player_id"}, take).drop("match_player_id")
-        return named(L, df, OWN.get(table))
+        return named(t, L, df, OWN.get(table))
 
     return run
 
@@ -330,7 +337,7 @@ def _gold(table: str):
     def run(t: Inputs) -> DataFrame:
         L = layers(t)
         places = 9 if table == "fact_team_dominance" else 6
-        return rounded(named(L, L.gold(table), GOLD_OWN.get(table)), *GOLD_ROUND.get(table, []), places=places)
+        return rounded(named(t, L, L.gold(table), GOLD_OWN.get(table)), *GOLD_ROUND.get(table, []), places=places)
 
     return run
 
@@ -491,4 +498,4 @@ def gold_route(t: Inputs) -> DataFrame:
         F.max(F.struct("step", "running_adjusted")).alias("last"),
     )
     result = last.select("tournament_id", "team_id", "steps", F.col("last.running_adjusted").cast("double").alias("adjusted_points"))
-    return named(L, result)
+    return named(t, L, result)
