@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stargrain.llm import words
+from stargrain.llm.fitting import fit_in_task, smallest
 
 HIDDEN = 16
 EMBED = 16
@@ -266,12 +267,16 @@ def identify(
     The network learns from rows for which ``learn`` holds, at most ``sample_docs``.
     """
     spark = docs.sparkSession
-    sample = (
-        docs.where(learn & F.col(lang_col).isNotNull() & (F.length(text_col) > 0))
-        .select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col, text_col).alias("place"))
-        .orderBy("place", "lang").limit(sample_docs).collect()
+    known = docs.where(learn & F.col(lang_col).isNotNull() & (F.length(text_col) > 0)).select(
+        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"),
+        F.xxhash64(id_col, text_col).alias("place"),
     )
-    names, params = train([r.text for r in sample], [r.lang for r in sample], steps)
+
+    def fitted(table: pa.Table) -> tuple[list[str], Params]:
+        table = table.sort_by("place")
+        return train(table["text"].to_pylist(), table["lang"].to_pylist(), steps)
+
+    names, params = fit_in_task(smallest(known, "place", sample_docs), fitted) or ([], {})
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn(
         "lettered", F.col("text").rlike(r"\p{L}") & F.lit(bool(names))
     )

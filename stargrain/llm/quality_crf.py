@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stargrain.llm import words
+from stargrain.llm.fitting import fit_in_task, smallest
 
 SAMPLE_DOCS = 4000
 BINS = 10
@@ -241,15 +242,21 @@ def fit(
     label_col: str = "quality", sample_docs: int = SAMPLE_DOCS,
 ) -> Model | None:
     """Train on the labelled documents for which ``learn`` (a condition on the id) holds."""
-    chosen = (
-        labels.where(learn & F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
-        .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("label"))
-        .orderBy(F.xxhash64("id"), "id").limit(sample_docs)
+    known = labels.where(learn & F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
+    chosen = smallest(
+        known.groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("label"))
+        .withColumn("place", F.xxhash64("id")),
+        "place", sample_docs,
     )
-    # At most sample_docs ids, so the documents are not shuffled.
+    # At most sample_docs ids, so the documents are not shuffled; of rows with one id, one text is used.
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = texts.join(F.broadcast(chosen), "id").orderBy(F.xxhash64("id"), "id", "text").limit(sample_docs).collect()
-    return train([r.text for r in rows], [r.label for r in rows])
+    sample = texts.join(F.broadcast(chosen), "id").groupBy("place").agg(F.min("label").alias("label"), F.min("text").alias("text"))
+
+    def fitted(table: pa.Table) -> Model | None:
+        table = table.sort_by("place")
+        return train(table["text"].to_pylist(), table["label"].to_pylist())
+
+    return fit_in_task(sample, fitted)
 
 
 def score(
