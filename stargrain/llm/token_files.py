@@ -19,9 +19,9 @@ any store that Spark can write to will do. The index (shard, offset, length,
 doc id, start, number of ids) is read back from the shards themselves, with all
 checksums verified; its rows can be dealt out in any order for shuffled reads.
 
-Encoding: merges never cross the start of a run of white space, so a text is cut
-there, and each piece is encoded by the ``tokenizers`` library once per worker
-while its table (``TABLE_PIECES`` entries) lasts.
+Encoding: a text is cut where merges cannot cross, and each piece is encoded by
+the ``tokenizers`` library once per worker while its table lasts (it is emptied
+at ``TABLE_PIECES`` pieces, which changes speed only).
 
 Edge cases. Null or empty text: the end id alone. Null doc id: sorted first, and
 null again when read. Documents with the same id: both are kept, ordered by a
@@ -44,9 +44,9 @@ from pyspark.sql import functions as F
 
 from stargrain.session import scratch_path
 
-TABLE_PIECES = 800_000
+TABLE_PIECES = 600_000
 KEPT_CHARS = 64
-SHARD_BYTES = 32 << 20  # text per shard
+BATCH_BYTES = 8 << 20  # of records that a task hands over at once
 END_MARK = b"\n"
 HEAD = struct.Struct("<QI")
 CHECK = struct.Struct("<I")
@@ -55,6 +55,7 @@ MASK = 0xA282EAD8
 
 # White space as the tokenizer's pattern sees it.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+UNEVEN = ("  ", " \n", "\n ", "\n\n", *WHITE.replace(" ", "").replace("\n", "").replace("-", ""), *map(chr, range(0x2001, 0x200A)))
 PIECE = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 
 
@@ -88,45 +89,65 @@ def records(content: bytes) -> Iterator[tuple[int, int, int | None, np.ndarray]]
 
 
 class Encoder:
-    """Encodes texts with the ``tokenizers`` library, each distinct piece once."""
+    """Encodes texts with the ``tokenizers`` library, each distinct piece once.
+
+    Merges never cross the start of a run of white space. Where words are set
+    apart by single spaces or line breaks, pieces are the words, with the line
+    break in front if there is one; other texts are cut by a pattern.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.width = 2 if size <= 1 << 16 else 4
         self.kind = np.dtype(f"<u{self.width}")
-        # A special string between pieces keeps them apart, so many are encoded in one call.
-        self.apart, self.apart_id = next(
-            ((t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not t.single_word),
-            (None, None),
-        )
+        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # Bytes of each token; the vocabulary writes a byte as one letter.
+        self.lengths = np.zeros(size, np.int64)
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.lengths[i] = len(token)
+        self.line_break = self._alone("\n")
         self.table: dict[str, bytes] = {}
 
+    def _alone(self, text: str) -> bytes:
+        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
+        return np.array(found.ids, self.kind).tobytes()
+
     def _each(self, pieces: list[str]) -> list[bytes]:
-        """The ids of each piece."""
-        if self.apart is None or any(self.apart in p for p in pieces):
-            found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-            return [np.array(e.ids, self.kind).tobytes() for e in found]
-        found = self.tokenizer.encode_batch_fast([self.apart.join(pieces)], add_special_tokens=False)[0]
+        """The ids of pieces that start with white space and do not end with it, encoded in one go."""
+        joined = "".join(pieces)
+        if any(s in joined for s in self.specials):
+            return [self._alone(p) for p in pieces]
+        found = self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0]
         ids = np.array(found.ids, self.kind)
-        ends = np.append(np.flatnonzero(ids == self.apart_id), len(ids)) * self.width
-        starts = np.append(0, ends[:-1] + self.width)
+        # Piece ends in bytes are token ends, which tells the pieces' ids apart.
+        reached = np.cumsum(self.lengths[ids])
+        ends = np.cumsum([len(p) if p.isascii() else len(p.encode()) for p in pieces])
+        last = np.searchsorted(reached, ends)
+        if last[-1] != len(ids) - 1 or (reached[last] != ends).any():
+            raise ValueError("tokens do not end where pieces do")
+        cuts = ((last + 1) * self.width).tolist()
         raw = ids.tobytes()
-        return [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+        return [raw[a:b] for a, b in zip([0, *cuts], cuts)]
 
     def encode(self, text: str) -> bytes:
-        pieces = PIECE.findall(text)
-        parts = list(map(self.table.get, pieces))
+        if not text or text[0] in " \n" or text[-1] in " \n" or any(w in text for w in UNEVEN):
+            return b"".join(map(self._alone, PIECE.findall(text)))
+        pieces = text.replace("\n", " \n").split(" ")
+        pieces[0] = "\n" + pieces[0]  # a line break in front is cut off again below
+        table = self.table
+        parts = list(map(table.get, pieces))
         if None in parts:
             missing = list({p for p, known in zip(pieces, parts) if known is None})
-            new = dict(zip(missing, self._each(missing)))
+            new = dict(zip(missing, self._each([p if p[0] == "\n" else " " + p for p in missing])))
             parts = [new[p] if known is None else known for p, known in zip(pieces, parts)]
-            if len(self.table) + len(new) > TABLE_PIECES:
-                self.table.clear()
-            self.table.update((p, ids) for p, ids in new.items() if len(p) <= KEPT_CHARS)
-        return b"".join(parts)
+            if len(table) + len(new) > TABLE_PIECES:
+                table.clear()
+            table.update((p, ids) for p, ids in new.items() if len(p) <= KEPT_CHARS)
+        return b"".join(parts)[len(self.line_break) :]
 
 
 def _framed(path: str | None, end_id: int):
@@ -140,7 +161,7 @@ def _framed(path: str | None, end_id: int):
             for doc_id, text in zip(batch.column(0), batch.column(1)):
                 framed.append(frame(doc_id.as_py(), encoder.width, encoder.encode(text.as_py() or "") + end))
                 size += len(framed[-1])
-                if size > SHARD_BYTES // 4:
+                if size > BATCH_BYTES:
                     yield pa.RecordBatch.from_arrays([pa.array(framed, pa.binary())], ["record"])
                     framed, size = [], 0
             yield pa.RecordBatch.from_arrays([pa.array(framed, pa.binary())], ["record"])
@@ -154,9 +175,9 @@ def write_shards(
 ) -> None:
     """Write the shards of ``docs`` to the folder ``path``."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     (
-        rows.repartitionByRange(max(1, -(-size // SHARD_BYTES)), "id")
+        # Without a number of partitions, small ones are put together by size.
+        rows.repartitionByRange("id")
         .sortWithinPartitions("id", F.xxhash64("text"))
         .mapInArrow(_framed(model_path, end_id), "record binary")
         .select(F.col("record").cast("string"))
