@@ -24,24 +24,29 @@ from stargrain.session import scratch_path, tune
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    tune(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     learn = F.crc32(F.col("doc_id").cast("string")) % 5 != 0
     return quality_crf.good_documents(docs, quality_crf.fit(docs, labels, learn))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    tune(spark)
     return near_dedup.deduplicated(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    tune(spark)
     return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    tune(spark)
     return mixing.mixed(docs)
 
 
 def binary_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    tune(spark)
     return token_files.token_files(docs).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
@@ -58,7 +63,6 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tune(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = scratch_path(spark, name)
