@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stargrain.functions import verdict
 from stargrain.operators.graph import Relation
-from stargrain.operators.joins import attach, lookup
+from stargrain.operators.joins import attach, lookup, stack_sources
 from stargrain.operators.ordered import plain_rank, running_totals, top_within
 from stargrain.operators.pivots import metric_rows
 from stargrain.plans.facts import DOMINANCE_WEIGHTS
@@ -139,6 +139,28 @@ def why_team(
     return attach(attach(players, team_rows, by, "left"), counts, by, "left")
 
 
+def team_evidence(
+    matches: DataFrame, player_match: DataFrame, events: DataFrame, by: list[str], match: str, result: str, craft: str, k: int = 3
+) -> DataFrame:
+    """Everything that speaks for a team, as rows (by, kind, item, value).
+
+    ``match``: each of its matches with ``result``; ``player``: its key players
+    with their goals; ``event``: how often each type of event occurred. Rows
+    instead of lists, so a team with very many matches stays spread out.
+    """
+    counts = events.groupBy(*by, "event_type").agg(F.count(F.lit(1)).alias("n"))
+    parts = [
+        ("match", matches, match, result), ("player", key_players(player_match, by, craft, k), "player_id", "goals"),
+        ("event", counts, "event_type", "n"),
+    ]
+    return stack_sources(*[
+        df.select(
+            *by, F.lit(kind).alias("kind"), F.col(item).cast("string").alias("item"), F.col(value).cast("bigint").alias("value")
+        )
+        for kind, df, item, value in parts
+    ])
+
+
 def surprises(match: DataFrame, prediction: DataFrame) -> DataFrame:
     """How far each result was from its forecast, and whether the favourite won."""
     rows = match.select("match_id", "tournament_id", "home_score", "away_score").join(

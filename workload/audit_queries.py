@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stargrain.operators import checks, graph, vectors
-from stargrain.plans import gold
+from stargrain.plans import gold, questions
 from stargrain.session import scratch_path
 from stargrain.sources import registry
 from stargrain.sources.blobs import parse_csv_blobs
@@ -14,7 +14,7 @@ from stargrain.sources.typed import RESCUED
 from stargrain.streaming import ingest_csv, ingest_files, stored_schema
 from workload.core_queries import RELATIONS, triple_rows
 from workload.fixtures import Inputs
-from workload.layer_queries import GOLD_SQL, layers
+from workload.layer_queries import GOLD_SQL, NAMES, layers
 from workload.registry import CTES, query
 
 # --- blobs whose files have layouts of their own ---------------------------------------
@@ -254,3 +254,47 @@ def cosine_topk_label(t: Inputs) -> DataFrame:
 def two_hop_all(t: Inputs) -> DataFrame:
     """Two steps over every pair of relationships that fit together."""
     return graph.two_hop(triple_rows(t, RELATIONS), triple_rows(t, graph.onward(RELATIONS, RELATIONS)))
+
+
+# --- references of the whole star, and the evidence for a team ---------------------------------
+
+
+def _reference_counts() -> str:
+    """Triples per reference: rows whose referring key (read back as a name) is present."""
+    relations = {(r.table, r.object_column): r for r in questions.star_relations(gold.FOREIGN_KEYS, gold.PRIMARY_KEYS)}
+    parts = []
+    for fk in gold.FOREIGN_KEYS:
+        named = "match" if fk.column == "match_id" else NAMES[fk.column][3]
+        counted = f"count({named})"
+        if fk.table == "fact_prediction":  # its key needs both teams; a match need not have been played
+            counted = "count(*) FILTER (WHERE home IS NOT NULL AND away IS NOT NULL)"
+        parts.append(f"SELECT '{relations[fk.table, fk.column].predicate}' AS predicate, {counted} AS n FROM ({GOLD_SQL[fk.table]})")
+    return "SELECT * FROM (" + " UNION ALL ".join(parts) + ") WHERE n > 0"
+
+
+@query("gold_all_triples", _reference_counts())
+def gold_all_triples(t: Inputs) -> DataFrame:
+    """Triples of all tables with references, counted per relationship."""
+    L = layers(t)
+    relations = questions.star_relations(gold.FOREIGN_KEYS, gold.PRIMARY_KEYS)
+    rows = graph.triples({name: L.gold(name) for name in dict.fromkeys(fk.table for fk in gold.FOREIGN_KEYS)}, relations)
+    return rows.groupBy("predicate").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "team_evidence",
+    """SELECT match_date, team_id, 'match' AS kind, CAST(match_goalkeeper_id AS VARCHAR) AS item, CAST(saves AS BIGINT) AS value FROM {fx_goalkeeper_match}
+       UNION ALL SELECT match_date, team_id, 'player', CAST(player_id AS VARCHAR), goals FROM (
+         SELECT match_date, team_id, player_id, CAST(sum(goals) AS BIGINT) AS goals,
+                row_number() OVER (PARTITION BY match_date, team_id ORDER BY sum(goals) DESC, sum(passes) DESC, player_id) AS place
+         FROM {fx_player_match} GROUP BY match_date, team_id, player_id) WHERE place <= 3
+       UNION ALL SELECT CAST(ts AS DATE), event_type, 'event', CAST(user_id % 7 AS VARCHAR), count(*) FROM {events} GROUP BY ALL""",
+)
+def team_evidence(t: Inputs) -> DataFrame:
+    by = ["match_date", "team_id"]
+    events = t.events.select(
+        F.col("ts").cast("date").alias("match_date"), F.col("event_type").alias("team_id"), (F.col("user_id") % 7).alias("event_type")
+    )
+    return questions.team_evidence(
+        t.fx_goalkeeper_match, t.fx_player_match, events, by, match="match_goalkeeper_id", result="saves", craft="passes"
+    )
