@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stargrain.llm.scratch import ROWS_PER_FILE, written
 from stargrain.session import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -68,9 +69,10 @@ def due_time(part: Column, schedule: Schedule) -> Column:
     return result
 
 
-def numbered(df: DataFrame, *order: Column) -> DataFrame:
-    """Add ``number`` (0, 1, ...) in the given order, without one task seeing all rows."""
-    placed = stored(df.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "placed")
+def numbered(df: DataFrame, rows: int, *order: Column) -> DataFrame:
+    """Add ``number`` (0, 1, ...) in the given order to ``rows`` rows, without one task seeing all of many."""
+    parts = max(1, -(-rows // ROWS_PER_FILE))
+    placed = stored(df.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()), "placed")
     counts = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
@@ -82,11 +84,13 @@ def numbered(df: DataFrame, *order: Column) -> DataFrame:
 
 def targets(sizes: DataFrame, weights: Sequence[float], share: float, most: float) -> DataFrame:
     """Per source: source, source_size, turn (place in ``weights``), target."""
-    per = stored(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
+    per = written(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), "sources", sizes.count())
+    n_sources = per.count()
     turn = F.pmod(F.col("number"), F.lit(len(weights)))
-    per = numbered(per, F.col("source").isNull(), F.col("source")).select("source", "source_size", turn.alias("turn"))
+    per = numbered(per, n_sources, F.col("source").isNull(), F.col("source")).select("source", "source_size", turn.alias("turn"))
     weight = F.element_at(F.array(*map(F.lit, map(float, weights))), F.col("turn").cast("int") + 1)
-    per = stored(per.withColumn("weight", weight).withColumn("cap", F.lit(float(most)) * F.col("source_size")), "weights")
+    per = per.withColumn("weight", weight).withColumn("cap", F.lit(float(most)) * F.col("source_size"))
+    per = written(per, "weights", n_sources)
     # The level rises until no source that is still free would be above its cap.
     total = (per.agg(F.sum("source_size")).first()[0] or 0) * share
     level = 0.0
@@ -145,7 +149,9 @@ def plan(
     )
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     per = targets(sizes, [integral(s) for s in schedules], share, most).withColumn("whole", whole)
-    per = stored(per.withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size")), "targets")
+    per = per.withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
+    n_docs, n_sources = sizes.count(), per.count()
+    per = written(per, "targets", n_sources)
     of = per.withColumnRenamed("source", "its_source")
     # 64 random bits as an order; the top ones name the range.
     rows = (
@@ -158,13 +164,13 @@ def plan(
     small = F.when(F.col("large"), F.lit(0)).otherwise(F.col("size"))
     ranges = rows.groupBy("turn", "source", "range").agg(F.sum("size").alias("n"), F.sum(small).alias("n_small"))
     earlier = Window.partitionBy("turn", "source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = stored(
+    starts = written(
         ranges.select(
             F.col("source").alias("its_source"), F.col("range").alias("its_range"),
             F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"),
             F.coalesce(F.sum("n_small").over(earlier), F.lit(0)).alias("start_small"),
         ),
-        "range-starts",
+        "range-starts", min(n_docs, n_sources * RANGES),
     )
     until = Window.partitionBy("source", "range").orderBy("order", "size").rowsBetween(Window.unboundedPreceding, 0)
     same = F.col("source").eqNullSafe(F.col("its_source")) & (F.col("range") == F.col("its_range"))
@@ -178,10 +184,12 @@ def plan(
         "running-sums",
     )
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    settled = stored(
-        rows.where("large").groupBy("source").applyInArrow(_settle, schema + ", extra boolean, left double"), "settled"
+    settled = written(
+        rows.where("large").groupBy("source").applyInArrow(_settle, schema + ", extra boolean, left double"),
+        "settled", min(n_docs, n_sources * LARGE),
     )
-    left = stored(settled.groupBy(F.col("source").alias("its_source")).agg(F.min("left").alias("left")), "left")
+    left = settled.groupBy(F.col("source").alias("its_source")).agg(F.min("left").alias("left"))
+    left = written(left, "left", n_sources)
     rest_small = rows.where("NOT large").join(left, F.col("source").eqNullSafe(F.col("its_source")), "left")
     rest_small = rest_small.drop("its_source").withColumn(
         "extra",

@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 
 from stargrain.llm import words
 from stargrain.llm.components import components
+from stargrain.llm.scratch import written
 from stargrain.session import stored
 
 SHINGLE = 5
@@ -221,11 +222,12 @@ def near_duplicates(
     profiles = stored(
         rows.mapInArrow(_profiles(size), "id bigint, n bigint, s1 bigint, s2 bigint, bands array<bigint>"), "profiles"
     )
+    n_docs = profiles.count()
     some = profiles.where("id IS NOT NULL AND n > 0")
-    classes = stored(some.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep")), "classes")
+    classes = written(some.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep")), "classes", n_docs)
     members = some.join(classes, ["n", "s1", "s2"])
-    ids = stored(members.select("id", "rep").distinct(), "members")
-    reps = stored(members.where("id = rep").select("rep", "bands"), "representatives")
+    ids = written(members.select("id", "rep").distinct(), "members", n_docs)
+    reps = written(members.where("id = rep").select("rep", "bands"), "representatives", n_docs)
     # One id with several texts: its classes belong together.
     spread = ids.groupBy("id").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("id", "lo")
     same_id = ids.join(spread, "id").where("rep > lo").select(F.col("rep").alias("u"), F.col("lo").alias("v"))
@@ -233,11 +235,12 @@ def near_duplicates(
     keys = reps.select("rep", F.explode("bands").alias("key"))
     crowded = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     buckets = stored(keys.join(crowded, "key").distinct(), "buckets")
+    n_places = buckets.count()
     score = buckets.groupBy("rep").agg(F.sum("size").alias("score"))
-    centres = stored(buckets.join(score, "rep").groupBy("key").agg(F.max_by("rep", "score").alias("u")), "centres")
-    stars = stored(
-        buckets.join(centres, "key").where("u <> rep").select("u", F.col("rep").alias("v")).distinct(), "stars"
-    )
+    centres = buckets.join(score, "rep").groupBy("key").agg(F.max_by("rep", "score").alias("u"))
+    centres = written(centres, "centres", n_places)
+    stars = buckets.join(centres, "key").where("u <> rep").select("u", F.col("rep").alias("v")).distinct()
+    stars = written(stars, "stars", n_places)
     involved = buckets.select("rep").distinct()
     sets = stored(
         rows.join(involved, F.col("id") == F.col("rep")).select("id", "text")
@@ -245,17 +248,18 @@ def near_duplicates(
         "sets",
     )
     links = stored(_links(stars, sets, threshold).unionByName(same_id), "star-links")
-    group = stored(components(links), "star-groups")
+    n_links = links.count()
+    group = components(links, n_links)
 
     placed = buckets.select("rep", "key").join(group.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
         "component", F.coalesce("component", "rep")
     )
-    placed = stored(placed, "placed")
+    placed = written(placed, "placed", n_places)
     open_keys = (
         placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
         .where("lo < hi").select("key")
     )
-    left_open = stored(placed.join(open_keys, "key"), "open")
+    left_open = written(placed.join(open_keys, "key"), "open", n_places)
     # Shingles of each open member that another one has too.
     open_sets = sets.join(left_open.select("rep").distinct(), "rep")
     each = open_sets.select("rep", F.explode("shingles").alias("shingle"))
@@ -269,12 +273,12 @@ def near_duplicates(
         # Fewer common shingles than the set alone needs: linked with nobody.
         .where(F.col("c") * 100 >= F.col("n") * threshold)
     )
-    able = stored(left_open.join(room.select("rep"), "rep"), "able")
+    able = written(left_open.join(room.select("rep"), "rep"), "able", n_places)
     chains = able.groupBy("key").agg(F.min("rep").alias("u")).join(able, "key").where("u <> rep")
-    cluster = components(chains.select("u", F.col("rep").alias("v"))).select(
+    cluster = components(chains.select("u", F.col("rep").alias("v")), able.count()).select(
         F.col("node").alias("rep"), F.col("component").alias("cluster")
     )
-    waiting = stored(able.select("rep", "component").distinct().join(cluster, "rep"), "waiting")
+    waiting = written(able.select("rep", "component").distinct().join(cluster, "rep"), "waiting", n_docs)
     sizes = (
         waiting.groupBy("cluster").agg(
             F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")
@@ -282,7 +286,7 @@ def near_duplicates(
         .where("lo < hi").select("cluster", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     )
     more = stored(_block_links(waiting.join(sizes, "cluster"), sets, threshold), "open-links")
-    group = stored(components(links.unionByName(more)), "groups")
+    group = components(links.unionByName(more), n_links + more.count())
 
     known = (
         ids.join(group.withColumnRenamed("node", "rep"), "rep", "left")

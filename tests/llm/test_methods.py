@@ -281,7 +281,7 @@ def test_components_equal_plain_search(spark):
         if a != b:
             x, y = find(a), find(b)
             root[max(x, y)] = min(x, y)
-    got = components.components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()
+    got = components.components(spark.createDataFrame(edges, "u bigint, v bigint"), len(edges)).collect()
     assert {r.node: r.component for r in got} == {x: find(x) for x in list(root)}
     assert len(got) == len(root)
 
