@@ -27,7 +27,7 @@ from __future__ import annotations
 import json
 import unicodedata
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -83,8 +83,19 @@ class PrefixCounter:
         self._follows: dict[tuple[str, str], bool] = {}
         self._runs: dict[str, int] = {}
         self._totals: dict[str, int] = {}
-        self.tokens = {t for t in model["vocab"] if t not in self.specials and self.whole(t)}
-        self.longest = max(map(len, self.tokens))
+        tokens = [t for t in model["vocab"] if t not in self.specials and self.whole(t)]
+        self.inner = self._tree(t for t in tokens if not t.endswith(self.end))
+        self.final = self._tree(t for t in tokens if t.endswith(self.end))
+
+    def _tree(self, tokens: Iterable[str]) -> tuple:
+        """Tree of tokens by their letters from the back; a node is (children, token that begins here)."""
+        root: list = [{}, None]
+        for token in tokens:
+            node = root
+            for letter in reversed(token.removesuffix(self.end)):
+                node = node[0].setdefault(letter, [{}, None])
+            node[1] = token
+        return root
 
     # --- tokens ---------------------------------------------------------
 
@@ -135,57 +146,56 @@ class PrefixCounter:
 
     # --- words ----------------------------------------------------------
 
-    def _symbols(self, word: str) -> tuple[str, set[int]]:
-        """The word in byte letters, and where its code points end there."""
+    def _symbols(self, word: str) -> str:
+        """The word in byte letters."""
         if word.isascii() and word.isalnum():
-            return word, set(range(1, len(word) + 1))
-        letters, text, borders = self.letters, "", set()
-        for c in word:
-            text += "".join([letters[b] for b in c.encode()])
-            borders.add(len(text))
-        return text, borders
-
-    def _word(self, text: str, borders: set[int]) -> list[int]:
-        """Counts of the prefixes that end at ``borders``, each as a whole word."""
-        tokens, known, follows, end, longest = self.tokens, self._follows, self.follows, self.end, self.longest
-        last: list[str] = [""]
-        count = [0]
-        counts = []
-        n = len(text)
-        for i in range(1, n + 1):
-            first = i - longest if i > longest else 0
-            if i in borders:
-                for j in range(first, i):
-                    token = text[j:i] + end
-                    if token in tokens:
-                        left = last[j]
-                        fits = known.get((left, token)) if j else True
-                        if fits or fits is None and follows(left, token):
-                            counts.append(count[j] + 1)
-                            break
-            if i == n:
+            return word
+        letters = self.letters
+        return "".join([letters[b] for b in word.encode()])
+
+    def _last(self, text: str, end: int, ends: tuple, last: list[str], count: list[int]) -> tuple[str, int]:
+        """(last token, count) of the encoding of text[:end], from those of shorter prefixes.
+
+        ``ends`` is a tree of the tokens that can come last, by their letters from the back.
+        """
+        known, j = self._follows, end
+        while j:
+            j -= 1
+            ends = ends[0].get(text[j])
+            if ends is None:
                 break
-            for j in range(first, i):
-                token = text[j:i]
-                if token in tokens:
-                    left = last[j]
-                    fits = known.get((left, token)) if j else True
-                    if fits or fits is None and follows(left, token):
-                        last.append(token)
-                        count.append(count[j] + 1)
-                        break
-        return counts
+            token = ends[1]
+            if token is not None:
+                if not j:
+                    return token, 1
+                left = last[j]
+                fits = known.get((left, token))
+                if fits or fits is None and self.follows(left, token):
+                    return token, count[j] + 1
+        raise ValueError(f"the vocabulary lacks letters of {text!r}")
+
+    def _states(self, text: str) -> tuple[list[str], list[int]]:
+        """Last token and count of every proper prefix, as the beginning of a longer word."""
+        n = len(text)
+        last, count = [""] * n, [0] * n
+        step, inner = self._last, self.inner
+        for i in range(1, n):
+            last[i], count[i] = step(text, i, inner, last, count)
+        return last, count
 
     def run(self, word: str) -> list[int]:
         """Counts of word[:1], word[:2], ... each taken as a whole word."""
-        return self._word(*self._symbols(word))
+        text = self._symbols(word)
+        last, count = self._states(text)
+        borders = accumulate(len(c.encode()) for c in word)
+        return [self._last(text, i, self.final, last, count)[1] for i in borders]
 
     def whole_run(self, word: str) -> int:
         """Tokens of a word; the states of its prefixes are the same, the last one is kept."""
         total = self._runs.get(word)
         if total is None:
-            text, _ = self._symbols(word)
-            total = self._word(text, {len(text)})[-1]
+            text = self._symbols(word)
+            total = self._last(text, len(text), self.final, *self._states(text))[1]
             if len(word) <= KEPT_CHARS:
                 if len(self._runs) >= TABLE_WORDS:
                     self._runs.clear()
@@ -244,7 +254,12 @@ class PrefixCounter:
         totals = self._totals
         known = totals.get(chunk)
         if known is None:
-            if "<|" in chunk:
+            if chunk.isascii() and chunk[:-1].isalpha():
+                # A word, or a word and one more sign: no pattern needed.
+                last = chunk[-1].lower()
+                word = chunk[:-1].lower()
+                known = self.whole_run(word + last) if last.isalpha() else self.whole_run(word) + self.whole_run(last)
+            elif "<|" in chunk:
                 known = self.prefixes(chunk)[-1]
             elif self.odd.search(chunk):
                 known = self._composed(chunk)
