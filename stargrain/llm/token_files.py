@@ -36,6 +36,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -150,11 +151,17 @@ class Encoder:
         return b"".join(parts)[len(self.line_break) :]
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> Encoder:
+    """One encoder, with its table, for all tasks of a worker."""
+    return Encoder(path)
+
+
 def _framed(path: str | None, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import public_tokenizers
 
-        encoder = Encoder(path or public_tokenizers.path("byte_bpe_50k.json"))
+        encoder = _encoder(path or public_tokenizers.path("byte_bpe_50k.json"))
         end = end_id.to_bytes(encoder.width, "little")
         for batch in batches:
             framed, size = [], 0
