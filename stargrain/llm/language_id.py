@@ -22,6 +22,7 @@ are not read.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -240,10 +241,21 @@ class Labeller:
         return total[:, :-1] / np.maximum(total[:, -1:], 1)
 
 
+_labellers: dict[str, Labeller] = {}
+
+
+def _labeller(key: str, params: Params) -> Labeller:
+    """One labeller, with its table, for all tasks of a worker that use the same weights."""
+    if key not in _labellers:
+        _labellers.clear()
+        _labellers[key] = Labeller(params)
+    return _labellers[key]
+
+
 def _labelled(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, params = model.value
-        labeller = Labeller(params)
+        key, names, params = model.value
+        labeller = _labeller(key, params)
         for batch in batches:
             for part, data, offsets in words.slices(batch, "text"):
                 known = np.asarray(part.column(part.schema.names.index("lettered")).fill_null(False).to_numpy(zero_copy_only=False), bool)
@@ -280,6 +292,7 @@ def identify(
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn(
         "lettered", F.col("text").rlike(r"\p{L}") & F.lit(bool(names))
     )
-    model = spark.sparkContext.broadcast((names or [UNKNOWN], params if names else initial(1, np.random.default_rng(0))))
+    params = params or initial(1, np.random.default_rng(0))
+    model = spark.sparkContext.broadcast((uuid.uuid4().hex, names or [UNKNOWN], params))
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(_labelled(model), f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)

@@ -28,6 +28,7 @@ import json
 import unicodedata
 from bisect import bisect_right
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
@@ -304,11 +305,17 @@ class PrefixCounter:
         return counts
 
 
+@lru_cache(maxsize=1)
+def _counter(path: str) -> PrefixCounter:
+    """One counter, with its tables, for all tasks of a worker."""
+    return PrefixCounter(path)
+
+
 def _count(path: str | None, limit: int, store: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import public_tokenizers
 
-        counter = PrefixCounter(path or public_tokenizers.path("word_bpe_49k.json"))
+        counter = _counter(path or public_tokenizers.path("word_bpe_49k.json"))
         for batch in batches:
             n_bytes, n_tokens, cuts, stored = [], [], [], []
             for value in batch.column(1):
