@@ -274,7 +274,9 @@ def near_duplicates(
         .where(F.col("c") * 100 >= F.col("n") * threshold)
     )
     able = written(left_open.join(room.select("rep"), "rep"), "able", n_places)
-    chains = able.groupBy("key").agg(F.min("rep").alias("u")).join(able, "key").where("u <> rep")
+    # Written, so that Spark may split the join of a bucket that very many members share.
+    firsts = written(able.groupBy("key").agg(F.min("rep").alias("u")), "firsts", n_places)
+    chains = able.join(firsts, "key").where("u <> rep")
     cluster = components(chains.select("u", F.col("rep").alias("v")), able.count()).select(
         F.col("node").alias("rep"), F.col("component").alias("cluster")
     )
