@@ -118,7 +118,7 @@ def edges_of(features: np.ndarray) -> np.ndarray:
 
 def cells(features: np.ndarray, edges: np.ndarray, first: np.ndarray) -> np.ndarray:
     """lines x (3 * features) weight numbers: own bins, and those of the lines before and after."""
-    bins = np.stack([np.searchsorted(e, x, "right") for x, e in zip(features.T, edges)], axis=1)
+    bins = np.stack([np.searchsorted(e, x, "right").astype(np.int32) for x, e in zip(features.T, edges)], axis=1)
     width = features.shape[1]
     outside = BINS  # beyond the ends of the text
     before, after = np.full_like(bins, outside), np.full_like(bins, outside)
@@ -126,7 +126,7 @@ def cells(features: np.ndarray, edges: np.ndarray, first: np.ndarray) -> np.ndar
     before[first[:-1]] = outside
     after[first[1:] - 1] = outside
     every = np.concatenate([bins, before, after], axis=1)
-    return every + np.arange(3 * width) * (BINS + 1)
+    return every + np.arange(3 * width, dtype=np.int32) * (BINS + 1)
 
 
 def _steps(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -180,7 +180,10 @@ class Model:
         self.edges, self.weights, self.bias, self.change = edges, weights, bias, change
 
     def emission(self, cell: np.ndarray) -> np.ndarray:
-        return self.weights[cell].sum(axis=1) + self.bias
+        total = np.full(len(cell), self.bias)
+        for column in cell.T:
+            total += self.weights[column]
+        return total
 
     def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         features, lengths, first = line_features(data, offsets)
@@ -194,8 +197,10 @@ def train(texts: list[str], labels: list[int], steps: int = STEPS) -> Model | No
     """Fit the field to documents whose lines all carry the document's label."""
     if not texts:
         return None
-    data, offsets = words.text_bytes(pa.array(texts, pa.string()))
-    features, lengths, first = line_features(data, offsets)
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+    parts = [line_features(data, offsets) for _, data, offsets in words.slices(batch, "text")]
+    features = np.concatenate([f for f, _, _ in parts])
+    first = np.r_[0, np.cumsum(np.concatenate([np.diff(f) for _, _, f in parts]))]
     edges = edges_of(features)
     cell = cells(features, edges, first)
     owner = np.repeat(np.arange(len(texts)), np.diff(first))
@@ -214,7 +219,9 @@ def train(texts: list[str], labels: list[int], steps: int = STEPS) -> Model | No
         # Observed minus expected, per line; the observed chain never changes.
         gap = (y[owner] - good) * weight[owner]
         grad = np.zeros_like(params)
-        grad[:-2] = np.bincount(cell.reshape(-1), np.repeat(gap, cell.shape[1]), len(params) - 2) - PENALTY * params[:-2]
+        for column in cell.T:  # a feature at a time, to need little memory
+            grad[:-2] += np.bincount(column, gap, len(params) - 2)
+        grad[:-2] -= PENALTY * params[:-2]
         grad[-2] = gap.sum()
         grad[-1] = (change_p * weight[owner]).sum() - 0.02 * params[-1]
         first_moment += 0.1 * (grad - first_moment)
