@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from stargrain.session import scratch_path
 
-TABLE_PIECES = 600_000
+TABLE_PIECES = 400_000
 KEPT_CHARS = 64
 BATCH_BYTES = 8 << 20  # of records that a task hands over at once
 END_MARK = b"\n"
