@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stargrain.llm import words
+from stargrain.llm.scratch import written
 from stargrain.session import stored
 
 WINDOW = 50
@@ -205,9 +206,11 @@ def remove_repeats(
     )
     long_enough = profiles.where(F.col("id").isNotNull() & (F.col("n_words") >= window))
     first = long_enough.groupBy("full_sha256").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("n"))
+    # Written, like the table of windows below, so that Spark may split a text that very many documents have.
+    first = written(first.where("n > 1").drop("n"), "substring-first", profiles.count())
     copies = (
         long_enough.select("id", "full_sha256")
-        .join(first.where("n > 1"), "full_sha256")
+        .join(first, "full_sha256")
         .where("id > first_id")
         .select("id", "full_sha256").distinct()
         .withColumn("is_copy", F.lit(True))
