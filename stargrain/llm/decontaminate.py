@@ -63,8 +63,9 @@ def block_of(keys: list, texts: list[str | None], min_match: int) -> Block:
         lengths = np.minimum(w.counts, min_match)
         mine = lengths[owner] == k
         hashes, owner = hashes[mine], owner[mine]
+        cut = np.searchsorted(owner, np.arange(len(keys) + 1))
         for t in np.unique(owner):
-            grams[t] = hashes[owner == t]
+            grams[t] = hashes[cut[t] : cut[t + 1]]
         pairs = np.unique(np.stack([hashes, owner.astype(np.uint64)], 1), axis=0)
         unique, first = np.unique(pairs[:, 0], return_index=True)
         seeds[k] = (unique, np.r_[first, len(pairs)], pairs[:, 1].astype(np.int64))
@@ -151,9 +152,9 @@ def _pairs(w: words.Words, block: Block, coverage: float) -> list[tuple]:
         if len(start) == 0:
             continue
         owner = np.searchsorted(w.first, start, "right") - 1
-        for t in np.unique(owner):
-            mine = owner == t
-            seeds, where = at[mine], start[mine]
+        texts, begin = np.unique(owner, return_index=True)
+        for t, a, b in zip(texts, begin, np.append(begin[1:], len(owner))):
+            seeds, where = at[a:b], start[a:b]
             distinct = np.unique(seeds)
             candidates = np.unique(np.concatenate([items[first[s] : first[s + 1]] for s in distinct]))
             for item in candidates:

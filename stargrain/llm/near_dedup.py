@@ -96,10 +96,18 @@ def signatures(hashes: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
         row, col = row[~ok], col[~ok]
         if len(row) == 0:
             break
-    for r in np.unique(row):
-        empty = col[row == r]
-        full = np.flatnonzero(known[r])
-        result[r, empty] = source[r, full[_RANKS[np.ix_(empty, full)].argmin(axis=1)]]
+    # Texts with few filled bins: the donor is the filled bin of the lowest rank, for texts with equally many at once.
+    texts = np.unique(row)
+    filled_bins = known[texts].sum(axis=1)
+    for m in np.unique(filled_bins):
+        alike = texts[filled_bins == m]
+        step = max(1, (1 << 20) // (BINS * int(m)))
+        for at in range(0, len(alike), step):
+            some = alike[at : at + step]
+            full = np.nonzero(known[some])[1].reshape(len(some), m)
+            donor = full[np.arange(len(some))[:, None], _RANKS[:, full].argmin(axis=2).T]
+            own = known[some]
+            result[some] = np.where(own, source[some], source[some[:, None], donor])
     return result
 
 

@@ -21,6 +21,7 @@ BYTE_BASE = np.uint64(0x9E3779B97F4A7C15)
 WORD_BASE = np.uint64(0xD6E8FEB86659FD93)
 # Bytes of text that are worked on at once; a longer document makes its own slice.
 SLICE_BYTES = 1 << 20
+SLICE_ROWS = 4096
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -126,12 +127,12 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Cut a batch so that the texts of a part have about ``limit`` bytes; yields (part, bytes, offsets)."""
+    """Cut a batch into parts of about ``limit`` bytes of text and not too many rows; yields (part, bytes, offsets)."""
     data, offsets = text_bytes(batch.column(batch.schema.names.index(column)))
     row = 0
     while row < batch.num_rows:
         end = int(np.searchsorted(offsets, offsets[row] + limit, "right")) - 1
-        end = min(max(end, row + 1), batch.num_rows)
+        end = min(max(end, row + 1), row + SLICE_ROWS, batch.num_rows)
         yield batch.slice(row, end - row), data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
         row = end
 
