@@ -149,22 +149,17 @@ def gradients(params: Params, batch: np.ndarray, labels: np.ndarray) -> tuple[fl
 
 def sequences(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """Words as windows, grouped by length: (which word, windows x length bytes with the closing space)."""
-    which = np.arange(len(starts))
+    windows = np.maximum(-(-(ends - starts) // WINDOW), 1)
+    which = np.repeat(np.arange(len(starts)), windows)
+    nth = np.arange(len(which)) - np.repeat(np.cumsum(windows) - windows, windows)
+    begin = starts[which] + nth * WINDOW
+    lengths = np.minimum(begin + WINDOW, ends[which]) - begin
     found = []
-    pieces = [(which, starts, ends)]
-    while pieces:
-        which, starts, ends = pieces.pop()
-        long = ends - starts > WINDOW
-        if long.any():
-            pieces.append((which[long], starts[long] + WINDOW, ends[long]))
-            ends = np.where(long, starts + WINDOW, ends)
-        lengths = ends - starts
-        for n in np.unique(lengths):
-            mine = lengths == n
-            at = starts[mine][:, None] + np.arange(n)
-            batch = np.full((len(at), n + 1), _SPACE, np.uint8)
-            batch[:, :n] = data[at]
-            found.append((which[mine], batch))
+    for n in np.unique(lengths):
+        mine = lengths == n
+        batch = np.full((int(mine.sum()), n + 1), _SPACE, np.uint8)
+        batch[:, :n] = data[begin[mine][:, None] + np.arange(n)]
+        found.append((which[mine], batch))
     return found
 
 
@@ -216,8 +211,9 @@ class Labeller:
         for which, batch in sequences(data, starts, ends):
             for at in range(0, len(which), 4096):
                 p = probabilities(self.params, batch[at : at + 4096], self.tables)
-                sums[which[at : at + 4096], :-1] += p.sum(axis=1)
-                sums[which[at : at + 4096], -1] += p.shape[1]
+                own = which[at : at + 4096]  # a long word has several windows
+                np.add.at(sums[:, :-1], own, p.sum(axis=1))
+                np.add.at(sums[:, -1], own, p.shape[1])
         return sums
 
     def documents(self, w: words.Words) -> np.ndarray:
