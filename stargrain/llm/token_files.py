@@ -20,8 +20,9 @@ doc id, start, number of ids) is read back from the shards themselves, with all
 checksums verified; its rows can be dealt out in any order for shuffled reads.
 
 Encoding: a text is cut where merges cannot cross, and each piece is encoded by
-the ``tokenizers`` library once per worker while its table lasts (it is emptied
-at ``TABLE_PIECES`` pieces, which changes speed only).
+the ``tokenizers`` library once per worker while it is kept: a table of
+``TABLE_PIECES`` pieces becomes the older one when it is full, and pieces that are
+used again move on to the newer one. That changes speed only.
 
 Edge cases. Null or empty text: the end id alone. Null doc id: sorted first, and
 null again when read. Documents with the same id: both are kept, ordered by a
@@ -35,6 +36,7 @@ import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -43,10 +45,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from stargrain.llm.token_counts import byte_letters
 from stargrain.session import scratch_path
 
-TABLE_PIECES = 400_000
+TABLE_PIECES = 350_000  # in each of two tables
 KEPT_CHARS = 64
+LATIN = "\u024f"  # letters up to here are letters in every version of Unicode
+SHARD_BYTES = 32 << 20  # of text
 BATCH_BYTES = 8 << 20  # of records that a task hands over at once
 END_MARK = b"\n"
 HEAD = struct.Struct("<QI")
@@ -60,6 +65,17 @@ UNEVEN = ("  ", " \n", "\n ", "\n\n", *WHITE.replace(" ", "").replace("\n", "").
 PIECE = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 
 
+def _gaps(parts: list) -> list[int]:
+    """Where a list has None."""
+    found, at = [], -1
+    try:
+        while True:
+            at = parts.index(None, at + 1)
+            found.append(at)
+    except ValueError:
+        return found
+
+
 def masked(data: bytes) -> int:
     crc = zlib.crc32(data)
     return ((crc >> 15 | crc << 17) + MASK) & 0xFFFFFFFF
@@ -110,13 +126,40 @@ class Encoder:
         self.lengths = np.zeros(size, np.int64)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
             self.lengths[i] = len(token)
+        self.model = self.tokenizer.model
+        self.letters = byte_letters()
+        self.code = "H" if self.width == 2 else "I"
         self.line_break = self._alone("\n")
+        self.marks = {mark: self._alone(mark) for mark in ".,;:!?"}
+        # Pieces used lately; what is used again moves from the older table to the newer one.
         self.table: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _alone(self, text: str) -> bytes:
         found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
         return np.array(found.ids, self.kind).tobytes()
 
+    def _word(self, piece: str) -> bytes | None:
+        """The ids of a plain word: letters, perhaps one mark behind, perhaps a line break in front.
+
+        The pattern splits such a piece into break, word and mark, so the
+        library's merges are asked for the word alone. None for other pieces.
+        """
+        broken = piece[0] == "\n"
+        word, tail = piece[1:] if broken else piece, b""
+        if not word.isalpha():
+            tail = self.marks.get(word[-1:])
+            word = word[:-1]
+            if tail is None or not word.isalpha():
+                return None
+        if not word.isascii():
+            if max(word) > LATIN:
+                return None
+            word = "".join([self.letters[b] for b in word.encode()])
+        found = self.model.tokenize(word if broken else self.letters[0x20] + word)
+        ids = array(self.code, [t.id for t in found]).tobytes() + tail
+        return self.line_break + ids if broken else ids
+
     def _each(self, pieces: list[str]) -> list[bytes]:
         """The ids of pieces that start with white space and do not end with it, encoded in one go."""
         joined = "".join(pieces)
@@ -142,12 +185,19 @@ class Encoder:
         table = self.table
         parts = list(map(table.get, pieces))
         if None in parts:
-            missing = list({p for p, known in zip(pieces, parts) if known is None})
-            new = dict(zip(missing, self._each([p if p[0] == "\n" else " " + p for p in missing])))
-            parts = [new[p] if known is None else known for p, known in zip(pieces, parts)]
-            if len(table) + len(new) > TABLE_PIECES:
-                table.clear()
+            gaps = _gaps(parts)
+            new = {}
+            for piece in {pieces[i] for i in gaps}:
+                ids = self.older.get(piece)
+                new[piece] = self._word(piece) if ids is None else ids
+            unknown = [p for p, ids in new.items() if ids is None]
+            if unknown:
+                new.update(zip(unknown, self._each([p if p[0] == "\n" else " " + p for p in unknown])))
+            for i in gaps:
+                parts[i] = new[pieces[i]]
             table.update((p, ids) for p, ids in new.items() if len(p) <= KEPT_CHARS)
+            if len(table) > TABLE_PIECES:
+                self.older, self.table = table, {}
         return b"".join(parts)[len(self.line_break) :]
 
 
@@ -182,9 +232,10 @@ def write_shards(
 ) -> None:
     """Write the shards of ``docs`` to the folder ``path``."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
+    # A shard is read back as one value, so its size must not follow the session's number of partitions.
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     (
-        # Without a number of partitions, small ones are put together by size.
-        rows.repartitionByRange("id")
+        rows.repartitionByRange(max(1, -(-size // SHARD_BYTES)), "id")
         .sortWithinPartitions("id", F.xxhash64("text"))
         .mapInArrow(_framed(model_path, end_id), "record binary")
         .select(F.col("record").cast("string"))
