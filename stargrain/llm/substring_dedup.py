@@ -44,6 +44,8 @@ WINDOW = 50
 
 def anchors(w: words.Words, window: int) -> tuple[np.ndarray, np.ndarray]:
     """(smallest gram hash of each window, index of its first word)."""
+    if len(w.ids) < window:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     gram = window // 2 + 1
     width = window - gram + 1
     hashes, at = w.grams(gram)

@@ -330,6 +330,16 @@ def test_equal_windows_have_equal_anchors():
         assert seen.setdefault(h, s) == s
 
 
+def test_texts_of_any_few_words_have_a_result(spark):
+    for n in range(61):
+        w = split(" ".join(f"w{i}" for i in range(n)))
+        smallest, start = substring_dedup.anchors(w, substring_dedup.WINDOW)
+        assert start.tolist() == list(range(max(n - substring_dedup.WINDOW + 1, 0))) and len(smallest) == len(start)
+    for n in (0, 3, 5, 8, 49, 50):
+        df = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(n)))], "doc_id bigint, text string").coalesce(1)
+        assert [(r.n_words, r.n_removed) for r in substring_dedup.remove_repeats(df).collect()] == [(n, 0)]
+
+
 # --- decontamination ----------------------------------------------------------------------------------------
 
 
