@@ -10,8 +10,9 @@ next one reads it from there, so a lost executor repeats one stage at most.
 3. decontamination: documents that contain a benchmark item go.
 4. source_mixing: documents are repeated or left out to meet the sources' target
    weights, in training order.
-5. token_files: length-delimited binary shards of token ids; the result is their
-   index as read back.
+5. token_files: length-delimited binary shards of token ids, in ascending id
+   order; the result is their index as read back, in training order: that of
+   the files that stage 4 wrote. It is also kept beside the shards, numbered.
 """
 
 from __future__ import annotations
@@ -47,7 +48,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def binary_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     tune(spark)
-    return token_files.token_files(docs).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return token_files.token_files(docs, ordered=True).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 STAGES = [

@@ -15,7 +15,8 @@ linear. Its integral is the source's weight in the whole mix:
 * Positions: W(t), the integral of w up to t, says which part of a source's
   target is due at time t. A copy that starts after ``c`` words of its source
   gets the position t with W(t) / W(1) = c / target, found by inverting the
-  integral. The mix is range-sorted by position.
+  integral. The mix is range-sorted by position. Texts are compressed, each
+  alone, while they move to their positions and into that order.
 
 Running sums use 4096 hash ranges per source, so no task holds a source.
 
@@ -27,7 +28,7 @@ rows. A text's other columns are not read (``mixed`` passes them on).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,7 @@ SHARE = 1.5
 MOST = 2
 RANGES = 4096
 LARGE = 1024
+BATCH_BYTES = 8 << 20  # of texts that a task hands over at once
 
 Schedule = Sequence[tuple[float, float]]
 
@@ -216,25 +218,104 @@ def plan(
     )
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Column ``text`` as its length and its compressed bytes: each text alone, as it moves alone."""
+    codec = pa.Codec("zstd")
+    for batch in batches:
+        at = batch.schema.names.index("text")
+        packed = [
+            None if x is None else len(x).to_bytes(8, "little") + codec.compress(x, asbytes=True)
+            for x in batch.column(at).to_pylist()
+        ]
+        yield batch.set_column(at, "text", pa.array(packed, pa.binary()))
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts again, in the same order, at most about BATCH_BYTES at once."""
+    codec = pa.Codec("zstd")
+    for batch in batches:
+        at = batch.schema.names.index("text")
+        column = batch.column(at)
+        texts, size, start = [], 0, 0
+        for row in range(batch.num_rows):
+            x = column[row].as_py()
+            texts.append(None if x is None else codec.decompress(x[8:], int.from_bytes(x[:8], "little"), asbytes=True))
+            size += len(texts[-1] or b"")
+            if size > BATCH_BYTES or row + 1 == batch.num_rows:
+                part = batch.slice(start, len(texts))
+                yield part.set_column(at, "text", pa.array(texts, pa.binary()))
+                start += len(texts)
+                texts, size = [], 0
+
+
+def _taken(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options
+) -> tuple[DataFrame, DataFrame]:
+    """The plan with ``twin``, and a row (doc, twin, position) for each copy taken, range-sorted by position.
+
+    ``twin`` numbers the rows that are equal in id and text.
+    """
+    keys = [F.col(id_col).cast("bigint").alias("id"), F.xxhash64(F.col(text_col)).alias("row_hash")]
+    others = F.struct(*[c for c in docs.columns if c != text_col]).alias("doc")
+    texts = docs.select(*keys, F.col(source_col).alias("source"), others, F.col(text_col).cast("binary").alias("text"))
+    texts = texts.mapInArrow(_packed, texts.schema)
+    same = Window.partitionBy("id", "row_hash")
+    planned = plan(docs, id_col, text_col, source_col, **options)
+    planned = stored(
+        planned.withColumn("twin", F.row_number().over(same.orderBy("source", "copies")))
+        .withColumn("twins", F.count(F.lit(1)).over(same)),
+        "mix-plan",
+    )
+    its = [F.col("id").alias("its_id"), F.col("row_hash").alias("its_hash"), F.col("twin").alias("its_twin"), "positions"]
+    match = F.col("id").eqNullSafe(F.col("its_id")) & (F.col("row_hash") == F.col("its_hash"))
+    # Texts of rows without a twin move once to meet their positions; only rows with twins are numbered first.
+    alone = planned.where((F.col("twins") == 1) & (F.size("positions") > 0)).select(*its)
+    taken = texts.join(alone, match).select("doc", "text", F.lit(1).alias("twin"), "positions")
+    n_twins = planned.where("twins > 1").count()
+    if n_twins:
+        right = written(planned.where("twins > 1").select(*its), "mix-twins", n_twins)
+        left = texts.join(right.select("its_id", "its_hash").distinct(), match).drop("its_id", "its_hash")
+        left = left.withColumn("twin", F.row_number().over(same.orderBy("source")))
+        twins = left.join(right.where(F.size("positions") > 0), match & (F.col("twin") - F.col("its_twin") == 0))
+        taken = taken.unionByName(twins.select("doc", "text", "twin", "positions"))
+    taken = taken.select("doc", "text", "twin", F.explode("positions").alias("position"))
+    taken = taken.repartitionByRange("position").sortWithinPartitions("position", F.col(f"doc.`{id_col}`"))
+    text = F.col("text").cast(docs.schema[text_col].dataType)
+    doc = F.struct(*[text.alias(c) if c == text_col else F.col(f"doc.`{c}`") for c in docs.columns])
+    return planned.drop("twins"), taken.mapInArrow(_unpacked, taken.schema).select(doc.alias("doc"), "twin", "position")
+
+
 def mixed(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options
 ) -> DataFrame:
     """The mix itself: a row of ``docs`` for each copy taken, range-sorted by training position."""
-    keys = [F.col(id_col).cast("bigint").alias("id"), F.xxhash64(F.col(text_col)).alias("row_hash")]
-    # Rows that are equal in id and text are told apart by number.
-    texts = docs.select(*keys, F.col(source_col).alias("source"), F.struct(*docs.columns).alias("doc"))
-    planned = stored(plan(docs, id_col, text_col, source_col, **options), "mix-plan")
-    left = texts.withColumn("twin", F.row_number().over(Window.partitionBy("id", "row_hash").orderBy("source")))
-    right = (
-        planned.withColumn("twin", F.row_number().over(Window.partitionBy("id", "row_hash").orderBy("source", "copies")))
-        .select(F.col("id").alias("its_id"), F.col("row_hash").alias("its_hash"), F.col("twin").alias("its_twin"), "positions")
-        .where(F.size("positions") > 0)
+    return _taken(docs, id_col, text_col, source_col, **options)[1].select("doc.*")
+
+
+def written_mix(
+    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options
+) -> DataFrame:
+    """Write the mix to ``path`` in training order and return the plan's rows as the written files bear them out.
+
+    The files have a row (doc, twin, position) for each copy. ``copies``, ``taken`` and
+    ``positions`` are counted from them; the other columns are the plan's.
+    """
+    planned, taken = _taken(docs, id_col, text_col, source_col, **options)
+    taken.write.option("compression", "zstd").parquet(path)
+    text = F.col(f"doc.`{text_col}`")
+    found = docs.sparkSession.read.parquet(path).select(
+        F.col(f"doc.`{id_col}`").cast("bigint").alias("its_id"), F.xxhash64(text).alias("its_hash"),
+        F.col("twin").alias("its_twin"), F.regexp_count(text, F.lit(WORD)).cast("bigint").alias("n"), "position",
+    )
+    found = found.groupBy("its_id", "its_hash", "its_twin").agg(
+        F.count(F.lit(1)).cast("int").alias("copies"), F.sum("n").alias("taken"),
+        F.sort_array(F.collect_list("position")).alias("positions"),
     )
     match = (
-        F.col("id").eqNullSafe(F.col("its_id")) & (F.col("row_hash") == F.col("its_hash"))
-        & (F.col("twin") - F.col("its_twin") == 0)
+        F.col("id").eqNullSafe(F.col("its_id")) & (F.col("row_hash") == F.col("its_hash")) & (F.col("twin") == F.col("its_twin"))
     )
-    taken = left.join(right, match).select("doc", F.explode("positions").alias("position"))
-    return (
-        taken.repartitionByRange("position").sortWithinPartitions("position", F.col(f"doc.`{id_col}`")).select("doc.*")
+    return planned.drop("copies", "taken", "positions").join(found, match, "left").select(
+        "id", "row_hash", "source", "size", "source_size", "target",
+        F.coalesce("copies", F.lit(0)).alias("copies"), F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"),
+        F.coalesce("positions", F.array().cast("array<double>")).alias("positions"),
     )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stargrain.llm import chat_format, decontaminate, language_id, mixing, near_dedup, quality_crf, substring_dedup, token_counts, token_files, topk
-from stargrain.session import tune
+from stargrain.session import scratch_path, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -54,7 +54,8 @@ def _op2(table):
 
 @query("op3_source_mixing")
 def _op3(table):
-    return mixing.plan(table("documents")).select(
+    docs = table("documents")
+    return mixing.written_mix(docs, scratch_path(docs.sparkSession, "mix")).select(
         F.col("id").alias("doc_id"), "size", "source_size", "target", "taken",
         F.get("positions", F.lit(0)).alias("first_position"), F.get("positions", F.lit(1)).alias("second_position"),
     )

@@ -17,7 +17,8 @@ Documents are range-sorted by id, encoded, and written by Spark's text writer
 committed like any Spark output: a lost executor's part is written again, and
 any store that Spark can write to will do. The index (shard, offset, length,
 doc id, start, number of ids) is read back from the shards themselves, with all
-checksums verified; its rows can be dealt out in any order for shuffled reads.
+checksums verified; its rows can be dealt out in any order for shuffled reads, or
+numbered by the order that the documents came in (``in_order``).
 
 Encoding: a text is cut where merges cannot cross, and each piece is encoded by
 the ``tokenizers`` library once per worker while it is kept: a table of
@@ -42,9 +43,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from stargrain.llm import mixing
 from stargrain.llm.token_counts import byte_letters
 from stargrain.session import scratch_path
 
@@ -287,9 +290,45 @@ def shuffled(index: DataFrame, seed: int) -> DataFrame:
     return index.withColumn("place", place).repartitionByRange("place").sortWithinPartitions("place").drop("place")
 
 
-def token_files(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, model_path: str | None = None) -> DataFrame:
-    """Write shards below the shared folder and return their index as read back."""
+def in_order(index: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Index rows with ``number`` (0, 1, ...), their record's place in ``docs`` as its files hold it.
+
+    Spark names a file by the partition that it holds and writes a partition's
+    rows in their order, so a row's place is (part, file, row of the file). A
+    frame that is not read from files is taken in its own order.
+    """
+    try:
+        file = docs.metadataColumn("_metadata")
+        part = F.regexp_extract(file["file_name"], r"^part-(\d+)", 1).try_cast("bigint")
+        at = docs.select(id_col, text_col, part.alias("part"), file["file_name"].alias("file"), file["row_index"].alias("row"))
+    except AnalysisException:
+        at = docs.select(
+            id_col, text_col, F.lit(0).alias("part"), F.lit("").alias("file"), F.monotonically_increasing_id().alias("row")
+        )
+    place = ["part", "file", "row"]
+    # Records of one id are in one shard, by hash of their text; equal texts make equal records.
+    at = at.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("hash"), *place)
+    at = at.withColumn("nth", F.row_number().over(Window.partitionBy("id").orderBy("hash", *place)))
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("shard", "offset"))
+    found = index.withColumn("its_nth", nth)
+    match = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("nth") == F.col("its_nth"))
+    found = found.join(at, match).select(*index.columns, *place)
+    numbered = mixing.numbered(found, index.count(), *map(F.col, place))
+    return numbered.select("number", *index.columns)
+
+
+def token_files(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, model_path: str | None = None, ordered: bool = False) -> DataFrame:
+    """Write shards below the shared folder and return their index as read back.
+
+    With ``ordered`` the index is written beside the shards, at their path and
+    ``-order``, with each record's place in ``docs``, and returned in that order.
+    """
     spark = docs.sparkSession
     path = scratch_path(spark, "token-shards")
     write_shards(docs, path, id_col, text_col, end_id, model_path)
-    return index(spark, path)
+    found = index(spark, path)
+    if not ordered:
+        return found
+    in_order(found, docs, id_col, text_col).write.parquet(f"{path}-order")
+    found = spark.read.parquet(f"{path}-order")
+    return found.repartitionByRange("number").sortWithinPartitions("number")

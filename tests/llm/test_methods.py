@@ -203,6 +203,44 @@ def test_mix_is_in_order_of_position_and_follows_the_schedule(spark):
     assert order[:half].count("c") < order[half:].count("c")  # rising weight
 
 
+def test_the_written_mix_bears_out_the_plan(spark, tmp_path):
+    rows = [(i // 2, "w " * (i % 9), "abc"[i % 3]) for i in range(900)] + [(None, "x y", "a")] * 3 + [(1, None, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    path = str(tmp_path / "mix")
+    got = sorted(map(tuple, mixing.written_mix(df, path).collect()), key=repr)
+    want = mixing.plan(df).select("id", "row_hash", "source", "size", "source_size", "target", "copies", "taken", "positions")
+    assert got == sorted(map(tuple, want.collect()), key=repr)
+    mix = spark.read.parquet(path).select("doc.*", "position", F.col("_metadata.file_name").alias("f"), F.col("_metadata.row_index").alias("i"))
+    at = [r.position for r in mix.orderBy("f", "i").collect()]
+    assert at == sorted(at) and len(at) == sum(r[6] for r in got)
+
+
+def test_op3_writes_the_mix(spark):
+    from stargrain.llm import queries
+
+    paths = []
+    write, mixing.written_mix = mixing.written_mix, lambda docs, path: paths.append(path) or write(docs, path)
+    try:
+        rows = queries.QUERIES["op3_source_mixing"](spark, "/root/testdata/sf0.001").collect()
+    finally:
+        mixing.written_mix = write
+    size = F.regexp_count("doc.text", F.lit(mixing.WORD))
+    assert spark.read.parquet(*paths).agg(F.sum(size)).first()[0] == sum(r.taken for r in rows) > 0
+
+
+def test_index_numbers_records_by_their_document_s_place(spark, tmp_path):
+    rows = [(i * 37 % 100, f"text {i % 3}") for i in range(300)] + [(None, "x"), (None, "y"), (None, "x")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(3)
+    df.write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    place = docs.select("*", F.col("_metadata.file_name").alias("f"), F.col("_metadata.row_index").alias("i"))
+    want = [r.doc_id for r in place.orderBy("f", "i").collect()]
+    tokens = token_files.token_files(docs, ordered=True).orderBy("number").collect()
+    assert [r.number for r in tokens] == list(range(len(rows))) and [r.doc_id for r in tokens] == want
+    plain = token_files.token_files(df, ordered=True).orderBy("number").collect()
+    assert [r.doc_id for r in plain] == [r.doc_id for r in df.collect()]
+
+
 # --- near duplicates ---------------------------------------------------------------------------------------
 
 

@@ -99,3 +99,18 @@ def test_files_hold_the_mix(stages):
         ids = [*tokenizer.encode(texts[r.doc_id], add_special_tokens=False).ids, 2]
         assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         start += len(ids)
+
+
+def stored_order(df):
+    """Rows in the order in which the files hold them."""
+    return df.select("*", F.col("_metadata.file_name").alias("f"), F.col("_metadata.row_index").alias("i")).orderBy("f", "i").collect()
+
+
+def test_the_index_is_in_training_order(stages):
+    positions = defaultdict(list)
+    for r in mixing.plan(stages[3]).collect():
+        positions[r.id] += r.positions
+    want = [i for _, i in sorted((p, i) for i, found in positions.items() for p in found)]
+    assert [r.doc_id for r in stored_order(stages[4])] == want
+    got = [r.doc_id for r in stored_order(stages[5])]
+    assert got == want and got != sorted(got)
