@@ -38,7 +38,7 @@ def _fold(parts: int):
 @query("op1_token_counts")
 def _op1(table):
     limit = 2048
-    counts = token_counts.token_counts(table("documents"), limit=limit)
+    counts = token_counts.stored_counts(table("documents"), limit=limit)
     return counts.select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"),
         F.col("cut").alias("chars_within_limit"),

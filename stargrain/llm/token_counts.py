@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -37,6 +38,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stargrain.session import scratch_path
+
 TABLE_WORDS = 1_000_000
 # Longer words are computed each time: they hardly repeat.
 KEPT_CHARS = 64
@@ -78,12 +81,14 @@ class PrefixCounter:
         self.special = regex.compile("|".join(map(regex.escape, sorted(self.specials, key=len, reverse=True))) or r"(?!)")
         self.piece = regex.compile(PIECE)
         self.chunk = regex.compile(f"[^{WHITE}]+")
+        self.part = regex.compile(f"[^{WHITE}]+|[{WHITE}]+")
         self.odd = regex.compile(f"[^{PLAIN}]")
         self.never = len(merges)
         self._whole: dict[str, bool] = {}
         self._follows: dict[tuple[str, str], bool] = {}
         self._runs: dict[str, int] = {}
         self._totals: dict[str, int] = {}
+        self._steps: dict[str, bytes] = {}
         tokens = [t for t in model["vocab"] if t not in self.specials and self.whole(t)]
         self.inner = self._tree(t for t in tokens if not t.endswith(self.end))
         self.final = self._tree(t for t in tokens if t.endswith(self.end))
@@ -293,6 +298,33 @@ class PrefixCounter:
         inside = max((k + 1 for k, c in enumerate(counts) if before + c <= limit), default=0)
         return found.start() + inside
 
+    def steps(self, text: str) -> tuple[bytes, int]:
+        """What each code point adds to the count: signed numbers, and how many bytes each has (1, or 4 where 1 does not do)."""
+        parts = self.part.findall(text)
+        table = self._steps
+        found = list(map(table.get, parts))
+        try:
+            if None in found:
+                found = [self._part_steps(p) if f is None else f for p, f in zip(parts, found)]
+            return b"".join(found), 1
+        except OverflowError:
+            return np.diff(self.all_prefixes(text)).astype("<i4").tobytes(), 4
+
+    def _part_steps(self, part: str) -> bytes:
+        """Steps of a chunk, or of white space."""
+        known = self._steps.get(part)
+        if known is None:
+            if self.chunk.match(part):
+                counts = self.prefixes(part)
+                known = array("b", [b - a for a, b in zip([0, *counts], counts)]).tobytes()
+            else:
+                known = bytes(len(part))
+            if len(part) <= KEPT_CHARS:
+                if len(self._steps) >= TABLE_WORDS:
+                    self._steps.clear()
+                self._steps[part] = known
+        return known
+
     def all_prefixes(self, text: str) -> np.ndarray:
         """Counts of text[:0], text[:1], ..., text."""
         counts = np.zeros(len(text) + 1, np.int32)
@@ -353,3 +385,62 @@ def token_counts(
     if store:
         schema += ", prefix_tokens array<int>"
     return rows.mapInArrow(_count(model_path, limit, store), schema).withColumnRenamed("id", id_col)
+
+
+def _stepped(path: str | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import public_tokenizers
+
+        counter = _counter(path or public_tokenizers.path("word_bpe_49k.json"))
+        for batch in batches:
+            texts = [x or "" for x in batch.column(1).to_pylist()]
+            found = [counter.steps(t) for t in texts]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0), pa.array([len(t.encode()) for t in texts], pa.int64()),
+                    pa.array([s for s, _ in found], pa.binary()), pa.array([w for _, w in found], pa.int32()),
+                ],
+                ["id", "n_bytes", "steps", "width"],
+            )
+
+    return run
+
+
+def store_steps(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", model_path: str | None = None) -> DataFrame:
+    """Write the count at every prefix of every text to ``path`` and read the table back.
+
+    ``steps`` has what each code point adds to the count, ``width`` bytes (signed) each; their
+    running sum is prefix_tokens without its leading 0.
+    """
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    kind = rows.schema["id"].dataType.simpleString()
+    found = rows.mapInArrow(_stepped(model_path), f"id {kind}, n_bytes bigint, steps binary, width int")
+    found.write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.parquet(path)
+
+
+def answers(steps: DataFrame, limit: int = 2048, id_col: str = "doc_id") -> DataFrame:
+    """id, n_bytes, n_tokens and cut for any ``limit``, from stored steps alone."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            totals, cuts = [], []
+            for raw, width in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                counts = np.cumsum(np.frombuffer(raw, f"<i{width}"), dtype=np.int64)
+                n = int(counts[-1]) if len(counts) else 0
+                totals.append(n)
+                fits = np.flatnonzero(counts <= limit) if n > limit else counts
+                cuts.append(len(counts) if n <= limit else int(fits[-1]) + 1 if len(fits) else 0)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(totals, pa.int64()), pa.array(cuts, pa.int64())],
+                ["id", "n_bytes", "n_tokens", "cut"],
+            )
+
+    kind = steps.schema["id"].dataType.simpleString()
+    found = steps.select("id", "n_bytes", "steps", "width").mapInArrow(run, f"id {kind}, n_bytes bigint, n_tokens bigint, cut bigint")
+    return found.withColumnRenamed("id", id_col)
+
+
+def stored_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = 2048, model_path: str | None = None) -> DataFrame:
+    """``answers`` from a table of steps that is written below the shared folder."""
+    return answers(store_steps(docs, scratch_path(docs.sparkSession, "prefix-steps"), id_col, text_col, model_path), limit, id_col)

@@ -57,6 +57,16 @@ def test_token_counts(odd, none):
     assert token_counts.token_counts(none).collect() == []
 
 
+def test_stored_steps_answer_any_budget(spark, odd, none, tmp_path):
+    odd = odd.unionByName(spark.createDataFrame([row(11, "a <|endoftext|> b's " + "word " * 3000), row(12, "e\u0301 \u0130x")], SCHEMA))
+    steps = token_counts.store_steps(odd, str(tmp_path / "steps"))
+    assert [len(r.steps) == len(r.text or "") * r.width for r in steps.join(odd.select("doc_id", "text"), steps.id == F.col("doc_id")).collect()].count(False) == 0
+    for limit in (0, 3, 2048):
+        want = token_counts.token_counts(odd, limit=limit).collect()
+        assert sorted(map(tuple, token_counts.answers(steps, limit).collect()), key=repr) == sorted(map(tuple, want), key=repr)
+    assert token_counts.stored_counts(none).collect() == []
+
+
 def test_quality(odd, none, labels):
     model = quality_crf.fit(odd, labels, learn=F.lit(True))
     rows = quality_crf.score(odd, model).collect()
