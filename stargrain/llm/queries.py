@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stargrain.llm import chat_format, decontaminate, language_id, mixing, near_dedup, quality_crf, substring_dedup, token_counts, token_files, topk
+from stargrain.llm import chat_format, decontaminate, importance, language_id, mixing, near_dedup, quality_crf, substring_dedup, token_counts, token_files, topk
 from stargrain.session import scratch_path, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -154,3 +154,59 @@ FROM w LEFT JOIN kept USING (doc_id)""",
 )
 def _op10(table):
     return substring_dedup.remove_repeats(table("documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query(
+    "op11_importance_resampling",
+    r"""
+WITH byte_table AS (
+    SELECT list_transform(range(256), lambda b: list_reduce(range(8),
+               lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS tab),
+w AS (
+    SELECT 'd' AS side, doc_id AS id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+    FROM documents
+    UNION ALL
+    SELECT 'b', item_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')
+    FROM benchmark),
+feature AS (
+    SELECT side, id, array_to_string(ws[i:i + k - 1], ' ') AS f
+    FROM (SELECT side, id, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3]) AS k))),
+one AS (SELECT DISTINCT f FROM feature),
+digits AS (SELECT f, hex(encode(f)) AS h FROM one),
+bytes AS (
+    SELECT f, list_transform(range(1, CAST(len(h) AS BIGINT), 2), lambda i: CAST(
+        16 * (instr('0123456789ABCDEF', substr(h, i, 1)) - 1) + instr('0123456789ABCDEF', substr(h, i + 1, 1)) - 1
+        AS BIGINT)) AS bs
+    FROM digits),
+bucket AS (
+    SELECT f, xor(list_reduce(bs, lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)
+              % 10000 AS bucket
+    FROM bytes, byte_table),
+used AS (SELECT side, id, bucket FROM feature JOIN bucket USING (f)),
+per AS (SELECT bucket, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 'b') AS t FROM used GROUP BY bucket),
+gain AS (
+    SELECT bucket, CAST(floor(1000 * ln(CAST((t + 1) * (sum(s) OVER () + 10000) AS DOUBLE)
+                                        / CAST((s + 1) * (sum(t) OVER () + 10000) AS DOUBLE))) AS BIGINT) AS gain
+    FROM per),
+weight AS (
+    SELECT id, count(*) AS n, CAST(sum(gain) AS BIGINT) AS weight
+    FROM used JOIN gain USING (bucket) WHERE side = 'd' GROUP BY id),
+scored AS (
+    SELECT w.id AS doc_id, len(ws) AS n_words, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+           coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+               (CAST('0x' || substr(sha256('42:' || w.id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+    FROM w LEFT JOIN weight ON w.id = weight.id WHERE w.side = 'd'),
+placed AS (
+    SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n
+    FROM scored WHERE n_words >= 20)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score,
+       CASE WHEN place <= 5 * n // 100 THEN place END AS rank
+FROM scored LEFT JOIN placed USING (doc_id)""",
+)
+def _op11(table):
+    found = importance.resampled(table("documents"), table("benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
