@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stargrain.llm import chat_format, decontaminate, importance, language_id, mixing, near_dedup, quality_crf, substring_dedup, token_counts, token_files, topk
+from stargrain.llm import chat_format, decontaminate, importance, language_id, mixing, near_dedup, quality_crf, substring_dedup, token_counts, token_files, topk, whitening
 from stargrain.session import scratch_path, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -210,3 +210,12 @@ FROM scored LEFT JOIN placed USING (doc_id)""",
 def _op11(table):
     found = importance.resampled(table("documents"), table("benchmark"))
     return found.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+@query("op12_embedding_whitening")
+def _op12(table):
+    found = whitening.whitened(table("embeddings"))
+    return found.select(
+        F.col("id").alias("vec_id"), "component", "n", F.expr("try_cast(deviation AS bigint)").alias("deviation"),
+        "whitened", "explained", "identity_error",
+    )
