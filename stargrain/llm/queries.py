@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stargrain.llm import chat_format, decontaminate, importance, language_id, mixing, near_dedup, quality_crf, substring_dedup, token_counts, token_files, topk, whitening
+from stargrain.llm import chat_format, decontaminate, importance, language_id, licences, mixing, near_dedup, quality_crf, substring_dedup, token_counts, token_files, topk, whitening
 from stargrain.session import scratch_path, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -219,3 +219,9 @@ def _op12(table):
         F.col("id").alias("vec_id"), "component", "n", F.expr("try_cast(deviation AS bigint)").alias("deviation"),
         "whitened", "explained", "identity_error",
     )
+
+
+@query("op13_licence_scan")
+def _op13(table):
+    found = licences.scan(table("documents")).withColumnRenamed("id", "doc_id")
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
