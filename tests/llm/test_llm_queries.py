@@ -36,7 +36,7 @@ def run(spark, name):
 
 
 def test_there_is_one_query_per_operator():
-    assert sorted(n.split("_")[0] for n in entry.LLM_QUERIES) == sorted([f"op{i}" for i in range(1, 11)] + ["pipeline"])
+    assert sorted(n.split("_")[0] for n in entry.LLM_QUERIES) == sorted([f"op{i}" for i in range(1, 14)] + ["pipeline"])
 
 
 @pytest.mark.parametrize("name", list(entry.LLM_ORACLE))
