@@ -31,6 +31,7 @@ from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import accumulate
+from operator import sub
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,10 @@ from stargrain.session import scratch_path
 TABLE_WORDS = 1_000_000
 # Longer words are computed each time: they hardly repeat.
 KEPT_CHARS = 64
+# Places in a node of the tree of tokens.
+INNER, FINAL = 1, 2
+# Text that is cut into words at once.
+BLOCK_CHARS = 1 << 20
 
 # The white space that the tokenizer drops, and its word pattern.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -81,6 +86,7 @@ class PrefixCounter:
         self.special = regex.compile("|".join(map(regex.escape, sorted(self.specials, key=len, reverse=True))) or r"(?!)")
         self.piece = regex.compile(PIECE)
         self.chunk = regex.compile(f"[^{WHITE}]+")
+        self.white = regex.compile(f"[{WHITE}]")
         self.part = regex.compile(f"[^{WHITE}]+|[{WHITE}]+")
         self.odd = regex.compile(f"[^{PLAIN}]")
         self.never = len(merges)
@@ -90,17 +96,20 @@ class PrefixCounter:
         self._totals: dict[str, int] = {}
         self._steps: dict[str, bytes] = {}
         tokens = [t for t in model["vocab"] if t not in self.specials and self.whole(t)]
-        self.inner = self._tree(t for t in tokens if not t.endswith(self.end))
-        self.final = self._tree(t for t in tokens if t.endswith(self.end))
+        self.tree = self._tree(tokens)
+        self._contracted = {c: self._part_steps(c) for c in CONTRACTIONS}
 
-    def _tree(self, tokens: Iterable[str]) -> tuple:
-        """Tree of tokens by their letters from the back; a node is (children, token that begins here)."""
-        root: list = [{}, None]
+    def _tree(self, tokens: Iterable[str]) -> list:
+        """Tree of tokens by their letters from the back.
+
+        A node is (children, token inside a word that begins here, token at a word's end that begins here).
+        """
+        root: list = [{}, None, None]
         for token in tokens:
             node = root
             for letter in reversed(token.removesuffix(self.end)):
-                node = node[0].setdefault(letter, [{}, None])
-            node[1] = token
+                node = node[0].setdefault(letter, [{}, None, None])
+            node[FINAL if token.endswith(self.end) else INNER] = token
         return root
 
     # --- tokens ---------------------------------------------------------
@@ -159,18 +168,15 @@ class PrefixCounter:
         letters = self.letters
         return "".join([letters[b] for b in word.encode()])
 
-    def _last(self, text: str, end: int, ends: tuple, last: list[str], count: list[int]) -> tuple[str, int]:
-        """(last token, count) of the encoding of text[:end], from those of shorter prefixes.
-
-        ``ends`` is a tree of the tokens that can come last, by their letters from the back.
-        """
-        known, j = self._follows, end
+    def _last(self, text: str, end: int, kind: int, last: list[str], count: list[int]) -> tuple[str, int]:
+        """(last token, count) of the encoding of text[:end], from those of shorter prefixes; the last token is INNER or FINAL."""
+        known, j, node = self._follows, end, self.tree
         while j:
             j -= 1
-            ends = ends[0].get(text[j])
-            if ends is None:
+            node = node[0].get(text[j])
+            if node is None:
                 break
-            token = ends[1]
+            token = node[kind]
             if token is not None:
                 if not j:
                     return token, 1
@@ -184,24 +190,74 @@ class PrefixCounter:
         """Last token and count of every proper prefix, as the beginning of a longer word."""
         n = len(text)
         last, count = [""] * n, [0] * n
-        step, inner = self._last, self.inner
+        step = self._last
         for i in range(1, n):
-            last[i], count[i] = step(text, i, inner, last, count)
+            last[i], count[i] = step(text, i, INNER, last, count)
         return last, count
 
+    def _both(self, text: str, end: int, last: list[str], count: list[int]) -> tuple[str, int, int]:
+        """(last token, count) of text[:end] inside a word, and its count as a whole word, in one walk."""
+        known, follows, j, node = self._follows, self.follows, end, self.tree
+        inner = None
+        within = whole = 0
+        while j:
+            j -= 1
+            node = node[0].get(text[j])
+            if node is None:
+                break
+            _, token, final = node
+            if token is not None and not within:
+                fits = not j or known.get((last[j], token))
+                if fits or fits is None and follows(last[j], token):
+                    inner, within = token, count[j] + 1
+                    if whole:
+                        return inner, within, whole
+            if final is not None and not whole:
+                fits = not j or known.get((last[j], final))
+                if fits or fits is None and follows(last[j], final):
+                    whole = count[j] + 1
+                    if within:
+                        return inner, within, whole
+        raise ValueError(f"the vocabulary lacks letters of {text!r}")
+
+    def runs(self, words: Iterable[str]) -> dict[str, bytes]:
+        """Steps of ``run`` for many words.
+
+        In order, words that begin alike follow each other and share the states of that prefix.
+        """
+        result: dict[str, bytes] = {}
+        both = self._both
+        before, last, count, whole = "", [""], [0], [0]
+        for text, word in sorted((self._symbols(w), w) for w in words):
+            n, same = len(text), 0
+            for a, b in zip(text, before):
+                if a != b:
+                    break
+                same += 1
+            del last[same + 1 :], count[same + 1 :], whole[same + 1 :]
+            for i in range(same + 1, n + 1):
+                token, within, total = both(text, i, last, count)
+                last.append(token)
+                count.append(within)
+                whole.append(total)
+            counts = whole if len(word) == n else [0, *[whole[k] for k in accumulate(len(c.encode()) for c in word)]]
+            result[word] = array("b", map(sub, counts[1:], counts)).tobytes()
+            before = text
+        return result
+
     def run(self, word: str) -> list[int]:
         """Counts of word[:1], word[:2], ... each taken as a whole word."""
         text = self._symbols(word)
         last, count = self._states(text)
         borders = accumulate(len(c.encode()) for c in word)
-        return [self._last(text, i, self.final, last, count)[1] for i in borders]
+        return [self._last(text, i, FINAL, last, count)[1] for i in borders]
 
     def whole_run(self, word: str) -> int:
         """Tokens of a word; the states of its prefixes are the same, the last one is kept."""
         total = self._runs.get(word)
         if total is None:
             text = self._symbols(word)
-            total = self._last(text, len(text), self.final, *self._states(text))[1]
+            total = self._last(text, len(text), FINAL, *self._states(text))[1]
             if len(word) <= KEPT_CHARS:
                 if len(self._runs) >= TABLE_WORDS:
                     self._runs.clear()
@@ -298,27 +354,73 @@ class PrefixCounter:
         inside = max((k + 1 for k, c in enumerate(counts) if before + c <= limit), default=0)
         return found.start() + inside
 
-    def steps(self, text: str) -> tuple[bytes, int]:
-        """What each code point adds to the count: signed numbers, and how many bytes each has (1, or 4 where 1 does not do)."""
-        parts = self.part.findall(text)
-        table = self._steps
-        found = list(map(table.get, parts))
-        try:
-            if None in found:
-                found = [self._part_steps(p) if f is None else f for p, f in zip(parts, found)]
-            return b"".join(found), 1
-        except OverflowError:
-            return np.diff(self.all_prefixes(text)).astype("<i4").tobytes(), 4
+    def steps(self, texts: list[str]) -> list[tuple[bytes, int]]:
+        """Per text what each code point adds to the count: signed numbers, and how many bytes each has (1, or 4 where 1 does not do).
+
+        Texts are read in blocks of about ``BLOCK_CHARS`` that end at white space; what is new in a block is run at once.
+        """
+        found: list[list[bytes]] = [[] for _ in texts]
+        wide: set[int] = set()
+        for block in self._blocks(texts):
+            # White space adds nothing, whichever it is: one byte between the parts stands for it.
+            parts = [(t, text.replace("\n", " ").split(" ")) for t, text in block]
+            table = self._steps
+            self._prepare({p for _, some in parts for p in some if p not in table})
+            for t, some in parts:
+                steps = list(map(table.get, some))
+                try:
+                    if None in steps:
+                        steps = [self._part_steps(p) if f is None else f for p, f in zip(some, steps)]
+                    found[t].append(b"\0".join(steps))
+                except OverflowError:
+                    wide.add(t)
+        return [
+            (np.diff(self.all_prefixes(text)).astype("<i4").tobytes(), 4) if t in wide else (b"".join(found[t]), 1)
+            for t, text in enumerate(texts)
+        ]
+
+    def _blocks(self, texts: list[str]) -> Iterator[list[tuple[int, str]]]:
+        """(number of a text, a range of it) one after the other, about BLOCK_CHARS at a time."""
+        block: list[tuple[int, str]] = []
+        size = 0
+        for t, text in enumerate(texts):
+            at = 0
+            while at < len(text):
+                end = min(at + BLOCK_CHARS - size, len(text))
+                if end < len(text):
+                    gap = self.white.search(text, end)
+                    end = gap.start() if gap else len(text)
+                block.append((t, text[at:end]))
+                size += end - at
+                at = end
+                if size >= BLOCK_CHARS:
+                    yield block
+                    block, size = [], 0
+        yield block
+
+    def _prepare(self, parts: set[str]) -> None:
+        """Steps of new parts of plain words, run together; the others are left to ``_part_steps``."""
+        plain: list[tuple[str, list[str]]] = []
+        for part in parts:
+            if part.isascii() and part.isalnum() or not (self.white.search(part) or "<|" in part or self.odd.search(part)):
+                plain.append((part, self.piece.findall(self._folded(part))))
+        steps = self.runs({p for _, pieces in plain for p in pieces} - self._contracted.keys())
+        steps |= self._contracted
+        if len(self._steps) + len(plain) > TABLE_WORDS:
+            self._steps.clear()
+        for part, pieces in plain:
+            if len(part) <= KEPT_CHARS:
+                self._steps[part] = b"".join([steps[p] for p in pieces])
 
     def _part_steps(self, part: str) -> bytes:
-        """Steps of a chunk, or of white space."""
+        """Steps of a text without spaces."""
         known = self._steps.get(part)
         if known is None:
-            if self.chunk.match(part):
+            if self.white.search(part):
+                known = b"".join([bytes(len(p)) if self.white.match(p) else self._part_steps(p) for p in self.part.findall(part)])
+            else:
                 counts = self.prefixes(part)
                 known = array("b", [b - a for a, b in zip([0, *counts], counts)]).tobytes()
-            else:
-                known = bytes(len(part))
             if len(part) <= KEPT_CHARS:
                 if len(self._steps) >= TABLE_WORDS:
                     self._steps.clear()
@@ -394,7 +496,7 @@ def _stepped(path: str | None):
         counter = _counter(path or public_tokenizers.path("word_bpe_49k.json"))
         for batch in batches:
             texts = [x or "" for x in batch.column(1).to_pylist()]
-            found = [counter.steps(t) for t in texts]
+            found = counter.steps(texts)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), pa.array([len(t.encode()) for t in texts], pa.int64()),
