@@ -45,6 +45,7 @@ SHARE = 1.5
 MOST = 2
 RANGES = 4096
 LARGE = 1024
+TEXT_LEVEL = 5  # of compression, for texts that move or are written
 BATCH_BYTES = 8 << 20  # of texts that a task hands over at once
 
 Schedule = Sequence[tuple[float, float]]
@@ -220,7 +221,7 @@ def plan(
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Column ``text`` as its length and its compressed bytes: each text alone, as it moves alone."""
-    codec = pa.Codec("zstd")
+    codec = pa.Codec("zstd", compression_level=TEXT_LEVEL)
     for batch in batches:
         at = batch.schema.names.index("text")
         packed = [
@@ -301,7 +302,7 @@ def written_mix(
     ``positions`` are counted from them; the other columns are the plan's.
     """
     planned, taken = _taken(docs, id_col, text_col, source_col, **options)
-    taken.write.option("compression", "zstd").parquet(path)
+    taken.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", TEXT_LEVEL).parquet(path)
     text = F.col(f"doc.`{text_col}`")
     found = docs.sparkSession.read.parquet(path).select(
         F.col(f"doc.`{id_col}`").cast("bigint").alias("its_id"), F.xxhash64(text).alias("its_hash"),
