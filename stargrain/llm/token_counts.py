@@ -47,7 +47,7 @@ KEPT_CHARS = 64
 # Places in a node of the tree of tokens.
 INNER, FINAL = 1, 2
 # Text that is cut into words at once.
-BLOCK_CHARS = 1 << 20
+BLOCK_CHARS = 1 << 22
 
 # The white space that the tokenizer drops, and its word pattern.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -363,15 +363,14 @@ class PrefixCounter:
         wide: set[int] = set()
         for block in self._blocks(texts):
             # White space adds nothing, whichever it is: one byte between the parts stands for it.
-            parts = [(t, text.replace("\n", " ").split(" ")) for t, text in block]
-            table = self._steps
-            self._prepare({p for _, some in parts for p in some if p not in table})
-            for t, some in parts:
-                steps = list(map(table.get, some))
+            parts = [text.replace("\n", " ").split(" ") for _, text in block]
+            steps = [list(map(self._steps.get, some)) for some in parts]
+            self._prepare({p for some, known in zip(parts, steps) if None in known for p, f in zip(some, known) if f is None})
+            for (t, _), some, known in zip(block, parts, steps):
                 try:
-                    if None in steps:
-                        steps = [self._part_steps(p) if f is None else f for p, f in zip(some, steps)]
-                    found[t].append(b"\0".join(steps))
+                    if None in known:
+                        known = [self._part_steps(p) if f is None else f for p, f in zip(some, known)]
+                    found[t].append(b"\0".join(known))
                 except OverflowError:
                     wide.add(t)
         return [
@@ -402,7 +401,11 @@ class PrefixCounter:
         """Steps of new parts of plain words, run together; the others are left to ``_part_steps``."""
         plain: list[tuple[str, list[str]]] = []
         for part in parts:
-            if part.isascii() and part.isalnum() or not (self.white.search(part) or "<|" in part or self.odd.search(part)):
+            if part.isascii() and part[:-1].isalpha() and part.isprintable():
+                # A word, or a word and one more sign: no pattern needed.
+                low = part.lower()
+                plain.append((part, [low] if part.isalpha() else [low[:-1], low[-1]]))
+            elif not (self.white.search(part) or "<|" in part or self.odd.search(part)):
                 plain.append((part, self.piece.findall(self._folded(part))))
         steps = self.runs({p for _, pieces in plain for p in pieces} - self._contracted.keys())
         steps |= self._contracted
