@@ -14,8 +14,9 @@ from stargrain.sources.typed import RESCUED
 from stargrain.streaming import ingest_csv, ingest_files, stored_schema
 from workload.core_queries import RELATIONS, triple_rows
 from workload.fixtures import Inputs
-from workload.layer_queries import GOLD_SQL, NAMES, layers
+from workload.layer_queries import GOLD_SQL, NAMES
 from workload.registry import CTES, query
+from workload.sharing import layers, shared
 
 # --- blobs whose files have layouts of their own ---------------------------------------
 
@@ -219,6 +220,7 @@ _UNKNOWN = {"fact_prediction": "count(*) FILTER (WHERE home IS NULL OR away IS N
         for name in gold.PRIMARY_KEYS
     ),
 )
+@shared
 def gold_all_primary_keys(t: Inputs) -> DataFrame:
     """All 16 tables of the star."""
     L = layers(t)
@@ -249,7 +251,7 @@ def cosine_topk_label(t: Inputs) -> DataFrame:
     "two_hop_all",
     """SELECT a.subject_type, a.subject_id, a.predicate AS predicate_1, a.object_type AS via_type, a.object_id AS via_id,
               b.predicate AS predicate_2, b.object_type, b.object_id
-       FROM {o_triple} a JOIN {o_triple} b ON b.subject_type = a.object_type AND b.subject_id = a.object_id""",
+       FROM {o_step} a JOIN {o_step} b ON b.tail = a.head""",
 )
 def two_hop_all(t: Inputs) -> DataFrame:
     """Two steps over every pair of relationships that fit together."""
@@ -273,6 +275,7 @@ def _reference_counts() -> str:
 
 
 @query("gold_all_triples", _reference_counts())
+@shared
 def gold_all_triples(t: Inputs) -> DataFrame:
     """Triples of all tables with references, counted per relationship."""
     L = layers(t)

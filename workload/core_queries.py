@@ -912,6 +912,11 @@ def triple_rows(t: Inputs, relations: list[graph.Relation]) -> DataFrame:
     return graph.triples(tables, relations)
 
 
+# Both ends as one column each: an equality of one column is joined by hashing.
+CTES["o_step"] = """
+SELECT *, subject_type || ' ' || CAST(subject_id AS VARCHAR) AS tail, object_type || ' ' || CAST(object_id AS VARCHAR) AS head FROM {o_triple}"""
+
+
 @query("triples", "SELECT * FROM {o_triple}")
 def triples(t: Inputs) -> DataFrame:
     return triple_rows(t, RELATIONS)
@@ -921,8 +926,7 @@ def triples(t: Inputs) -> DataFrame:
     "two_hop",
     """SELECT a.subject_type, a.subject_id, a.predicate AS predicate_1, a.object_type AS via_type, a.object_id AS via_id,
               b.predicate AS predicate_2, b.object_type, b.object_id
-       FROM {o_triple} a JOIN {o_triple} b ON b.subject_type = a.object_type AND b.subject_id = a.object_id
-       WHERE a.predicate = 'orderedBy'""",
+       FROM {o_step} a JOIN {o_step} b ON b.tail = a.head WHERE a.predicate = 'orderedBy'""",
 )
 def two_hop(t: Inputs) -> DataFrame:
     first = [r for r in RELATIONS if r.predicate == "orderedBy"]

@@ -102,13 +102,14 @@ class Inputs:
         if name not in self._known:
             if name in BASE:
                 df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-            elif name == "fx_passing_edge":
-                df = self._passing_edges()
             else:
-                df = self.sql(SQL[name])
+                df = self.derived(name)
             self._known[name] = stored(df, name) if name in self._kept else df
         return self._known[name]
 
+    def derived(self, name: str) -> DataFrame:
+        return self._passing_edges() if name == "fx_passing_edge" else self.sql(SQL[name])
+
     def keep(self, *names: str) -> None:
         """Fixtures that a query reads more than once are written on first use."""
         self._kept.update(names)

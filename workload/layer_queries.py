@@ -17,9 +17,9 @@ from stargrain.operators.joins import lookup
 from stargrain.plans import gold, questions, silver, views
 from stargrain.plans.facts import team_match
 from stargrain.sources.tables import Layers
-from workload.bronze import LANDED
 from workload.fixtures import Inputs
 from workload.registry import CTES, query, rounded
+from workload.sharing import layers, shared
 
 # key column -> (silver table, its key, natural name, output column)
 NAMES = {
@@ -43,14 +43,6 @@ NAMES = {
 }
 
 
-def layers(t: Inputs) -> Layers:
-    """Layers over the landed tables."""
-    return Layers(
-        lambda source, table: t.table(LANDED[(source, table)]),
-        {"silver": silver.TABLES, "gold": gold.TABLES},
-    )
-
-
 def _match_names(t: Inputs) -> DataFrame:
     """Match keys and the (home, away, day) they stand for, from the landed games."""
     games = t.b_game.select("ck", "sk", "day").distinct()
@@ -251,7 +243,7 @@ def _silver(table: str):
             df = lookup(df, player, {"match_player_id": "match_player_id"}, take).drop("match_player_id")
         return named(t, L, df, OWN.get(table))
 
-    return run
+    return shared(run)
 
 
 for _table in silver.TABLES:
@@ -339,7 +331,7 @@ def _gold(table: str):
         places = 9 if table == "fact_team_dominance" else 6
         return rounded(named(t, L, L.gold(table), GOLD_OWN.get(table)), *GOLD_ROUND.get(table, []), places=places)
 
-    return run
+    return shared(run)
 
 
 for _table in gold.TABLES:
@@ -357,6 +349,7 @@ for _table in gold.TABLES:
        FROM {o_tt} t LEFT JOIN (SELECT upper(trim(name)) AS team, CASE WHEN confed LIKE 'X-%' THEN confed ELSE 'Conf ' || confed END AS confederation_name
                                 FROM {o_team_best}) d ON d.team = t.team GROUP BY ALL""",
 )
+@shared
 def semantic_team_performance(t: Inputs) -> DataFrame:
     view = views.semantic_view(layers(t), "team_performance")
     return rounded(
@@ -370,6 +363,7 @@ def semantic_team_performance(t: Inputs) -> DataFrame:
     """SELECT edition AS tournament_year, round(avg(performance_dominance_score), 6) AS performance_dominance_score,
               round(avg(results_score), 6) AS results_score FROM {o_dom} GROUP BY edition""",
 )
+@shared
 def semantic_team_dominance(t: Inputs) -> DataFrame:
     view = views.semantic_view(layers(t), "team_dominance")
     measures = ["performance_dominance_score", "results_score"]
@@ -382,6 +376,7 @@ def semantic_team_dominance(t: Inputs) -> DataFrame:
               round(sum(shots_on_target) / nullif(sum(shots), 0), 6) AS shot_accuracy
        FROM {o_tms} t JOIN {o_g} m ON m.label = t.match GROUP BY ALL""",
 )
+@shared
 def semantic_match_performance(t: Inputs) -> DataFrame:
     view = views.semantic_view(layers(t), "match_performance")
     result = view.query(["match_date", "home_away"], ["points", "aerial_duels_won", "shot_accuracy"])
@@ -393,6 +388,7 @@ def semantic_match_performance(t: Inputs) -> DataFrame:
     """SELECT position_played, started, CAST(sum(goals) AS BIGINT) AS goals, round(sum(passes_completed) / nullif(sum(passes), 0), 6) AS pass_completion_pct,
               round(avg(distance_covered_km), 6) AS distance_covered_km, max(top_speed_kmh) AS top_speed_kmh FROM {o_player} GROUP BY ALL""",
 )
+@shared
 def semantic_player(t: Inputs) -> DataFrame:
     view = views.semantic_view(layers(t), "player_match_performance")
     ratios = ["pass_completion_pct", "distance_covered_km"]
@@ -408,6 +404,7 @@ CTES["o_keeper"] = SILVER_SQL["match_goalkeeper"]
               round(sum(saves) / nullif(sum(shots_faced), 0), 6) AS save_percentage
        FROM {o_keeper} k GROUP BY ALL""",
 )
+@shared
 def semantic_keeper(t: Inputs) -> DataFrame:
     view = views.semantic_view(layers(t), "goalkeeper_match_performance")
     result = rounded(view.query(["player_name"], ["shots_faced", "save_percentage"]), "save_percentage")
@@ -427,6 +424,7 @@ def semantic_keeper(t: Inputs) -> DataFrame:
        UNION ALL SELECT 'fact_team_tournament', count(*), 0, 0 FROM {o_tt}
        UNION ALL SELECT 'fact_team_dominance', count(*), 0, 0 FROM {o_tt}""",
 )
+@shared
 def gold_primary_keys(t: Inputs) -> DataFrame:
     L = layers(t)
     tables = [
@@ -448,6 +446,7 @@ CTES["o_event"] = SILVER_SQL["match_event"]
         for fk in gold.FOREIGN_KEYS
     ),
 )
+@shared
 def gold_foreign_keys(t: Inputs) -> DataFrame:
     """All references of the star; derived keys leave no orphan."""
     L = layers(t)
@@ -471,6 +470,7 @@ def _triple_count(predicate: str, counted: str, source: str, where: str = "") ->
         + [_triple_count(f"playerMatch_{c}", "*", "{o_player}") for c in ("match", "team", "player")]
     ),
 )
+@shared
 def gold_triples(t: Inputs) -> DataFrame:
     """Triples of four tables, two of them with composite keys, counted per relationship."""
     L = layers(t)
@@ -489,6 +489,7 @@ CTES["o_pass"] = SILVER_SQL["passing_edge"]
        FROM (SELECT t.edition, t.team, t.points, d.performance_dominance_score AS opp FROM {o_tms} t
              LEFT JOIN {o_dom} d ON d.edition = t.edition AND d.team = t.opponent) GROUP BY ALL""",
 )
+@shared
 def gold_route(t: Inputs) -> DataFrame:
     L = layers(t)
     rows = team_match(L.silver("match"), ["match_id", "tournament_id", "match_date"])
