@@ -14,9 +14,9 @@ from stargrain.sources.typed import RESCUED
 from stargrain.streaming import ingest_csv, ingest_files, stored_schema
 from workload.core_queries import RELATIONS, triple_rows
 from workload.fixtures import Inputs
-from workload.layer_queries import GOLD_SQL, NAMES
+from workload.layer_queries import GOLD_SQL, NAMES, named
 from workload.registry import CTES, query
-from workload.sharing import layers, shared
+from workload.sharing import layers, shared, traced
 
 # --- blobs whose files have layouts of their own ---------------------------------------
 
@@ -301,3 +301,23 @@ def team_evidence(t: Inputs) -> DataFrame:
     return questions.team_evidence(
         t.fx_goalkeeper_match, t.fx_player_match, events, by, match="match_goalkeeper_id", result="saves", craft="passes"
     )
+
+
+@query(
+    "provenance_dominance",
+    """SELECT edition, team, source FROM (SELECT DISTINCT edition, team FROM {o_dom}) JOIN (
+         SELECT DISTINCT CAST(substr(tournament_id, 3) AS INTEGER) AS edition, 'historical/hist_matches/' || tournament_id || '.csv' AS source FROM {b_hist_matches}
+         UNION ALL SELECT CAST(substr(tournament_id, 3) AS INTEGER), unnest([
+             'historical/hist_tournaments.csv', 'historical/hist_group_standings.csv', 'historical/hist_tournament_standings.csv',
+             'historical/hist_host_countries.csv']) FROM (SELECT DISTINCT tournament_id FROM {b_hist_matches})
+         UNION ALL SELECT DISTINCT 2026, 'relational/matches/' || substr(date, 1, 7) || '.csv' FROM {b_rel_matches}
+         UNION ALL SELECT 2026, unnest([
+             'relational/teams.csv', 'relational/venues.csv', 'relational/tournament_stages.csv', 'relational/referees.csv',
+             'relational/match_team_stats.csv', 'analysis/matches.csv', 'analysis/match_teams.csv',
+             'analysis/team_defensive_pressure.csv', 'analysis/team_aerial_control.csv'])) USING (edition)""",
+)
+def provenance_dominance(t: Inputs) -> DataFrame:
+    """The source files behind each score; scores are scaled within an edition, so all of its files stand behind each."""
+    table, sources = traced(t, "gold", "fact_team_dominance")
+    rows = sources.listed(table).select("tournament_id", "team_id", "source")
+    return named(t, layers(t), rows)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
+from stargrain.operators.provenance import Sources, Traced
 from stargrain.plans import gold, silver
 from stargrain.sources.run import Key, Node, Read, ReadingLayers, Run
 from stargrain.sources.tables import Layers
@@ -58,3 +60,33 @@ def run_of(t: Inputs, fn: Callable[[Inputs], DataFrame]) -> Run:
 
 def shared(fn: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
     return lambda t: run_of(t, fn).result(fn)
+
+
+def source_file(source: str, table: str) -> str | Column:
+    """The file a landed row is taken to come from: matches by month or edition, other tables as a whole."""
+    if (source, table) == ("relational", "matches"):
+        return F.concat(F.lit("relational/matches/"), F.substring("date", 1, 7), F.lit(".csv"))
+    if (source, table) == ("historical", "hist_matches"):
+        return F.concat(F.lit("historical/hist_matches/"), F.col("tournament_id"), F.lit(".csv"))
+    return f"{source}/{table}.csv"
+
+
+def traced(t: Inputs, layer: str, table: str) -> tuple[DataFrame, Sources]:
+    """A table of the layers with the sources of its rows (hidden columns), and the dictionary that reads them."""
+    files = {key: source_file(*key) for key in LANDED}
+    sources = Sources.named_in(
+        t.spark, [t.table(LANDED[key]).select(f) for key, f in files.items() if isinstance(f, Column)],
+        [f for f in files.values() if isinstance(f, str)],
+    )
+    plain = layers(t)
+
+    def build(key: Key, read: Read) -> DataFrame:
+        if key in BASE:
+            return t.table(key)
+        if key in SQL:
+            return Shared(t, read).derived(key)
+        if key[0] == "bronze":
+            return sources.trace(read(LANDED[key[1:]]), files[key[1:]]).df
+        return plain.plans[key[0]][key[1]](ReadingLayers(plain, lambda other: Traced(read(other), sources.bits))).df
+
+    return Run(t.spark, build).result((layer, table)), sources
