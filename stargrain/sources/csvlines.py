@@ -19,7 +19,8 @@ def csv_fields(line: Column) -> Column:
     A field whose quotes don't span it is taken as it stands.
     """
     # Every field gets a comma in front, so no match is empty.
-    raw = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_FIELD), F.lit(1))
+    quoted = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_FIELD), F.lit(1))
+    raw = F.when(line.contains('"'), quoted).otherwise(F.split(line, ",", -1))
 
     def value(field: Column) -> Column:
         quoted = field.startswith('"') & field.endswith('"') & (F.length(field) > 1)

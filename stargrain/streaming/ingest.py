@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,11 +14,10 @@ from pyspark.sql import types as T
 
 from stargrain.sources.csvlines import csv_fields, header_names, row_map
 from stargrain.sources.typed import RESCUED, rescue
+from stargrain.streaming import profiles
 
 # Files per micro-batch.
 FILES_PER_BATCH = 10_000
-# Types that values are tried against, from the narrowest on.
-INFERRED = ("int", "bigint", "double", "date", "timestamp_ntz", "boolean")
 
 
 def with_lineage(df: DataFrame) -> DataFrame:
@@ -37,38 +37,47 @@ def _read_schema(spark: SparkSession, location: str) -> T.StructType | None:
     return T.StructType.fromJson(json.loads(rows[0].value)) if rows else None
 
 
-def infer_csv_schema(lines: DataFrame) -> T.StructType:
-    """Schema of CSV lines by column name, over all files, whatever the order of their columns.
+def profile_csv(spark: SparkSession, folder: str, location: str) -> DataFrame | None:
+    """Profile the files that are new in ``folder`` and return the profiles of all files; None without files.
 
-    A column gets the narrowest type that all of its values fit. Columns stand in
-    the order of the first file (by path) that has them.
+    Profiles are kept below ``location`` per batch, and a batch that is repeated replaces its own.
     """
-    cells = _by_header(lines).select("_source_file", F.posexplode(F.map_entries("_fields")).alias("_i", "_cell"))
-    cells = cells.select("_source_file", "_i", "_cell.key", "_cell.value").where(~F.col("key").rlike(r"^_extra\d+$"))
-    fits = [F.bool_and(F.col("value").isNull() | F.col("value").try_cast(t).isNotNull()).alias(f"_{t}") for t in INFERRED]
-    found = cells.groupBy("key").agg(
-        F.min("_source_file").alias("file"), F.min_by("_i", "_source_file").alias("i"), F.count("value").alias("n"), *fits
-    )
-    fields = []
-    for row in found.orderBy("file", "i").collect():
-        kind = next((t for t in INFERRED if row.n and row[f"_{t}"]), "string")
-        fields.append(f"`{row.key.replace('`', '``')}` {kind}")
-    return T.StructType.fromDDL(", ".join(fields)) if fields else T.StructType()
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        profiles.file_profiles(_by_header(batch)).write.mode("overwrite").parquet(f"{location}/files/batch_id={batch_id}")
+
+    _run_csv(spark, folder, f"{location}/checkpoint", write)
+    return profiles.read_profiles(spark, location)
+
+
+def schema_drift(spark: SparkSession, folder: str, location: str) -> DataFrame:
+    """Columns of a CSV feed that do not fit its stored schema any more; reads the files that are new only."""
+    schema = _read_schema(spark, location) or T.StructType()
+    found = profile_csv(spark, folder, _profiles_at(location))
+    if found is None:
+        return spark.createDataFrame([], "name string, stored_type string, first_file string, found_type string")
+    return profiles.drift(found, schema)
+
+
+def _profiles_at(location: str) -> str:
+    return f"{location}-profiles"
 
 
 def stored_schema(spark: SparkSession, folder: str, fmt: str, location: str) -> T.StructType:
     """Schema of a feed: inferred once from all its files, then read from ``location``.
 
-    Later files cannot change it, which keeps the target table stable. A folder
-    without files has no columns yet, and nothing is kept for it.
+    Later files cannot change it, which keeps the target table stable; ``schema_drift``
+    tells which of them do not fit. A CSV column gets the narrowest type that all of its
+    values fit, and columns stand in the order of the first file (by path) that has them.
+    A folder without files has no columns yet, and nothing is kept for it.
     """
     schema = _read_schema(spark, location)
     if schema is not None:
         return schema
     try:
         if fmt == "csv":
-            lines = spark.read.option("recursiveFileLookup", True).text(folder).select("value", "_metadata")
-            schema = infer_csv_schema(lines)
+            found = profile_csv(spark, folder, _profiles_at(location))
+            schema = profiles.schema_of(found) if found is not None else T.StructType()
         else:
             reader = spark.read.format(fmt).option("recursiveFileLookup", True)
             schema = (reader.option("mergeSchema", True) if fmt in ("parquet", "orc") else reader).load(folder).schema
@@ -150,15 +159,15 @@ def _mark_headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     """Mark the first line of each file: the first one of the file's first block."""
     last = None
     for batch in batches:
+        if not batch.num_rows:
+            continue
         names = batch.schema.names
-        files = batch.column(names.index("_source_file")).to_pylist()
-        starts = batch.column(names.index("_start")).to_pylist()
-        marks = []
-        for file, start in zip(files, starts):
-            marks.append(start == 0 and file != last)
-            last = file
-        columns = [batch.column(names.index(n)) for n in ("value", "_source_file")]
-        yield pa.RecordBatch.from_arrays([*columns, pa.array(marks, pa.bool_())], ["value", "_source_file", "_is_header"])
+        files = batch.column(names.index("_source_file"))
+        before = pa.concat_arrays([pa.array([last], files.type), files.slice(0, len(files) - 1)])
+        changed = pc.fill_null(pc.not_equal(files, before), True)
+        marks = pc.and_(changed, pc.equal(batch.column(names.index("_start")), 0))
+        last = files[-1].as_py()
+        yield pa.RecordBatch.from_arrays([batch.column(names.index("value")), files, marks], ["value", "_source_file", "_is_header"])
 
 
 def _by_header(batch: DataFrame) -> DataFrame:
@@ -203,6 +212,11 @@ def ingest_csv(
     def write(batch: DataFrame, batch_id: int) -> None:
         _csv_rows(batch, schema).write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
+    _run_csv(spark, folder, checkpoint, write)
+
+
+def _run_csv(spark: SparkSession, folder: str, checkpoint: str, write: Callable[[DataFrame, int], None]) -> None:
+    """Hand the lines (value, _metadata) of all files that are new for this checkpoint to ``write``."""
     query = (
         spark.readStream.format("text")
         .option("maxFilesPerTrigger", FILES_PER_BATCH)

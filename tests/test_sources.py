@@ -2,13 +2,14 @@ import pytest
 from conftest import rows_of
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stargrain.sources import blobs as B
 from stargrain.sources import registry
 from stargrain.sources.csvlines import csv_fields
 from stargrain.sources.tables import Layers, TableResolver, documented
-from stargrain.sources.typed import RESCUED, pick, rejects, rescue
-from stargrain.streaming import ingest_csv, ingest_feeds, ingest_files, stored_schema
+from stargrain.sources.typed import RESCUED, parsed, pick, rejects, rescue
+from stargrain.streaming import ingest_csv, ingest_feeds, ingest_files, profile_csv, profiles, schema_drift, stored_schema
 
 SCHEMA = "repository_id bigint, path string, type string, is_deleted boolean, version int, content string"
 
@@ -236,3 +237,49 @@ def test_schema_of_an_empty_folder_and_after_a_broken_run(spark, tmp_path):
     (tmp_path / "state").mkdir(exist_ok=True)  # what a run leaves that dies before it writes
     write(tmp_path / "in", "1.csv", "id\n1\n")
     assert stored_schema(spark, str(tmp_path / "in"), "csv", str(tmp_path / "state")).simpleString() == "struct<id:int>"
+
+
+ODD_TEXTS = [
+    None, "", " ", "1", " 7 ", "\t-8\n", "+5", "-", "+", "1.0", "1.", ".5", ".", "1e5", "1E-3", "1d", "2.5F", "0x1p3", "0x", "nan", "NaN", "-nan", "inf", "+Infinity",
+    "-INF", "infinit", "99999999999", "-2147483648", "9223372036854775808", "1 2", "1_0", "\u0661", "true", " TRUE ", "t", "Y", "yes", "no", "0", "F", "false ", "tru",
+    "1995-01-01", "2024-02-30", "x" * 50, "1\x7f", "\x001", "1\u00a0", "--1", "1e", "e5", "1.2.3", "1e400", "-0", "0.0", "1L",
+]
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint", "double", "float", "boolean", "date", "timestamp_ntz", "string"])
+def test_parsed_equals_a_plain_cast(frame, kind):
+    df = frame("s string", *[(s,) for s in ODD_TEXTS])
+    got = df.select("s", parsed(F.col("s"), kind).cast("string").alias("a"), F.col("s").try_cast(kind).cast("string").alias("b")).collect()
+    assert [(r.s, r.a) for r in got] == [(r.s, r.b) for r in got]
+
+
+def test_profiles_add_up_over_files_and_runs(spark, tmp_path):
+    landing, kept = tmp_path / "in", str(tmp_path / "profiles")
+    landing.mkdir()
+    assert profile_csv(spark, str(landing), kept) is None
+    (landing / "a.csv").write_text("id,v,\n1,2,x\n2,,y\n")
+    (landing / "c.csv").write_text("w,id\n2024-01-01,3\n")
+    types = lambda df: {r.name: (r.type, r.n) for r in profiles.column_types(df).collect()}
+    assert types(profile_csv(spark, str(landing), kept)) == {"id": ("int", 3), "v": ("int", 1), "w": ("date", 1)}
+    # A file that is known is not read again, whatever has become of it.
+    (landing / "a.csv").unlink()
+    (landing / "b.csv").write_text("v,id\n1.5,\nx,9\n")
+    found = profile_csv(spark, str(landing), kept)
+    assert types(found) == {"id": ("int", 4), "v": ("string", 3), "w": ("date", 1)}
+    assert sorted({r.file.rsplit("/", 1)[1] for r in found.collect()}) == ["a.csv", "b.csv", "c.csv"]
+    assert profiles.schema_of(found).simpleString() == "struct<id:int,v:string,w:date>"
+    assert {
+        (r.name, r.stored_type, r.found_type, r.first_file.rsplit("/", 1)[1])
+        for r in profiles.drift(found, T.StructType.fromDDL("id int, v int")).collect()
+    } == {("v", "int", "string", "b.csv"), ("w", None, "date", "c.csv")}
+
+
+def test_drift_of_a_feed(spark, tmp_path):
+    landing, state = tmp_path / "in", str(tmp_path / "state")
+    landing.mkdir()
+    (landing / "a.csv").write_text("id\n1\n")
+    assert stored_schema(spark, str(landing), "csv", state).simpleString() == "struct<id:int>"
+    assert schema_drift(spark, str(landing), state).collect() == []
+    (landing / "b.csv").write_text("id\nx\n")
+    assert [(r.name, r.stored_type, r.found_type) for r in schema_drift(spark, str(landing), state).collect()] == [("id", "int", "string")]
+    assert stored_schema(spark, str(landing), "csv", state).simpleString() == "struct<id:int>"

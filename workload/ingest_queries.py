@@ -9,7 +9,7 @@ from stargrain.plans import questions
 from stargrain.session import scratch_path
 from stargrain.sources.blobs import live_blobs, newest_blobs, parse_csv_blobs
 from stargrain.sources.typed import RESCUED, pick, rejects
-from stargrain.streaming import ingest_csv, ingest_files, stored_schema
+from stargrain.streaming import ingest_csv, ingest_files, profile_csv, profiles, schema_drift, stored_schema
 from workload.fixtures import Inputs
 from workload.registry import CTES, query
 
@@ -214,3 +214,42 @@ def stream_rescue(t: Inputs) -> DataFrame:
     ingest_csv(t.spark, landing, schema, target, checkpoint)
     ingest_csv(t.spark, landing, schema, target, checkpoint)
     return t.spark.read.parquet(target).select(*names, RESCUED)
+
+
+@query(
+    "stream_profiles",
+    """SELECT 'orderkey' AS name, count(*) AS n, count(*) AS n_int, count(*) AS n_double, count(*) FILTER (WHERE o_orderkey >= 1000) AS n_date,
+              count(*) FILTER (WHERE o_orderkey IN (0, 1)) AS n_boolean FROM {orders}
+       UNION ALL SELECT 'price', count(*), 0, count(*) FILTER (WHERE o_orderstatus <> 'F'), 0, 0 FROM {orders}
+       UNION ALL SELECT 'day', count(*), 0, 0, count(*) FILTER (WHERE o_orderpriority <> '5-LOW'), 0 FROM {orders}
+       UNION ALL SELECT 'urgent', count(*), 0, 0, 0, count(*) FROM {orders} WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')
+       UNION ALL SELECT 'status', count(*), 0, 0, 0, count(*) FILTER (WHERE o_orderstatus = 'F') FROM {orders}""",
+)
+def stream_profiles(t: Inputs) -> DataFrame:
+    """How many values of each landed column fit a type, from profiles kept per file over two deliveries.
+
+    Four digits and more are a date too: the first day of that year.
+    """
+    base = scratch_path(t.spark, "stream_profiles")
+    for early in (True, False):
+        rows = order_text(t).where((F.col("status") == "F") == early)
+        rows.write.mode("append").option("header", True).csv(f"{base}/landing")
+        found = profile_csv(t.spark, f"{base}/landing", f"{base}/profiles")
+    at = {kind: F.sum(F.get("fits", F.lit(profiles.INFERRED.index(kind)))).alias(f"n_{kind}") for kind in ("int", "double", "date", "boolean")}
+    return found.groupBy("name").agg(F.sum("n").alias("n"), *at.values())
+
+
+@query(
+    "stream_schema_drift",
+    """SELECT 'price' AS name, 'double' AS stored_type, 'string' AS found_type FROM (SELECT count(*) AS n FROM {orders} WHERE o_orderstatus = 'F') WHERE n > 0
+       UNION ALL SELECT 'late', NULL, 'int' FROM (SELECT count(*) AS n FROM {orders} WHERE o_orderstatus = 'F') WHERE n > 0""",
+)
+def stream_schema_drift(t: Inputs) -> DataFrame:
+    """A later delivery has a new column, and texts in a column of numbers: the kept schema stays, and the report tells."""
+    base = scratch_path(t.spark, "stream_schema_drift")
+    landing, schema = f"{base}/landing", f"{base}/schema"
+    rows = order_text(t).select("orderkey", "price", "status")
+    rows.where("status <> 'F'").write.mode("append").option("header", True).csv(landing)
+    stored_schema(t.spark, landing, "csv", schema)
+    rows.where("status = 'F'").withColumn("late", F.lit(7)).write.mode("append").option("header", True).csv(landing)
+    return schema_drift(t.spark, landing, schema).select("name", "stored_type", "found_type")
