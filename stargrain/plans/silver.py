@@ -18,6 +18,7 @@ from stargrain.functions import (
     winner,
 )
 from stargrain.functions.keys import nullable_key
+from stargrain.operators.asof import nearest_within
 from stargrain.operators.joins import lookup, outer_merge, stack_sources
 from stargrain.operators.ordered import number_copies
 from stargrain.operators.resolve import resolve_best
@@ -618,7 +619,7 @@ def prediction(L: Layers) -> DataFrame:
     """Pre-match probabilities, joined to matches by team code and date.
 
     Kick-off is in UTC while match dates may be local, so the nearest match of
-    the two teams within one day is taken, by three lookups on equal keys.
+    the two teams within one day is taken: that of the same day, else of the day before, else of the day after.
     """
     rows = pick(
         L.bronze("predictions", "pre_match_prediction"),
@@ -631,15 +632,12 @@ def prediction(L: Layers) -> DataFrame:
     codes = codes.groupBy(F.upper(F.trim("code")).alias("code")).agg(F.min("name").alias("name"))
     rows = lookup(rows, codes, {"home_code": "code"}, {"home": "name"})
     rows = lookup(rows, codes, {"away_code": "code"}, {"away": "name"})
-    known = L.silver("match").select("match_id").distinct()
-    hits = []
-    for shift in (0, -1, 1):
-        hits.append(f"_hit{shift}")
-        rows = rows.withColumn("_key", match_key("home", "away", F.date_add("day", shift)))
-        rows = lookup(rows, known, {"_key": "match_id"}, {hits[-1]: "match_id"})
+    rows = rows.withColumns({"home_team_id": surrogate_key("home"), "away_team_id": surrogate_key("away")})
+    known = L.silver("match").select("match_id", "home_team_id", "away_team_id", "match_date")
+    teams = {c: c for c in ("home_team_id", "away_team_id")}
+    rows = nearest_within(rows, known, teams, ("day", "match_date"), 1, {"_match": "match_id"})
     return rows.select(
-        F.coalesce(*hits, match_key("home", "away", "day")).alias("match_id"),
-        surrogate_key("home").alias("home_team_id"), surrogate_key("away").alias("away_team_id"),
+        F.coalesce("_match", match_key("home", "away", "day")).alias("match_id"), "home_team_id", "away_team_id",
         "home_win_probability", "draw_probability", "away_win_probability",
     )
 
