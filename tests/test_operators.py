@@ -291,3 +291,16 @@ def test_cosine_topk_in_blocks_and_without_queries(spark, monkeypatch):
     monkeypatch.setattr(vectors, "BLOCK_QUERIES", 7)
     assert rows_of(vectors.cosine_topk(df, df, "vec_id", "e", 2)) == want
     assert rows_of(vectors.cosine_topk(df, df.where("vec_id < 0"), "vec_id", "e", 2)) == []
+
+
+def test_cosine_topk_of_odd_vectors(frame):
+    nan, inf = float("nan"), float("inf")
+    df = frame(
+        "vec_id bigint, e array<double>", (1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 0.0]), (4, [1.0, 0.0, 0.0]), (5, None), (6, []),
+        (7, [1.0, None]), (8, [nan, 1.0]), (9, [inf, 1.0]), (None, [1.0, 0.0]), (10, [0.0, 1.0]), (2, [2.0, 0.0]), (11, [1.0, 1.0, 0.0]),
+    )
+    got = rows_of(vectors.cosine_topk(df, df, "vec_id", "e", 2).select("query_id", "vec_id", "similarity", "rank"))
+    assert [r for r in got if r[0] == 1] == [(1, 2, 1.0, 1), (1, 2, 1.0, 2)]
+    assert [r for r in got if r[0] == 4] == [(4, 11, 0.707107, 1)] and [r for r in got if r[0] == 3] == [(3, 1, 0.0, 1), (3, 2, 0.0, 2)]
+    assert {r[0] for r in got} == {1, 2, 3, 4, 10, 11}
+    assert rows_of(vectors.cosine_topk(df.where("false"), df, "vec_id", "e", 2)) == []
