@@ -25,7 +25,8 @@ on the full sets, and groups are the connected components of links.
 
 Edge cases. Null or empty text, or no words: empty set, linked with nothing.
 Null id: compared with nothing, component null, kept. Rows with the same id are
-one node: linked with what any of them is linked with; each row is returned.
+one node: linked with what any of them is linked with; each row is returned
+(``deduplicated`` tells the texts of one id, and those without an id, apart).
 Empty table: no rows. Other columns are not read.
 """
 
@@ -40,6 +41,7 @@ from pyspark.sql import functions as F
 
 from stargrain.llm import words
 from stargrain.llm.components import components
+from stargrain.llm.mixing import numbered
 from stargrain.llm.scratch import written
 from stargrain.session import stored
 
@@ -312,16 +314,50 @@ def near_duplicates(
     )
 
 
+def _nodes(rows: DataFrame) -> DataFrame | None:
+    """(id, hash, hash2, node) for the texts that an id does not tell apart: of ids with several texts, and without an id.
+
+    Nodes are negative numbers below all ids. None if every id has one text.
+    """
+    per_id = rows.groupBy("id").agg(F.min("hash").alias("lo"), F.max("hash").alias("hi"), F.min("hash2").alias("lo2"), F.max("hash2").alias("hi2"))
+    several = stored(per_id.where("id IS NULL OR lo <> hi OR lo2 <> hi2").select(F.col("id").alias("its_id")), "shared-ids")
+    if several.isEmpty():
+        return None
+    texts = rows.select("id", "hash", "hash2").join(several, F.col("id").eqNullSafe(F.col("its_id")), "left_semi").distinct()
+    texts = stored(texts, "shared-id-texts")
+    below = min(0, rows.agg(F.min("id")).first()[0] or 0)
+    placed = numbered(texts, texts.count(), F.col("id"), F.col("hash"), F.col("hash2"))
+    return stored(placed.withColumn("node", F.lit(below - 1) - F.col("number")).drop("number"), "nodes")
+
+
 def deduplicated(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, threshold: int = THRESHOLD
 ) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest id, all columns unchanged.
+    """One document of each group of near duplicates, all columns unchanged.
 
-    Of rows with that id one stays, the one whose text has the smallest hash. Rows without an id stay.
+    A document is an id with a text, so two texts under one id are two documents, and so are
+    texts without an id. The one with the smallest id stays (null last; of one id's texts the
+    one with the smallest hash), and of rows equal in id and text one.
     """
-    found = near_duplicates(docs, id_col, text_col, size, threshold)
-    kept = found.where(F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id")).distinct()
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text_col).alias("hash"), F.struct(*docs.columns).alias("doc"))
-    one = F.row_number().over(Window.partitionBy("id").orderBy("hash"))
-    chosen = rows.join(stored(kept, "kept"), "id").withColumn("one", one).where("one = 1")
-    return chosen.select("doc.*").unionByName(rows.where("id IS NULL").select("doc.*"))
+    # A second hash tells texts apart that the first one does not.
+    key = [F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text_col).alias("hash"), F.hash(text_col, F.lit(1)).alias("hash2")]
+    rows = docs.select(*key, F.struct(*docs.columns).alias("doc"))
+    nodes = _nodes(docs.select(*key))
+    own = F.col("id")
+    if nodes is not None:
+        same = [F.col(c).eqNullSafe(F.col(f"its_{c}")) for c in ("id", "hash", "hash2")]
+        its = nodes.select(*[F.col(c).alias(f"its_{c}") for c in ("id", "hash", "hash2")], "node")
+        rows = rows.join(its, same[0] & same[1] & same[2], "left").drop("its_id", "its_hash", "its_hash2")
+        own = F.coalesce("node", "id")
+    rows = rows.withColumn("node", own)
+    found = near_duplicates(rows.select("node", F.col(f"doc.`{text_col}`").alias("text")), "node", "text", size, threshold)
+    if nodes is None:
+        kept = found.where("kept").select("node").distinct()
+    else:  # the smallest node of a group need not have the smallest id
+        real = found.select("node", "component_id").distinct().join(nodes, "node", "left")
+        real = real.withColumn("id", F.coalesce("id", F.when(F.col("hash").isNull(), F.col("node"))))
+        best = F.min(F.struct(F.col("id").isNull(), "id", "hash", "hash2", "node"))
+        kept = real.groupBy("component_id").agg(best.alias("best")).select("best.node")
+    one = F.row_number().over(Window.partitionBy("node").orderBy("hash"))
+    chosen = rows.join(stored(kept, "kept"), "node").withColumn("one", one).where("one = 1")
+    return chosen.select("doc.*")

@@ -104,10 +104,21 @@ def test_near_duplicates(odd, none):
     assert near_dedup.near_duplicates(none).collect() == []
     kept = near_dedup.deduplicated(odd)
     assert kept.columns == odd.columns
-    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 8, 10]
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [1, 2, 3, 4, 5, 8, 10]
     assert near_dedup.deduplicated(none).collect() == []
 
 
+def test_texts_of_one_id_are_documents_of_their_own(spark):
+    a, b, c = "a text of some eight different words here", "quite another text that has nothing in common", "a third one without any id at all to it"
+    rows = [(5, a), (5, b), (3, a), (9, b), (None, a), (None, a), (None, c), (None, c), (-7, c + " more or less"), (12, None), (12, ""), (None, None)]
+    df = spark.createDataFrame([row(*r) for r in rows], SCHEMA).repartition(3)
+    kept = near_dedup.deduplicated(df)
+    assert kept.columns == df.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    # Texts without words are near duplicates of nothing.
+    assert got == sorted([(3, a), (5, b), (None, c), (-7, c + " more or less"), (12, None), (12, ""), (None, None)], key=repr)
+
+
 def test_decontamination(spark, odd, none, benchmark):
     rows = decontaminate.contaminated(odd, benchmark).collect()
     assert sorted(((r.doc_id or 0, r.item_id or 0) for r in rows)) == [(0, 1), (4, 0), (5, 1), (6, 1), (6, 1)]
