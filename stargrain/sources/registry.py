@@ -136,13 +136,14 @@ def empty_table(spark: SparkSession, source: str, table: str) -> DataFrame:
 
 
 def blob_tables(
-    spark: SparkSession, blobs: DataFrame, repositories: dict[str, int], source: str, version: str
+    spark: SparkSession, blobs: DataFrame, repositories: dict[str, int], source: str, version: str, rescued: bool = True
 ) -> dict[str, DataFrame]:
     """All tables of one source, read from a blob table.
 
     ``repositories`` maps source names to repository ids. An unknown source is
     an error, since table names repeat between sources. Columns follow each
-    file's header; a file that has not arrived gives an empty table.
+    file's header; a file that has not arrived gives an empty table. Cells of repeated or
+    unusable header names, and cells beyond the header, are kept in ``_rescued_data``.
     """
     if source not in SOURCES:
         raise ValueError(f"unknown source {source!r}, expected one of {sorted(SOURCES)}")
@@ -157,7 +158,7 @@ def blob_tables(
             # The path is filtered first, so a table reads no file but its own.
             one_file = newest_blobs(own.where(F.col("path") == path), version)
             ddl = ", ".join("`{}` STRING".format(n.replace("`", "``")) for n in headers[path])
-            result[table] = parse_csv_blobs(one_file, ddl)
+            result[table] = parse_csv_blobs(one_file, ddl, rescued=rescued)
         else:
             result[table] = empty_table(spark, source, table)
     return result

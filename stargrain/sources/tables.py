@@ -1,10 +1,19 @@
-"""Tables by layer and name: where they are read from and written to."""
+"""Tables by layer and name: where they are read from and written to.
+
+A path store keeps a table in two slots, ``data0`` and ``data1``, with a manifest
+beside each that names the version, the comment and the quality tag. A write goes
+to the slot that is not current, its manifest last; readers take the slot of the
+highest manifest. So a write that breaks off changes nothing, and a plan that
+reads a table may be written to it.
+"""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,10 +33,35 @@ class TableResolver:
         parts = [p for p in (self.catalog, f"{self.prefix}{layer}", table) if p]
         return ".".join(f"`{p}`" for p in parts)
 
+    def _folder(self, layer: str, table: str) -> str:
+        return f"{self.root}/{self.prefix}{layer}/{table}"
+
+    def _manifest(self, layer: str, table: str) -> dict[str, str]:
+        """What the current manifest of a path store says; {} if there is none yet."""
+        found: list[dict[str, str]] = []
+        for slot in (0, 1):
+            try:
+                rows = self.spark.read.text(f"{self._folder(layer, table)}/manifest{slot}").collect()  # one line
+            except AnalysisException as error:
+                if error.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                continue
+            found += [json.loads(r.value) for r in rows]
+        return max(found, key=lambda m: int(m["version"]), default={})
+
     def read(self, layer: str, table: str) -> DataFrame:
+        if not self.root:
+            return self.spark.table(self.name(layer, table))
+        version = int(self._manifest(layer, table).get("version", 0))
+        return self.spark.read.parquet(f"{self._folder(layer, table)}/data{version % 2}")
+
+    def described(self, layer: str, table: str) -> dict[str, str]:
+        """Comment and quality tag of a table, from its manifest or its properties."""
         if self.root:
-            return self.spark.read.parquet(f"{self.root}/{self.prefix}{layer}/{table}")
-        return self.spark.table(self.name(layer, table))
+            known = self._manifest(layer, table)
+        else:
+            known = {r.key: r.value for r in self.spark.sql(f"SHOW TBLPROPERTIES {self.name(layer, table)}").collect()}
+        return {key: known.get(key, "") for key in ("comment", "quality")}
 
     def write(
         self,
@@ -38,7 +72,7 @@ class TableResolver:
         partition_by: tuple[str, ...] = (),
         buckets: tuple[int, str] | None = None,
     ) -> None:
-        """Overwrite one table; column comments stay in the schema metadata.
+        """Replace one table; column comments stay in the schema metadata.
 
         ``buckets`` (number, key) lays a catalog table out by a join key, so
         that joins between tables of the same layout need no shuffle.
@@ -47,7 +81,11 @@ class TableResolver:
         if self.root:
             if buckets:
                 raise ValueError("buckets need a catalog table")
-            writer.parquet(f"{self.root}/{self.prefix}{layer}/{table}")
+            version = int(self._manifest(layer, table).get("version", 0)) + 1
+            writer.parquet(f"{self._folder(layer, table)}/data{version % 2}")
+            line = json.dumps({"version": str(version), "comment": comment, "quality": layer})
+            manifest = self.spark.createDataFrame([(line,)], "value string").coalesce(1)
+            manifest.write.mode("overwrite").text(f"{self._folder(layer, table)}/manifest{version % 2}")
             return
         if buckets:
             writer = writer.bucketBy(buckets[0], buckets[1]).sortBy(buckets[1])

@@ -283,3 +283,23 @@ def test_drift_of_a_feed(spark, tmp_path):
     (landing / "b.csv").write_text("id\nx\n")
     assert [(r.name, r.stored_type, r.found_type) for r in schema_drift(spark, str(landing), state).collect()] == [("id", "int", "string")]
     assert stored_schema(spark, str(landing), "csv", state).simpleString() == "struct<id:int>"
+
+
+def test_a_path_store_keeps_comment_and_tag_and_survives_a_broken_write(spark, frame, tmp_path):
+    store = TableResolver(spark, root=str(tmp_path))
+    store.write(frame("a int", (1,)), "gold", "t", "It's \"one\".")
+    store.write(store.read("gold", "t").unionAll(frame("a int", (2,))), "gold", "t", "two")
+    assert rows_of(store.read("gold", "t")) == [(1,), (2,)]
+    assert store.described("gold", "t") == {"comment": "two", "quality": "gold"}
+    bad = frame("a int", (3,)).select(F.raise_error(F.lit("stop")).cast("int").alias("a"))
+    with pytest.raises(Exception, match="stop"):
+        store.write(bad, "gold", "t", "three")
+    assert rows_of(store.read("gold", "t")) == [(1,), (2,)] and store.described("gold", "t")["comment"] == "two"
+    store.write(frame("a int", (4,)), "gold", "t")
+    assert rows_of(store.read("gold", "t")) == [(4,)] and store.described("gold", "t")["comment"] == ""
+
+
+def test_registered_tables_lose_no_cell(spark):
+    df = spark.createDataFrame([(1, "teams.csv", "blob", None, 1, "team_id,team_name,team_id\n1,x,2,more\n3,y,,")], SCHEMA)
+    teams = registry.blob_tables(spark, df, {"relational": 1}, "relational", "version")["teams"]
+    assert rows_of(teams.select("team_id", "team_name", RESCUED)) == [("1", "x", '{"_extra2":"2","_extra3":"more"}'), ("3", "y", None)]

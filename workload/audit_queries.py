@@ -10,6 +10,7 @@ from stargrain.plans import gold, questions
 from stargrain.session import scratch_path
 from stargrain.sources import registry
 from stargrain.sources.blobs import parse_csv_blobs
+from stargrain.sources.tables import TableResolver
 from stargrain.sources.typed import RESCUED
 from stargrain.streaming import ingest_csv, ingest_files, stored_schema
 from workload.core_queries import RELATIONS, triple_rows
@@ -321,3 +322,57 @@ def provenance_dominance(t: Inputs) -> DataFrame:
     table, sources = traced(t, "gold", "fact_team_dominance")
     rows = sources.listed(table).select("tournament_id", "team_id", "source")
     return named(t, layers(t), rows)
+
+
+@query(
+    "blob_nothing_lost",
+    """SELECT 'C' || CAST(c_custkey AS VARCHAR) AS team_id, c_name AS team_name,
+              '{"_extra2":"' || CAST(c_nationkey AS VARCHAR) || '"' ||
+              CASE WHEN c_custkey % 3 = 0 THEN ',"_extra3":"' || c_mktsegment || '"}' ELSE '}' END AS _rescued_data FROM {customer}""",
+)
+def blob_nothing_lost(t: Inputs) -> DataFrame:
+    """A registered table whose file repeats a header name and has surplus cells in some rows."""
+    line = F.concat_ws(
+        ",", F.concat(F.lit("C"), F.col("c_custkey").cast("string")), "c_name", F.col("c_nationkey").cast("string"),
+        F.when(F.col("c_custkey") % 3 == 0, F.col("c_mktsegment")),
+    )
+    # Files of bounded size, each in a repository of its own.
+    lines = t.customer.select(line.alias("line"), F.col("c_custkey"))
+    path = registry.file_path("relational", "teams")
+    blobs = lines.groupBy((F.floor(F.col("c_custkey") / 500)).alias("repository_id")).agg(
+        F.concat_ws("\n", F.lit("team_id,team_name,team_id"), F.collect_list("line")).alias("content")
+    )
+    blobs = blobs.select(
+        F.col("repository_id").cast("bigint"), F.lit(path).alias("path"), F.lit("blob").alias("type"),
+        F.lit(None).cast("boolean").alias("is_deleted"), F.lit(1).alias("version"), "content",
+    )
+    parsed = parse_csv_blobs(blobs, rescued=True)
+    return parsed.select("team_id", "team_name", RESCUED)
+
+
+@query(
+    "stored_tables",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, 'Star table {name}.' AS comment, 'gold' AS quality, count(*) AS n_rows,"
+        f" CAST(0 AS BIGINT) AS n_undocumented, CAST(2 AS BIGINT) AS n_written FROM ({GOLD_SQL[name]})"
+        for name in ("dim_tournament", "dim_team", "dim_player", "fact_team_tournament")
+    ),
+)
+def stored_tables(t: Inputs) -> DataFrame:
+    """Tables written twice to a path store and read back with comment, quality tag and column comments."""
+    names = ["dim_tournament", "dim_team", "dim_player", "fact_team_tournament"]
+    store = TableResolver(t.spark, root=scratch_path(t.spark, "store"))
+    plain = layers(t)
+    for name in names:
+        store.write(plain.gold(name), "gold", name, "first")
+        store.write(store.read("gold", name), "gold", name, f"Star table {name}.")  # a table may be written from itself
+    reports = []
+    for name in names:
+        table, said = store.read("gold", name), store.described("gold", name)
+        reports.append(
+            table.agg(F.count(F.lit(1)).alias("n_rows")).select(
+                F.lit(name).alias("table_name"), F.lit(said["comment"]).alias("comment"), F.lit(said["quality"]).alias("quality"), "n_rows",
+                F.lit(len(checks.undocumented(table))).cast("bigint").alias("n_undocumented"), F.lit(2).cast("bigint").alias("n_written"),
+            )
+        )
+    return checks.stack_sources(*reports)
