@@ -25,7 +25,8 @@ _DIRECT: dict[str, Callable[[str], Column]] = {
     "max": F.max,
     "distinct": F.count_distinct,
 }
-# How partial results of an aggregate are combined; distinct counts cannot be.
+# How partial results of an aggregate are combined. Distinct counts have none: they
+# keep one row per value instead, see MetricView._preaggregate.
 _MERGE: dict[str, Callable[[str], Column]] = {
     "sum": F.sum,
     "count": F.sum,
@@ -34,6 +35,10 @@ _MERGE: dict[str, Callable[[str], Column]] = {
 }
 
 
+def _distinct(parts: list[Part]) -> list[str]:
+    return [f"_m_{kind}_{c}" for kind, c in parts if kind == "distinct"]
+
+
 @dataclass(frozen=True)
 class Measure:
     """An expression over aggregates of source columns."""
@@ -136,14 +141,16 @@ class MetricView:
         early = condition is not None and not needed
         if early:
             rows = rows.where(condition)
-        merge = bool(needed) and self._worth_preaggregating(needed, parts)
+        merge = bool(needed) and self._worth_preaggregating(needed)
         if merge:
             rows = self._preaggregate(rows, parts)
         rows = self._join(rows, places, needed)
         if condition is not None and not early:
             rows = rows.where(condition)
         keys = [F.col(f"_d_{d}").alias(d) for d in dimensions]
-        how = _MERGE if merge else _DIRECT
+        if merge and _distinct(parts):
+            rows = self._merge_values(rows, dimensions, parts)
+        how = _MERGE | {"distinct": lambda c: F.coalesce(F.sum(c), F.lit(0))} if merge else _DIRECT
         aggregates = {p: how[p[0]](f"_m_{p[0]}_{p[1]}").alias(f"{p[0]}({p[1]})") for p in parts}
         grouped = rows.groupBy(*keys)
         result = grouped.agg(*aggregates.values()) if aggregates else rows.select(*keys).distinct()
@@ -167,22 +174,46 @@ class MetricView:
         values = [F.col(c).alias(f"_m_{kind}_{c}") for kind, c in parts]
         return self.source.select(*own, *keys, *values)
 
-    def _worth_preaggregating(self, needed: list[str], parts: list[Part]) -> bool:
+    def _worth_preaggregating(self, needed: list[str]) -> bool:
         """A broadcast dimension joins in place; only a shuffled one is worth it."""
         joins = [self.joins[j] for j in needed]
-        return (
-            all(kind in _MERGE for kind, _ in parts)
-            and all(j.coarse for j in joins)
-            and not all(fits_broadcast(j.frame()) for j in joins)
-        )
+        return all(j.coarse for j in joins) and not all(fits_broadcast(j.frame()) for j in joins)
 
     def _preaggregate(self, rows: DataFrame, parts: list[Part]) -> DataFrame:
-        """Shrink the source to its join keys and own dimensions first."""
+        """Shrink the source to its join keys and own dimensions first.
+
+        For distinct counts, a row gives one entry with the other measures and one
+        per column to be counted, which bears only its value. Entries are grouped by
+        that value too, so a value stays once per key and still meets its dimension.
+        """
         values = {f"_m_{kind}_{c}": kind for kind, c in parts}
         keys = [c for c in rows.columns if c not in values]
         if not values:
             return rows.distinct()
-        return rows.groupBy(*keys).agg(*[_DIRECT[k](v).alias(v) for v, k in values.items()])
+        counted = _distinct(parts)
+        plain = {v: k for v, k in values.items() if k != "distinct"}
+        if counted:
+            kinds = {f.name: f.dataType for f in rows.schema.fields}
+
+            def entry(number: int, filled: list[str]) -> Column:
+                own = [(F.col(v) if v in filled else F.lit(None).cast(kinds[v])).alias(v) for v in values]
+                return F.struct(F.lit(number).alias("_entry"), *own)
+
+            entries = [entry(0, list(plain))] + [entry(i + 1, [v]) for i, v in enumerate(counted)]
+            rows = rows.select(*keys, F.inline(F.array(*entries)))
+            keys = [*keys, "_entry", *counted]
+            if not plain:
+                return rows.select(*keys).distinct()
+        return rows.groupBy(*keys).agg(*[_DIRECT[k](v).alias(v) for v, k in plain.items()])
+
+    def _merge_values(self, rows: DataFrame, dimensions: list[str], parts: list[Part]) -> DataFrame:
+        """One row per dimensions asked for and value; a value then counts as one."""
+        plain = {f"_m_{kind}_{c}": kind for kind, c in parts if kind != "distinct"}
+        counted = _distinct(parts)
+        keys = [*dict.fromkeys(f"_d_{d}" for d in dimensions), "_entry", *counted]
+        merged = [_MERGE[k](v).alias(v) for v, k in plain.items()]
+        once = rows.groupBy(*keys).agg(*merged) if merged else rows.select(*keys).distinct()
+        return once.withColumns({v: F.col(v).isNotNull().cast("bigint") for v in counted})
 
     def _join(self, rows: DataFrame, places, needed: list[str]) -> DataFrame:
         for name in needed:

@@ -108,12 +108,16 @@ def next_within(
     """``lead(value)`` per group in ``order`` (unique inside a bucket).
 
     The last row of a bucket takes the first value of the next bucket in use,
-    which is added behind it.
+    which is added behind it. Of several buckets, the first rows are linked by the
+    same operator one level up, so no window sees all buckets of a group.
     """
     rows, names = _bucketed(df, buckets)
-    first = F.min(F.struct(*order, value)).alias("_first")
-    following = F.lead(f"_first.{value}").over(W.partitionBy(*by).orderBy(*names))
-    heads = rows.groupBy(*by, *names).agg(first).select(*by, *names, following.alias(value))
+    heads = rows.groupBy(*by, *names).agg(F.min(F.struct(*order, F.col(value).alias("_value"))).alias("_first"))
+    if len(names) == 1:
+        linked = heads.withColumn("_next", F.lead("_first").over(W.partitionBy(*by).orderBy(*names)))
+    else:
+        linked = next_within(heads, by, [F.col(n) for n in names[:-1]], names[-1:], "_first", "_next")
+    heads = linked.select(*by, *names, F.col("_next._value").alias(value))
     inside = W.partitionBy(*by, *names).orderBy("_extra", *order)
     both = _with_extra(rows, heads, extra_last=True).withColumn(out, F.lead(value).over(inside))
     return both.where(F.col("_extra") == 0).select(*df.columns, out)
