@@ -91,8 +91,7 @@ def _op5(table):
 WITH RECURSIVE w AS (
     SELECT doc_id, regexp_extract_all(
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-        '[^ 	-
-]+') AS ws
+        '[^\x20\x09-\x0D]+') AS ws
     FROM documents),
 shingle AS (
     SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') AS s
