@@ -142,15 +142,19 @@ def number_copies(df: DataFrame, out: str = "occurrence") -> DataFrame:
 
     Identical rows are interchangeable, so they are counted (partial
     aggregation) and written out again with their numbers. Runs are cut into
-    chunks, and the chunks are spread over tasks.
+    chunks. The first chunk of a run is written out where it was counted, and only
+    those that follow, if any, are spread over tasks.
     """
     names = df.columns
     counted = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+    chunk = F.lit(COPIES_PER_TASK).cast("bigint")
     one = F.lit(1).cast("bigint")
-    chunks = counted.select(
-        *names, "_n", F.explode(F.sequence(one, F.col("_n"), F.lit(COPIES_PER_TASK).cast("bigint"))).alias("_from")
+    first = counted.select(*names, F.explode(F.sequence(one, F.least(F.col("_n"), chunk))).alias(out))
+    chunks = counted.where(F.col("_n") > chunk).select(
+        *names, "_n", F.explode(F.sequence(chunk + one, F.col("_n"), chunk)).alias("_from")
     )
     last = F.least(F.col("_n"), F.col("_from") + COPIES_PER_TASK - 1)
-    return chunks.repartition(*[F.col(c) for c in names], F.col("_from")).select(
+    rest = chunks.repartition(*[F.col(c) for c in names], F.col("_from")).select(
         *names, F.explode(F.sequence(F.col("_from"), last)).alias(out)
     )
+    return first.unionAll(rest)
