@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stargrain.operators.joins import conjunction, stack_sources
 from stargrain.session import stored
@@ -60,43 +61,42 @@ def foreign_key_report(
     """One row per reference: orphan values and the rows that hold them.
 
     All references of a table are read in one scan of it, counted per value,
-    and checked against all parents in a single anti join.
+    and checked against all parents in a single anti join. Rows carry the numbers
+    of their reference and parent, not the names, and whole numbers stay such.
     """
-    children, parents = [], []
-    for table in dict.fromkeys(f.table for f in foreign_keys):
-        own = [f for f in foreign_keys if f.table == table]
+    references = list(dict.fromkeys(foreign_keys))
+    parents = list(dict.fromkeys((f.ref_table, f.ref_column) for f in references))
+    # Read as often as it stands in the plan, so that a run knows.
+    children = {table: read(table) for table in dict.fromkeys(f.table for f in references)}
+    above = [read(table).select(F.col(column).alias("key")) for table, column in parents]
+    keys = [children[f.table].select(f.column) for f in references] + above
+    kind = "bigint" if all(isinstance(k.schema[0].dataType, T.IntegralType) for k in keys) else "string"
+    values = []
+    for table, rows in children.items():
         entries = [
             F.struct(
-                F.lit(f.column).alias("column_name"),
-                F.lit(f.ref_table).alias("ref_table"),
-                F.lit(f.ref_column).alias("ref_column"),
-                F.col(f.column).cast("string").alias("key"),
+                F.lit(i).alias("_reference"),
+                F.lit(parents.index((f.ref_table, f.ref_column))).alias("_parent"),
+                F.col(f.column).cast(kind).alias("key"),
             )
-            for f in own
+            for i, f in enumerate(references)
+            if f.table == table
         ]
-        rows = read(table).select(F.lit(table).alias("table_name"), F.inline(F.array(*entries)))
-        children.append(rows.where(F.col("key").isNotNull()))
-    for table, column in dict.fromkeys((f.ref_table, f.ref_column) for f in foreign_keys):
-        parents.append(
-            read(table).select(
-                F.lit(table).alias("ref_table"), F.lit(column).alias("ref_column"),
-                F.col(column).cast("string").alias("key"),
-            )
-        )
-    reference = ["table_name", "column_name", "ref_table", "ref_column"]
-    values = stack_sources(*children).groupBy(*reference, "key").agg(F.count(F.lit(1)).alias("n_rows"))
-    orphans = values.join(stack_sources(*parents), ["ref_table", "ref_column", "key"], "left_anti")
-    found = orphans.groupBy(*reference).agg(
+        values.append(rows.select(F.inline(F.array(*entries))).where(F.col("key").isNotNull()))
+    known = [df.select(F.lit(i).alias("_parent"), F.col("key").cast(kind).alias("key")) for i, df in enumerate(above)]
+    counted = stack_sources(*values).groupBy("_reference", "_parent", "key").agg(F.count(F.lit(1)).alias("n_rows"))
+    orphans = counted.join(stack_sources(*known), ["_parent", "key"], "left_anti")
+    found = orphans.groupBy("_reference").agg(
         F.count(F.lit(1)).alias("orphan_values"), F.sum("n_rows").alias("orphan_rows")
     )
     spark = found.sparkSession
     listed = spark.createDataFrame(
-        [(f.table, f.column, f.ref_table, f.ref_column) for f in foreign_keys],
-        ", ".join(f"{c} string" for c in reference),
+        [(references.index(f), f.table, f.column, f.ref_table) for f in foreign_keys],
+        "_reference int, table_name string, column_name string, ref_table string",
     )
     # References without orphans are listed with zeros.
-    return listed.join(found, reference, "left").select(
-        *reference[:3],
+    return listed.join(found, "_reference", "left").select(
+        "table_name", "column_name", "ref_table",
         F.coalesce("orphan_values", F.lit(0)).alias("orphan_values"),
         F.coalesce("orphan_rows", F.lit(0)).alias("orphan_rows"),
     )
