@@ -17,7 +17,7 @@ from workload.core_queries import RELATIONS, triple_rows
 from workload.fixtures import Inputs
 from workload.layer_queries import GOLD_SQL, NAMES, named
 from workload.registry import CTES, query
-from workload.sharing import layers, shared, traced
+from workload.sharing import layers, run_of, shared, traced
 
 # --- blobs whose files have layouts of their own ---------------------------------------
 
@@ -362,10 +362,11 @@ def stored_tables(t: Inputs) -> DataFrame:
     """Tables written twice to a path store and read back with comment, quality tag and column comments."""
     names = ["dim_tournament", "dim_team", "dim_player", "fact_team_tournament"]
     store = TableResolver(t.spark, root=scratch_path(t.spark, "store"))
-    plain = layers(t)
-    for name in names:
-        store.write(plain.gold(name), "gold", name, "first")
-        store.write(store.read("gold", name), "gold", name, f"Star table {name}.")  # a table may be written from itself
+    with run_of(t, stored_tables) as run:
+        run.prepare(*[("gold", name) for name in names])
+        for name in names:
+            store.write(run.frame(("gold", name)), "gold", name, "first")
+            store.write(store.read("gold", name), "gold", name, f"Star table {name}.")  # a table may be written from itself
     reports = []
     for name in names:
         table, said = store.read("gold", name), store.described("gold", name)
