@@ -31,7 +31,9 @@ def cosine_topk(
     non-finite components, take no part. A vector of zeros has similarity 0.
 
     Both sides are packed into blocks (one matrix each), and blocks of queries
-    meet blocks of vectors in a join, so nothing passes through the driver.
+    meet blocks of vectors in a join, so nothing passes through the driver. The
+    join is hinted to shuffle: Spark takes the repeated blocks of queries for as
+    small as the files they are read from, and would collect them to broadcast them.
     Each pair of blocks is one matrix product and passes on only rows that can
     still be in the top ``k``; Spark merges these partial lists per query.
     """
@@ -42,7 +44,7 @@ def cosine_topk(
     )
     searched = _blocks(vectors, id_col, vector_col, BLOCK_VECTORS)
     searched = searched.withColumn("salt", F.pmod(F.xxhash64("ids"), F.lit(SALTS)))
-    pairs = searched.join(asked, (F.col("size") == F.col("q_size")) & (F.col("salt") == F.col("q_salt")))
+    pairs = searched.join(asked.hint("merge"), (F.col("size") == F.col("q_size")) & (F.col("salt") == F.col("q_salt")))
     partial = pairs.select("ids", "matrix", "q_ids", "q_matrix").mapInArrow(_best(k), RESULT)
     return top_within(partial, ["query_id"], [F.desc("similarity"), F.asc("vec_id")], k, "rank")
 
