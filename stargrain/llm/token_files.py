@@ -54,7 +54,7 @@ from stargrain.session import scratch_path
 TABLE_PIECES = 350_000  # in each of two tables
 KEPT_CHARS = 64
 LATIN = "\u024f"  # letters up to here are letters in every version of Unicode
-SHARD_BYTES = 32 << 20  # of text
+SHARD_BYTES = 8 << 20  # of text; a shard is read back as one value, held several times by the JVM and a worker
 BATCH_BYTES = 8 << 20  # of records that a task hands over at once
 END_MARK = b"\n"
 HEAD = struct.Struct("<QI")
