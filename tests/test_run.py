@@ -7,8 +7,8 @@ import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
-from stargrain.session import shared_dir
-from stargrain.sources.run import Run, layers_run
+from stargrain.session import settings, shared_dir, stored
+from stargrain.sources.run import RUN_CONF, Run, layers_run
 from stargrain.sources.tables import Layers
 from workload.fixtures import Inputs
 from workload.sharing import run_of, layers
@@ -129,3 +129,11 @@ def test_the_dominance_table_means_few_scans(spark):
     got = run.result(query)
     assert got.count() == layers(Inputs(spark, SF_DIR)).gold("fact_team_dominance").count()
     assert databases(spark) == before and not files_of_runs(spark)
+
+
+def test_tables_are_not_broadcast_by_the_size_of_their_files(spark):
+    rows = stored(spark.range(1 << 16).select((F.col("id") % 9).alias("k")), "rows")
+    size = sum(os.path.getsize(f.removeprefix("file://")) for f in rows.inputFiles())
+    with settings(spark, {**RUN_CONF, "spark.sql.autoBroadcastJoinThreshold": str(size * 3 // 2)}):
+        joined = spark.range(1 << 20).select(F.col("id").alias("k")).join(rows, "k")
+        assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
