@@ -15,6 +15,7 @@ on the full sets, and groups are the connected components of links.
 * Star edges: in each bucket, members are compared with one centre, the member
   whose buckets are fullest (in a group of edited copies the least edited one).
   So a group of n copies makes about n edges.
+* Texts move compressed, and a set is made where it is compared: its 64-bit hashes do not compress.
 * What stars leave open: buckets whose members are still in several
   components. A member stays in only if the shingles that it shares with anyone
   at all leave room for a link; that bound is exact, and it takes out copies with
@@ -41,7 +42,7 @@ from pyspark.sql import functions as F
 
 from stargrain.llm import words
 from stargrain.llm.components import components
-from stargrain.llm.mixing import numbered
+from stargrain.llm.mixing import TEXT_LEVEL, numbered
 from stargrain.llm.scratch import written
 from stargrain.session import stored
 
@@ -51,6 +52,7 @@ BANDS = 40
 ROWS = 5
 BINS = BANDS * ROWS
 BLOCK = 256
+SETS_BYTES = 1 << 21  # of texts whose sets are held at once
 CODES = 8192  # shingles that a comparison of two blocks looks at together
 # Rounds of drawing a donor for all empty bins at once; the few bins still
 # empty after them get their donor by comparing ranks.
@@ -147,52 +149,94 @@ def _profiles(size: int):
     return run
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text as its length and its compressed bytes, as it moves: the hashes of its set take several times as much."""
+    codec = pa.Codec("zstd", compression_level=TEXT_LEVEL)
+    for batch in batches:
+        packed = []
+        for text in batch.column(1).cast(pa.binary()).fill_null(b"").to_pylist():
+            packed.append(len(text).to_bytes(8, "little") + codec.compress(text, asbytes=True))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["rep", "packed"])
+
+
+def _length(packed: bytes) -> int:
+    return int.from_bytes(packed[:8], "little")
+
+
+def _parts(batch: pa.RecordBatch, *columns: int) -> Iterator[tuple[pa.RecordBatch, list[list[bytes]]]]:
+    """Parts of a batch, about ``SETS_BYTES`` of text each, with the packed texts of these columns."""
+    packed = [batch.column(c).to_pylist() for c in columns]
+    start = total = 0
+    for row in range(batch.num_rows):
+        total += sum(_length(p[row]) for p in packed)
+        if total > SETS_BYTES or row + 1 == batch.num_rows:
+            yield batch.slice(start, row + 1 - start), [p[start : row + 1] for p in packed]
+            start, total = row + 1, 0
+
+
+def _unpacked(packed: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted shingles of the sets one after the other, their ends with a zero in front)."""
+    codec = pa.Codec("zstd")
+    hashes, ends = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+    row = 0
+    while row < len(packed):
+        texts, room = [], words.SLICE_BYTES
+        while row < len(packed) and (room > 0 or not texts) and len(texts) < words.SLICE_ROWS:
+            n = _length(packed[row])
+            texts.append(codec.decompress(packed[row][8:], n, asbytes=True))
+            room -= n
+            row += 1
+        offsets = np.cumsum([0, *map(len, texts)])
+        found, owner = shingles(words.split(np.frombuffer(b"".join(texts), np.uint8), offsets, lower=True), size)
+        hashes.append(found)
+        ends.append(ends[-1][-1] + np.searchsorted(owner, np.arange(1, len(texts) + 1)))
+    return np.concatenate(hashes), np.concatenate(ends)
+
+
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, data, offsets in words.slices(batch, "text"):
-                hashes, owner = shingles(words.split(data, offsets, lower=True), size)
-                ends = np.searchsorted(owner, np.arange(part.num_rows + 1)).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes.view(np.int64)))
+            for part, (packed,) in _parts(batch, 1):
+                hashes, ends = _unpacked(packed, size)
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(hashes.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([part.column(0), lists], ["rep", "shingles"])
 
     return run
 
 
-def _confirmed(threshold: int):
-    def values(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        return np.asarray(column.offsets), np.asarray(column.values)
-
+def _confirmed(size: int, threshold: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            (a_ends, a), (b_ends, b) = values(batch.column(2)), values(batch.column(3))
-            keep = []
-            for i in range(batch.num_rows):
-                left, right = a[a_ends[i] : a_ends[i + 1]], b[b_ends[i] : b_ends[i + 1]]
-                both = len(np.intersect1d(left, right, assume_unique=True))
-                keep.append(100 * both >= threshold * (len(left) + len(right) - both))
+            keep: list[bool] = []
+            for _, (a, b) in _parts(batch, 2, 3):
+                # A centre meets many others: each text of a part is unpacked once.
+                place = {text: i for i, text in enumerate(dict.fromkeys(a + b))}
+                hashes, ends = _unpacked(list(place), size)
+                for i, j in zip(map(place.get, a), map(place.get, b)):
+                    left, right = hashes[ends[i] : ends[i + 1]], hashes[ends[j] : ends[j + 1]]
+                    both = len(np.intersect1d(left, right, assume_unique=True))
+                    keep.append(100 * both >= threshold * (len(left) + len(right) - both))
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
-def _links(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+def _links(pairs: DataFrame, texts: DataFrame, size: int, threshold: int) -> DataFrame:
     """Pairs (u, v) whose full sets reach the threshold."""
-    left = sets.select(F.col("rep").alias("u"), F.col("shingles").alias("a"))
-    right = sets.select(F.col("rep").alias("v"), F.col("shingles").alias("b"))
+    left = texts.select(F.col("rep").alias("u"), F.col("packed").alias("a"))
+    right = texts.select(F.col("rep").alias("v"), F.col("packed").alias("b"))
     both = pairs.join(right, "v").join(left, "u").select("u", "v", "a", "b")
-    return both.mapInArrow(_confirmed(threshold), "u bigint, v bigint")
+    return both.mapInArrow(_confirmed(size, threshold), "u bigint, v bigint")
 
 
-def _compared(threshold: int):
+def _compared(size: int, threshold: int):
     """Links between the members of two blocks, one for two components at most."""
 
     def run(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
-        lists = pa.concat_arrays(group["shingles"].chunks)
-        ends, values = np.asarray(lists.offsets), np.asarray(lists.values)
+        values, ends = _unpacked(group["packed"].to_pylist(), size)
         n = np.diff(ends)
-        _, code = np.unique(values[ends[0] : ends[-1]], return_inverse=True)
+        _, code = np.unique(values, return_inverse=True)
         member = np.repeat(np.arange(len(n)), n)
         rep, component = np.asarray(group["rep"]), np.asarray(group["component"])
         i, j, block = (np.asarray(group[c]) for c in ("i", "j", "block"))
@@ -212,16 +256,16 @@ def _compared(threshold: int):
     return run
 
 
-def _block_links(members: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+def _block_links(members: DataFrame, texts: DataFrame, size: int, threshold: int) -> DataFrame:
     """Links between members (rep, component, cluster, blocks) of the same cluster."""
     block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     dealt = (
         members.withColumn("block", block)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-        .join(sets, "rep").select("cluster", "i", "j", "block", "rep", "component", "shingles")
+        .join(texts, "rep").select("cluster", "i", "j", "block", "rep", "component", "packed")
     )
-    return dealt.groupBy("cluster", "i", "j").applyInArrow(_compared(threshold), "u bigint, v bigint")
+    return dealt.groupBy("cluster", "i", "j").applyInArrow(_compared(size, threshold), "u bigint, v bigint")
 
 
 def near_duplicates(
@@ -252,12 +296,11 @@ def near_duplicates(
     stars = buckets.join(centres, "key").where("u <> rep").select("u", F.col("rep").alias("v")).distinct()
     stars = written(stars, "stars", n_places)
     involved = buckets.select("rep").distinct()
-    sets = stored(
-        rows.join(involved, F.col("id") == F.col("rep")).select("id", "text")
-        .mapInArrow(_sets(size), "rep bigint, shingles array<bigint>"),
-        "sets",
+    texts = stored(
+        rows.join(involved, F.col("id") == F.col("rep")).select("rep", "text").mapInArrow(_packed, "rep bigint, packed binary"),
+        "texts",
     )
-    links = stored(_links(stars, sets, threshold).unionByName(same_id), "star-links")
+    links = stored(_links(stars, texts, size, threshold).unionByName(same_id), "star-links")
     n_links = links.count()
     group = components(links, n_links)
 
@@ -271,7 +314,8 @@ def near_duplicates(
     )
     left_open = written(placed.join(open_keys, "key"), "open", n_places)
     # Shingles of each open member that another one has too.
-    open_sets = sets.join(left_open.select("rep").distinct(), "rep")
+    open_sets = texts.join(left_open.select("rep").distinct(), "rep").select("rep", "packed")
+    open_sets = open_sets.mapInArrow(_sets(size), "rep bigint, shingles array<bigint>")
     each = open_sets.select("rep", F.explode("shingles").alias("shingle"))
     common = stored(
         each.groupBy("shingle").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("shingle"),
@@ -297,7 +341,7 @@ def near_duplicates(
         )
         .where("lo < hi").select("cluster", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     )
-    more = stored(_block_links(waiting.join(sizes, "cluster"), sets, threshold), "open-links")
+    more = stored(_block_links(waiting.join(sizes, "cluster"), texts, size, threshold), "open-links")
     group = components(links.unionByName(more), n_links + more.count())
 
     known = (

@@ -4,12 +4,14 @@ import os
 import threading
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from conftest import rows_of
 from pyspark.sql import functions as F
 
-from stargrain.llm import token_files
+from stargrain.llm import near_dedup, token_files, words
 from stargrain.operators import checks, ordered, vectors
-from stargrain.session import scratch_path
+from stargrain.session import scratch_path, shared_dir
 from stargrain.sources.run import Run
 from workload.audit_queries import stored_tables
 from workload.fixtures import Inputs
@@ -92,3 +94,26 @@ def test_shards_are_small(spark):
     token_files.write_shards(spark.range(18).select(F.col("id").alias("doc_id"), text.alias("text")), path)
     files = list(Path(path.removeprefix("file://")).glob("part-*"))
     assert len(files) >= 2 and max(f.stat().st_size for f in files) < 12 << 20
+
+
+def test_near_duplicates_move_less_than_their_sets(spark):
+    common = [f"word{i * i % 977}" for i in range(3000)]
+    texts = [" ".join([f"own{d}", *common[d:]]) for d in range(40)]
+    top = Path(f"{shared_dir(spark)}/stargrain-{spark.sparkContext.applicationId}".removeprefix("file://"))
+    moved = lambda: sum(f.stat().st_size for name in ("sets-*", "texts-*") for f in top.glob(f"{name}/*.parquet"))
+    before = moved()
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = near_dedup.near_duplicates(rows)
+    assert {(r.doc_id, r.component_id) for r in got.collect()} == {(d, 0) for d in range(40)}
+    assert 0 < moved() - before < sum(map(len, texts)) // 2
+
+
+def test_packed_texts_give_the_sets_of_the_texts():
+    texts = ["", "One two", "a b c d e f", "x " * 9, "é è\tß b c d"]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(6)), "text": [*texts, None]})
+    packed = next(near_dedup._packed(iter([batch]))).column(1).to_pylist()
+    hashes, ends = near_dedup._unpacked(packed * 2, 4)
+    for i, text in enumerate([*texts, ""] * 2):
+        data = np.frombuffer(text.encode(), np.uint8)
+        want, _ = near_dedup.shingles(words.split(data, np.array([0, len(data)]), lower=True), 4)
+        assert (hashes[ends[i] : ends[i + 1]] == want).all() and ends[i + 1] - ends[i] == len(want)
