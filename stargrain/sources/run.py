@@ -31,10 +31,12 @@ Read = Callable[[Key], DataFrame]
 WRITERS = 4
 # Settings while a run writes. Its narrow rows shuffle as few bytes each (about 15 in some
 # aggregates) and take 50 times as much while they are sorted, so a task's share is bounded by
-# far less than Spark's 64 MB, and there are enough partitions that the bound holds.
+# far less than Spark's 64 MB. Up to 200 partitions (spark.shuffle.sort.bypassMergeThreshold) a task
+# writes each of its rows to its partition's file at once; with more it holds them all in memory
+# before, which grows with the row group it reads: 3.2 GB for 36 million rows.
 RUN_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "400",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "200",
     "spark.sql.files.maxPartitionBytes": "16m",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32m",
     # Some tables have a handful of keys (editions): few partitions hold a row, which must not

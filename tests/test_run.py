@@ -137,3 +137,12 @@ def test_tables_are_not_broadcast_by_the_size_of_their_files(spark):
     with settings(spark, {**RUN_CONF, "spark.sql.autoBroadcastJoinThreshold": str(size * 3 // 2)}):
         joined = spark.range(1 << 20).select(F.col("id").alias("k")).join(rows, "k")
         assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_run_shuffles_rows_without_holding_them(spark):
+    with settings(spark, RUN_CONF):
+        got = spark.range(0, 1000, numPartitions=2).repartition("id").groupBy((F.col("id") % 9).alias("k")).count()
+        assert len(got.collect()) == 9
+    stages = got._jdf.queryExecution().executedPlan().finalPhysicalPlan().collectLeaves()
+    writers = [stages.apply(i).plan().shuffleDependency().shuffleHandle().getClass().getSimpleName() for i in range(stages.size())]
+    assert writers and set(writers) == {"BypassMergeSortShuffleHandle"}
