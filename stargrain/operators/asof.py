@@ -25,7 +25,6 @@ def nearest_within(
     Equal distances: the earlier row. Several rows at one time: that with the smallest taken values on the
     same day or after, the largest before.
     """
-    keys = [f"_k{i}" for i in range(len(by))]
     day = {c: F.unix_date(F.col(c)).cast("bigint") for c in time}
     width = F.lit(max(days, 1))
     bucket = F.floor(F.col("_day") / width)
@@ -36,20 +35,17 @@ def nearest_within(
     # Rows that can match nothing get a bucket of their own value.
     asked = left.select(
         F.struct(*left.columns).alias("_row"), day[time[0]].alias("_day"), complete.alias("_complete"),
-        *[F.coalesce(F.xxhash64(k), F.lit(0)).alias(n) for k, n in zip(by, keys)],
     )
     asked = asked.withColumn("_bucket", F.when(F.col("_complete"), bucket).otherwise(F.xxhash64("_row")))
-    # Hashes only deal rows out; the keys themselves are compared below.
     known = right.select(
         F.struct(*[F.col(c).alias(n) for n, c in take.items()]).alias("_take"), day[time[1]].alias("_day"),
         F.struct(*[F.col(k).alias(c) for c, k in by.items()]).alias("_keys"),
-        *[F.xxhash64(k).alias(n) for k, n in zip(by.values(), keys)],
     ).where(F.col("_day").isNotNull())
     for k in by:
         known = known.where(F.col(f"_keys.{k}").isNotNull())
     known = known.withColumn("_bucket", F.explode(F.array(bucket - 1, bucket, bucket + 1)))
     both = asked.withColumn("_keys", F.struct(*[F.col(f"_row.{c}").alias(c) for c in by])).unionByName(known, allowMissingColumns=True)
-    groups = [*keys, "_bucket", "_keys"]
+    groups = ["_bucket", "_keys"]
     found = F.when(F.col("_row").isNull(), F.struct("_day", "_take"))
     upto = lambda order: W.partitionBy(*groups).orderBy(order).rangeBetween(W.unboundedPreceding, 0)
     both = both.withColumns({"_before": F.max(found).over(upto(F.col("_day").asc())), "_after": F.min(found).over(upto(F.col("_day").desc()))})

@@ -55,25 +55,28 @@ def orphan_keys(df: DataFrame, column: str, ref: DataFrame, ref_column: str) ->
     return values.join(parents, "key", "left_anti")
 
 
+Plan = Callable[[Callable[[str], DataFrame]], DataFrame]
+
+
 def foreign_key_report(
-    read: Callable[[str], DataFrame], foreign_keys: list[ForeignKey]
+    read: Callable[[str], DataFrame], foreign_keys: list[ForeignKey], keep: Callable[[str, Plan], DataFrame] | None = None
 ) -> DataFrame:
     """One row per reference: orphan values and the rows that hold them.
 
     All references of a table are read in one scan of it, counted per value,
     and checked against all parents in a single anti join. Rows carry the numbers
     of their reference and parent, not the names, and whole numbers stay such.
+    ``keep`` may store the counted values of a table: it is given the table's name and
+    a plan that reads it.
     """
     references = list(dict.fromkeys(foreign_keys))
     parents = list(dict.fromkeys((f.ref_table, f.ref_column) for f in references))
-    # Read as often as it stands in the plan, so that a run knows.
-    children = {table: read(table) for table in dict.fromkeys(f.table for f in references)}
-    above = [read(table).select(F.col(column).alias("key")) for table, column in parents]
-    keys = [children[f.table].select(f.column) for f in references] + above
-    kind = "bigint" if all(isinstance(k.schema[0].dataType, T.IntegralType) for k in keys) else "string"
-    values = []
-    for table, rows in children.items():
-        entries = [
+
+    def kind_of(keys: list[DataFrame]) -> str:
+        return "bigint" if all(isinstance(k.schema[0].dataType, T.IntegralType) for k in keys) else "string"
+
+    def entries(rows: DataFrame, table: str, kind: str) -> DataFrame:
+        of_table = [
             F.struct(
                 F.lit(i).alias("_reference"),
                 F.lit(parents.index((f.ref_table, f.ref_column))).alias("_parent"),
@@ -82,9 +85,30 @@ def foreign_key_report(
             for i, f in enumerate(references)
             if f.table == table
         ]
-        values.append(rows.select(F.inline(F.array(*entries))).where(F.col("key").isNotNull()))
+        return rows.select(F.inline(F.array(*of_table))).where(F.col("key").isNotNull())
+
+    def count(values: DataFrame) -> DataFrame:
+        return values.groupBy("_reference", "_parent", "key").agg(F.count(F.lit(1)).alias("n_rows"))
+
+    def counted_of(table: str) -> Plan:
+        def plan(read: Callable[[str], DataFrame]) -> DataFrame:
+            rows = read(table)
+            return count(entries(rows, table, kind_of([rows.select(f.column) for f in references if f.table == table])))
+
+        return plan
+
+    # Read as often as it stands in the plan, so that a run knows.
+    tables = list(dict.fromkeys(f.table for f in references))
+    above = [read(table).select(F.col(column).alias("key")) for table, column in parents]
+    if keep:
+        kept = [keep(table, counted_of(table)) for table in tables]
+        kind = kind_of([values.select("key") for values in kept] + above)
+        counted = stack_sources(*[values.withColumn("key", F.col("key").cast(kind)) for values in kept])
+    else:
+        children = {table: read(table) for table in tables}
+        kind = kind_of([children[f.table].select(f.column) for f in references] + above)
+        counted = count(stack_sources(*[entries(rows, table, kind) for table, rows in children.items()]))
     known = [df.select(F.lit(i).alias("_parent"), F.col("key").cast(kind).alias("key")) for i, df in enumerate(above)]
-    counted = stack_sources(*values).groupBy("_reference", "_parent", "key").agg(F.count(F.lit(1)).alias("n_rows"))
     orphans = counted.join(stack_sources(*known), ["_parent", "key"], "left_anti")
     found = orphans.groupBy("_reference").agg(
         F.count(F.lit(1)).alias("orphan_values"), F.sum("n_rows").alias("orphan_rows")
@@ -103,11 +127,26 @@ def foreign_key_report(
 
 
 def star_report(
-    read: Callable[[str], DataFrame], primary_keys: dict[str, list[str]], foreign_keys: list[ForeignKey]
+    read: Callable[[str], DataFrame], primary_keys: dict[str, list[str]], foreign_keys: list[ForeignKey],
+    keep_keys: Callable[[str, Plan], DataFrame] | None = None, keep_values: Callable[[str, Plan], DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Reports for all keys and all references of a star schema."""
-    pk = stack_sources(*[primary_key_report(read(t), t, keys) for t, keys in primary_keys.items()])
-    return pk, foreign_key_report(read, foreign_keys)
+    """Reports for all keys and all references of a star schema.
+
+    ``keep_keys`` may store a table's row of the first report, ``keep_values`` the values that the second counts.
+    """
+    pk = stack_sources(*primary_key_reports(read, primary_keys, keep_keys))
+    return pk, foreign_key_report(read, foreign_keys, keep_values)
+
+
+def primary_key_reports(
+    read: Callable[[str], DataFrame], primary_keys: dict[str, list[str]], keep: Callable[[str, Plan], DataFrame] | None = None
+) -> list[DataFrame]:
+    """One report per table; ``keep`` as in ``foreign_key_report``."""
+
+    def plan_of(table: str) -> Plan:
+        return lambda read: primary_key_report(read(table), table, primary_keys[table])
+
+    return [keep(t, plan_of(t)) if keep else plan_of(t)(read) for t in primary_keys]
 
 
 def reconcile(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:

@@ -28,6 +28,7 @@ def lookup(
     on: dict[str, str],
     take: dict[str, str],
     how: str = "left",
+    apart: bool = False,
 ) -> DataFrame:
     """Add columns of ``ref`` (one row per key) to ``df``.
 
@@ -36,8 +37,16 @@ def lookup(
 
     NULL keys never match, yet a shuffle would send all of them to one task. A
     left lookup therefore shuffles such rows by a scattered value, and the
-    condition still asks for the key itself to be present.
+    condition still asks for the key itself to be present. With ``apart`` they are not
+    shuffled at all; ``df`` is then read twice, so it should be a written table.
     """
+    if apart:
+        whole = conjunction([F.col(c).isNotNull() for c in on])
+        found = lookup(df.where(whole), ref, on, take, how)
+        if how != "left":
+            return found
+        without = df.where(~whole).withColumns({c: F.lit(None).cast(found.schema[c].dataType) for c in take})
+        return found.unionAll(without.select(*found.columns))
     right = ref.select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(on.values())],
         *[F.col(c).alias(name) for name, c in take.items()],

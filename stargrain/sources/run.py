@@ -6,7 +6,9 @@ tables it reads (each is built once, over empty tables of the right schema) and
 so has the graph of tables with the number of reads of each. A table is written if
 it is read at least twice and reading it means at least ``least_scans`` scans,
 or if it is read once and means more than ``most_scans``, so that no plan grows
-without bound; all others stay part of their readers' plans. Tables are written in the order of the graph, several at once where they do not depend on
+without bound; all others stay part of their readers' plans. An aggregate that is read
+``MANY_READS`` times is written too: it is mostly small, and only a table that is written shows
+so before its readers shuffle what they join to it. A ``Step`` is always written. Tables are written in the order of the graph, several at once where they do not depend on
 each other, as managed tables of a database in the shared folder that belongs to the run. When
 the last reader of a table has been written, the table is dropped; closing the
 run drops the database.
@@ -18,7 +20,7 @@ import uuid
 from collections import Counter
 from collections.abc import Callable, Hashable, Iterable
 from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -28,7 +30,7 @@ from stargrain.sources.tables import Layers
 
 Key = Hashable
 Read = Callable[[Key], DataFrame]
-WRITERS = 4
+WRITERS = 2
 # Settings while a run writes. Its narrow rows shuffle as few bytes each (about 15 in some
 # aggregates) and take 50 times as much while they are sorted, so a task's share is bounded by
 # far less than Spark's 64 MB. Up to 200 partitions (spark.shuffle.sort.bypassMergeThreshold) a task
@@ -46,9 +48,24 @@ RUN_CONF = {
     # Spark takes a table for as large as its files.
     "spark.sql.sources.fileCompressionFactor": "2",
     "spark.sql.parquet.compression.codec": "zstd",
+    # What a table's tasks have shuffled goes as soon as the table is written. Spark would keep it
+    # until the driver happens to collect garbage, so a run held nearly all that it ever shuffled.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 LEAST_SCANS = 2
 MOST_SCANS = 8
+MANY_READS = 3
+
+
+@dataclass(frozen=True)
+class Step:
+    """A part of a plan that is a table of its own in a run, so that what it reads and shuffles goes before the rest begins.
+
+    Steps of one name are one table.
+    """
+
+    name: Hashable
+    plan: Callable = field(compare=False, repr=False)
 
 
 @dataclass
@@ -58,6 +75,7 @@ class Node:
     reads: Counter
     schema: StructType
     scans: int = 0
+    aggregates: bool = False
 
 
 class Run:
@@ -95,8 +113,9 @@ class Run:
                 reads[other] += 1
                 return self.spark.createDataFrame([], schema)
 
-            schema = self.build(key, read).schema
-            self.nodes[key] = Node(reads, schema)
+            df = self.build(key, read)
+            aggregates = "Aggregate [" in df._jdf.queryExecution().analyzed().toString()
+            self.nodes[key] = Node(reads, df.schema, aggregates=aggregates)
         return self.nodes[key]
 
     def shared(self, targets: Iterable[Key]) -> list[Key]:
@@ -117,7 +136,8 @@ class Run:
                 continue
             below = sum(n * (1 if k in chosen else self.nodes[k].scans) for k, n in node.reads.items())
             node.scans = max(below, 1)
-            if reads[key] and node.reads and node.scans >= (self.least_scans if reads[key] > 1 else self.most_scans + 1):
+            many = node.scans >= (self.least_scans if reads[key] > 1 else self.most_scans + 1)
+            if reads[key] and node.reads and (many or isinstance(key, Step) or node.aggregates and reads[key] >= MANY_READS):
                 chosen.append(key)
         return chosen
 
@@ -168,6 +188,8 @@ class Run:
             try:
                 while todo or writing:
                     ready = [k for k in todo if needs[k] <= self.tables.keys()]
+                    # Steps first: they are small, and what they read may go after them.
+                    ready = sorted(ready, key=lambda k: not isinstance(k, Step))[: WRITERS - len(writing)]
                     todo = [k for k in todo if k not in ready]
                     writing.update({pool.submit(self._write, k): k for k in ready})
                     done = wait(writing, return_when=FIRST_COMPLETED).done

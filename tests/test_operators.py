@@ -304,3 +304,20 @@ def test_cosine_topk_of_odd_vectors(frame):
     assert [r for r in got if r[0] == 4] == [(4, 11, 0.707107, 1)] and [r for r in got if r[0] == 3] == [(3, 1, 0.0, 1), (3, 2, 0.0, 2)]
     assert {r[0] for r in got} == {1, 2, 3, 4, 10, 11}
     assert rows_of(vectors.cosine_topk(df.where("false"), df, "vec_id", "e", 2)) == []
+
+
+def test_lookup_leaves_rows_without_a_key_where_they_are(frame):
+    df = frame("k int, v int", (1, 1), (None, 2), (3, 3), (None, 2))
+    ref = frame("k int, name string", (1, "one"), (2, "two"))
+    got = lookup(df, ref, {"k": "k"}, {"name": "name"}, apart=True)
+    assert got.schema == lookup(df, ref, {"k": "k"}, {"name": "name"}).schema
+    assert rows_of(got) == rows_of(lookup(df, ref, {"k": "k"}, {"name": "name"}))
+    assert "coalesce" not in got._jdf.queryExecution().optimizedPlan().toString().split("Union")[1].splitlines()[-2]
+
+
+def test_references_counted_per_table_give_the_same_report(frame):
+    tables = {"f": frame("p bigint, q string", (1, "a"), (2, "b"), (2, None)), "g": frame("p int", (1,), (9,)),
+              "d": frame("id bigint", (1,)), "e": frame("id string", ("b",))}
+    keys = [checks.ForeignKey("f", "p", "d", "id"), checks.ForeignKey("f", "q", "e", "id"), checks.ForeignKey("g", "p", "d", "id")]
+    got = checks.foreign_key_report(tables.get, keys, keep=lambda name, plan: plan(tables.get))
+    assert rows_of(got) == rows_of(checks.foreign_key_report(tables.get, keys))

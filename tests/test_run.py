@@ -8,8 +8,9 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 from stargrain.session import settings, shared_dir, stored
-from stargrain.sources.run import RUN_CONF, Run, layers_run
+from stargrain.sources.run import RUN_CONF, Run, Step, layers_run
 from stargrain.sources.tables import Layers
+from workload import audit_queries, layer_queries, registry  # noqa: F401  (register queries)
 from workload.fixtures import Inputs
 from workload.sharing import run_of, layers
 
@@ -146,3 +147,60 @@ def test_a_run_shuffles_rows_without_holding_them(spark):
     stages = got._jdf.queryExecution().executedPlan().finalPhysicalPlan().collectLeaves()
     writers = [stages.apply(i).plan().shuffleDependency().shuffleHandle().getClass().getSimpleName() for i in range(stages.size())]
     assert writers and set(writers) == {"BypassMergeSortShuffleHandle"}
+
+
+def test_a_step_is_written_and_its_inputs_go(spark, graph):
+    def build(key, read):
+        if isinstance(key, Step):
+            return key.plan(read)
+        if key == "end":
+            return read(Step("counted", lambda r: r("both").groupBy("k").count()))
+        return graph[0](key, read)
+
+    with Run(spark, build, most_scans=1) as run:
+        run.prepare("end")
+        assert run.written == ["both", Step("counted", None)] and list(run.tables) == [Step("counted", None)]
+        assert rows_of(run.frame("end")) == [("a", 3), ("b", 3)]
+
+
+def test_an_aggregate_that_many_read_is_written(spark):
+    def build(key, read):
+        if key == "a":
+            return spark.range(3)
+        if key in ("sum", "plain"):
+            return read("a").groupBy("id").count() if key == "sum" else read("a").withColumn("count", F.col("id"))
+        of = read("sum" if key == "sums" else "plain")
+        for _ in range(2):
+            of = of.unionAll(read("sum" if key == "sums" else "plain"))
+        return of
+
+    with Run(spark, build) as run:
+        assert run.shared(["sums"]) == ["sum"] and run.shared(["plains"]) == []
+
+
+def test_what_a_run_shuffled_goes_when_it_is_written(spark):
+    statuses = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+    with settings(spark, RUN_CONF):
+        before = statuses.size()
+        stored(spark.range(1000).repartition(7, "id").groupBy((F.col("id") % 9).alias("k")).count(), "rows")
+        assert statuses.size() <= before
+
+
+def test_events_are_named_one_lookup_at_a_time(spark):
+    for run in (lambda t: layer_queries._named_events(t, "silver", "match_event"), lambda t: layer_queries._named_events(t, "gold", "fact_match_event")):
+        steps = [k.name[2] for k in run_of(Inputs(spark, SF_DIR), run).shared([run]) if isinstance(k, Step)]
+        assert steps == ["players", "teams"]
+
+
+@pytest.mark.parametrize("what, number", [("gold_foreign_keys", 12), ("gold_all_primary_keys", 16), ("gold_primary_keys", 7), ("gold_all_triples", 12)])
+def test_checks_of_the_star_write_what_they_find_per_table(spark, monkeypatch, what, number):
+    chosen = {}
+
+    def prepare(self, target):
+        chosen.update(dict.fromkeys(self.shared([target])))
+        raise InterruptedError
+
+    monkeypatch.setattr(Run, "prepare", prepare)
+    with pytest.raises(InterruptedError):
+        registry.QUERIES[what](spark, SF_DIR)
+    assert sum(isinstance(k, Step) for k in chosen) == number

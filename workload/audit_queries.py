@@ -17,7 +17,7 @@ from workload.core_queries import RELATIONS, triple_rows
 from workload.fixtures import Inputs
 from workload.layer_queries import GOLD_SQL, NAMES, named
 from workload.registry import CTES, query
-from workload.sharing import layers, run_of, shared, traced
+from workload.sharing import kept, layers, run_of, shared, traced
 
 # --- blobs whose files have layouts of their own ---------------------------------------
 
@@ -225,9 +225,7 @@ _UNKNOWN = {"fact_prediction": "count(*) FILTER (WHERE home IS NULL OR away IS N
 def gold_all_primary_keys(t: Inputs) -> DataFrame:
     """All 16 tables of the star."""
     L = layers(t)
-    report = checks.stack_sources(
-        *[checks.primary_key_report(L.gold(name), name, keys) for name, keys in gold.PRIMARY_KEYS.items()]
-    )
+    report = checks.stack_sources(*checks.primary_key_reports(L.gold, gold.PRIMARY_KEYS, kept(t, "keys")))
     return report.drop("distinct_keys")
 
 
@@ -279,10 +277,15 @@ def _reference_counts() -> str:
 @shared
 def gold_all_triples(t: Inputs) -> DataFrame:
     """Triples of all tables with references, counted per relationship."""
-    L = layers(t)
     relations = questions.star_relations(gold.FOREIGN_KEYS, gold.PRIMARY_KEYS)
-    rows = graph.triples({name: L.gold(name) for name in dict.fromkeys(fk.table for fk in gold.FOREIGN_KEYS)}, relations)
-    return rows.groupBy("predicate").agg(F.count(F.lit(1)).alias("n"))
+    keep = kept(t, "triples")
+
+    def counted(name: str) -> DataFrame:
+        rows = lambda read: graph.triples({name: read(name)}, relations)
+        return keep(name, lambda read: rows(read).groupBy("predicate").agg(F.count(F.lit(1)).alias("n")))
+
+    parts = checks.stack_sources(*[counted(name) for name in dict.fromkeys(fk.table for fk in gold.FOREIGN_KEYS)])
+    return parts.groupBy("predicate").agg(F.sum("n").alias("n"))
 
 
 @query(

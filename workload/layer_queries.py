@@ -19,7 +19,7 @@ from stargrain.plans.facts import team_match
 from stargrain.sources.tables import Layers
 from workload.fixtures import Inputs
 from workload.registry import CTES, query, rounded
-from workload.sharing import layers, shared
+from workload.sharing import kept, layers, shared, step
 
 # key column -> (silver table, its key, natural name, output column)
 NAMES = {
@@ -68,17 +68,39 @@ def named(t: Inputs, L: Layers, df: DataFrame, own: str | None = None) -> DataFr
     """Replace keys by names; ``own`` is the table's own key and is dropped."""
     if own:
         df = df.drop(own)
-    if "match_id" in df.columns:
-        df = lookup(df, _match_names(t), {"match_id": "match_id"}, {"match": "match"}).drop("match_id")
-    for key in [c for c in df.columns if c in NAMES]:
-        table, ref_key, name, out = NAMES[key]
-        names = _landed_names(t, table)
-        df = lookup(df, L.silver(table) if names is None else names, {key: ref_key}, {f"_{out}": name}).drop(key)
-        text = F.col(f"_{out}") if out == "edition" else F.upper(F.trim(f"_{out}"))
-        df = df.withColumn(out, text).drop(f"_{out}")
+    for key in [c for c in df.columns if c == "match_id"] + [c for c in df.columns if c in NAMES]:
+        df = _with_name(t, L, df, key)
     return df
 
 
+def _with_name(t: Inputs, L: Layers, df: DataFrame, key: str, apart: bool = False) -> DataFrame:
+    if key == "match_id":
+        return lookup(df, _match_names(t), {"match_id": "match_id"}, {"match": "match"}, apart=apart).drop("match_id")
+    table, ref_key, name, out = NAMES[key]
+    names = _landed_names(t, table)
+    df = lookup(df, L.silver(table) if names is None else names, {key: ref_key}, {f"_{out}": name}, apart=apart).drop(key)
+    text = F.col(f"_{out}") if out == "edition" else F.upper(F.trim(f"_{out}"))
+    return df.withColumn(out, text).drop(f"_{out}")
+
+
+def _named_events(t: Inputs, layer: str, table: str) -> DataFrame:
+    """``named`` for the events, by far the most rows: written after each lookup, whose shuffled rows then go.
+
+    The key that most events lack comes first, and rows without it are not shuffled; the longest name comes last.
+    """
+
+    def players(s: Inputs) -> DataFrame:
+        rows = layers(s).table(layer, table).drop("event_id")
+        return _with_name(s, layers(s), _with_name(s, layers(s), rows, "secondary_player_id", apart=True), "player_id")
+
+    def teams(s: Inputs) -> DataFrame:
+        return _with_name(s, layers(s), step(s, ("named", table, "players"), players), "team_id")
+
+    df = _with_name(t, layers(t), step(t, ("named", table, "teams"), teams), "match_id")
+    names = ["match", "team", "player", "second_player"]
+    return df.select(*[c for c in df.columns if c not in names], *names)
+
+
 OWN = {
     "confederation": "confederation_id", "tournament": "tournament_id", "stage": "stage_id",
     "tournament_group": "group_id", "team": "team_id", "team_tournament": "team_tournament_id",
@@ -235,6 +257,8 @@ LEFT JOIN {o_g} c ON c.home = upper(h.team_name) AND c.away = upper(w.team_name)
 
 def _silver(table: str):
     def run(t: Inputs) -> DataFrame:
+        if table == "match_event":
+            return _named_events(t, "silver", table)
         L = layers(t)
         df = L.silver(table)
         if table == "match_player_physical":
@@ -327,6 +351,8 @@ GOLD_OWN = {
 
 def _gold(table: str):
     def run(t: Inputs) -> DataFrame:
+        if table == "fact_match_event":
+            return _named_events(t, "gold", table)
         L = layers(t)
         places = 9 if table == "fact_team_dominance" else 6
         return rounded(named(t, L, L.gold(table), GOLD_OWN.get(table)), *GOLD_ROUND.get(table, []), places=places)
@@ -431,7 +457,8 @@ def gold_primary_keys(t: Inputs) -> DataFrame:
         "dim_team", "fact_match", "fact_team_match", "fact_player_match", "fact_match_event",
         "fact_team_tournament", "fact_team_dominance",
     ]
-    report, _ = star_report(L.gold, {n: gold.PRIMARY_KEYS[n] for n in tables}, gold.FOREIGN_KEYS[:1])
+    keys = {n: gold.PRIMARY_KEYS[n] for n in tables}
+    report, _ = star_report(L.gold, keys, gold.FOREIGN_KEYS[:1], keep_keys=kept(t, "keys"))
     return report.drop("distinct_keys")
 
 
@@ -450,7 +477,8 @@ CTES["o_event"] = SILVER_SQL["match_event"]
 def gold_foreign_keys(t: Inputs) -> DataFrame:
     """All references of the star; derived keys leave no orphan."""
     L = layers(t)
-    _, report = star_report(L.gold, {"dim_stage": gold.PRIMARY_KEYS["dim_stage"]}, gold.FOREIGN_KEYS)
+    keys = {"dim_stage": gold.PRIMARY_KEYS["dim_stage"]}
+    _, report = star_report(L.gold, keys, gold.FOREIGN_KEYS, keep_values=kept(t, "references"))
     return report
 
 

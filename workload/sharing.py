@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Hashable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stargrain.operators.provenance import Sources, Traced
 from stargrain.plans import gold, silver
-from stargrain.sources.run import Key, Node, Read, ReadingLayers, Run
+from stargrain.sources.run import Key, Node, Read, ReadingLayers, Run, Step
 from stargrain.sources.tables import Layers
 from workload.bronze import LANDED
 from workload.fixtures import BASE, SQL, Inputs
@@ -48,6 +48,8 @@ def run_of(t: Inputs, fn: Callable[[Inputs], DataFrame]) -> Run:
         view = Shared(t, read)
         if key is fn:
             return fn(view)
+        if isinstance(key, Step):
+            return key.plan(view)
         if key in BASE:
             return t.table(key)
         if key in SQL:
@@ -62,6 +64,16 @@ def shared(fn: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
     return lambda t: run_of(t, fn).result(fn)
 
 
+def step(t: Inputs, name: Hashable, plan: Callable[[Inputs], DataFrame]) -> DataFrame:
+    """A part of a query that its run writes; ``plan`` reads tables of the inputs it is given."""
+    return t.read(Step(name, plan)) if isinstance(t, Shared) else plan(t)
+
+
+def kept(t: Inputs, what: str) -> Callable[[str, Callable], DataFrame]:
+    """Stores what a plan over one gold table finds, for checks that go through all of them."""
+    return lambda name, plan: step(t, (what, name), lambda s: plan(layers(s).gold))
+
+
 def source_file(source: str, table: str) -> str | Column:
     """The file a landed row is taken to come from: matches by month or edition, other tables as a whole."""
     if (source, table) == ("relational", "matches"):
